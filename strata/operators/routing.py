@@ -11,16 +11,27 @@ from strata.functions.flatten import explode_records
 OK, HTTP_ERROR, UNPARSABLE, EMPTY = "ok", "http_error", "unparsable", "empty"
 
 
+def outcome_column(record_schema: T.StructType, body: str = "body",
+                   status: str = "status"):
+    """Classify a page: status first, then unparsable text, then an empty array.
+
+    The body is parsed once: ``n`` = element count, or -1 when the text is not
+    a JSON array/object; ``signum(n) + 2`` then indexes the three outcomes.
+    Written this way Catalyst cannot duplicate the parse when it pushes a
+    filter on the outcome below the projection.
+    """
+    n = F.coalesce(F.size(F.from_json(F.col(body), T.ArrayType(record_schema))), F.lit(-1))
+    by_size = F.element_at(F.array(F.lit(UNPARSABLE), F.lit(EMPTY), F.lit(OK)),
+                           (F.signum(n) + 2).cast("int"))
+    return (F.when(F.col(status).isNull() | (F.col(status) != 200), F.lit(HTTP_ERROR))
+             .when(F.col(body).isNull(), F.lit(UNPARSABLE))
+             .otherwise(by_size))
+
+
 def with_outcome(envelopes: DataFrame, record_schema: T.StructType,
                  body: str = "body", status: str = "status",
                  outcome_col: str = "outcome") -> DataFrame:
-    """Tag each page: status first, then unparsable text, then an empty array."""
-    parsed = F.from_json(F.col(body), T.ArrayType(record_schema))
-    outcome = (F.when(F.col(status).isNull() | (F.col(status) != 200), F.lit(HTTP_ERROR))
-                .when(F.col(body).isNull() | parsed.isNull(), F.lit(UNPARSABLE))
-                .when(F.size(parsed) < 1, F.lit(EMPTY))
-                .otherwise(F.lit(OK)))
-    return envelopes.withColumn(outcome_col, outcome)
+    return envelopes.withColumn(outcome_col, outcome_column(record_schema, body, status))
 
 
 def sentinel_rows(failed: DataFrame, record_schema: T.StructType,
@@ -47,8 +58,11 @@ def route_pages(envelopes: DataFrame, record_schema: T.StructType,
     materialised envelope frame so remote pages are fetched only once.
     """
     keep = keep if keep is not None else ["page"]
-    tagged = with_outcome(envelopes, record_schema)
-    good = tagged.filter(F.col("outcome") == OK)
-    records = explode_records(good, "body", record_schema, keep=keep, position=position, sep=sep)
-    failed = tagged.filter(F.col("outcome") != OK)
+    # Good pages: explode the parsed array of 200-status pages; a null (failed
+    # or unparsable) or empty array yields no rows, so no separate filter or
+    # second parse is needed.
+    good_body = F.when(F.col("status") == 200, F.col("body"))
+    records = explode_records(envelopes.withColumn("body", good_body), "body", record_schema,
+                              keep=keep, position=position, sep=sep)
+    failed = envelopes.filter(outcome_column(record_schema) != OK)
     return records, sentinel_rows(failed, record_schema, id_field)

@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
 class RunReport:
-    """Collects one ``Observation`` per layer; ``counts()`` reads them after the writes."""
+    """Collects one ``Observation`` per layer; ``counts()`` reads them after the writes.
+
+    When Catalyst proves an input empty it removes the observed node and no
+    metrics arrive; the layer is then counted from what was written (a
+    ``fallback`` callable, typically a metadata-only count of the stored table).
+    """
 
     def __init__(self):
-        self._obs: dict[str, Observation] = {}
+        self._obs: dict[str, tuple[Observation, Callable[[], int] | None]] = {}
 
-    def track(self, layer: str, df: DataFrame) -> DataFrame:
+    def track(self, layer: str, df: DataFrame,
+              fallback: Callable[[], int] | None = None) -> DataFrame:
         obs = Observation(layer)
-        self._obs[layer] = obs
+        self._obs[layer] = (obs, fallback)
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     def counts(self) -> dict[str, int]:
-        return {layer: int(obs.get["rows"]) for layer, obs in self._obs.items()}
+        out = {}
+        for layer, (obs, fallback) in self._obs.items():
+            try:
+                out[layer] = int(obs.get["rows"])
+            except Exception:
+                if fallback is None:
+                    raise
+                out[layer] = int(fallback())
+        return out

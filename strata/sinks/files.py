@@ -36,10 +36,19 @@ def assert_not_reading(df: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
-               write_nulls: bool = True, compression: str | None = None) -> None:
-    """K1: JSON lines, lossless for timestamps (microseconds) and all-null columns."""
+               write_nulls: bool = True, compression: str | None = None,
+               rebalance: bool = False) -> None:
+    """K1: JSON lines, lossless for timestamps (microseconds) and all-null columns.
+
+    ``rebalance`` adds one adaptive round-robin exchange before the write
+    (an "optimized write"): output files come out near the advisory partition
+    size and an under-partitioned input (one large file, a small crawl) is
+    serialised by many tasks instead of one.
+    """
     if mode == "overwrite":
         assert_not_reading(df, path)
+    if rebalance:
+        df = df.hint("rebalance")
     w = df.write.mode(mode).options(**JSON_TS_OPTIONS)
     w = w.option("ignoreNullFields", str(not write_nulls).lower())
     if compression:
