@@ -109,24 +109,24 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     bronze_in = source.select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
     if p.drop_incomplete_at == "bronze":
         bronze_in = drop_incomplete(bronze_in, subset=p.drop_subset)
-    write_json(report.track("bronze", bronze_in, _stored(spark, p.bronze_path, "json", schema)),
-               p.bronze_path, mode=p.bronze_mode, rebalance=p.optimize_writes)
+    write_json(bronze_in, p.bronze_path, mode=p.bronze_mode, rebalance=p.optimize_writes,
+               observe=report.tap("bronze", _stored(spark, p.bronze_path, "json", schema)))
 
     # Silver: declared-schema read of bronze, partitioned columnar table.
     bronze = read_json(spark, p.bronze_path, schema)
     if p.drop_incomplete_at == "silver":
         bronze = drop_incomplete(bronze, subset=p.drop_subset)
-    write_table(report.track("silver", bronze, _stored(spark, p.silver_path, p.table_format, schema)),
-                p.silver_path, p.table_format,
-                partition_by=p.partition_by, mode=p.silver_mode,
-                dynamic_overwrite=p.dynamic_silver, rebalance=p.optimize_writes)
+    write_table(bronze, p.silver_path, p.table_format, partition_by=p.partition_by,
+                mode=p.silver_mode, dynamic_overwrite=p.dynamic_silver,
+                rebalance=p.optimize_writes,
+                observe=report.tap("silver", _stored(spark, p.silver_path, p.table_format, schema)))
 
     # Gold: grouped count over silver, sorted by count.
     silver = read_silver(spark, p, schema)
     gold = gold_counts(silver, p.group_by, p.count_col)
     gsch = gold_schema(schema, p.group_by, p.count_col)
-    write_table(report.track("gold", gold, _stored(spark, p.gold_path, p.table_format, gsch)),
-                p.gold_path, p.table_format, mode=p.gold_mode)
+    write_table(gold, p.gold_path, p.table_format, mode=p.gold_mode,
+                observe=report.tap("gold", _stored(spark, p.gold_path, p.table_format, gsch)))
 
     # Serving: silver to a relational table.
     if p.jdbc:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from strata.functions.flatten import explode_records, parse_json_column
 from strata.functions.paging import page_of
-from strata.operators.aggregates import gold_counts, group_count, partition_counts, top_n
+from strata.operators.aggregates import gold_counts, group_count, hash_partition_counts, top_n
 from strata.operators.cleansing import drop_incomplete
 from strata.operators.routing import route_pages
 from strata.operators.sequence import with_sequence
@@ -232,11 +232,10 @@ def q_medallion_incremental_gold(spark, sf_dir):
 # ---- S4 / P2 / A2 --------------------------------------------------------
 
 def q_partition_counts(spark, sf_dir):
-    """Rows per partition after hash-distributing lineitem on its order key over
-    4 tasks (the shuffle-skew check).  Spark's Murmur3 partitioner has no DuckDB
-    equivalent, so this query has a row-count check only."""
-    li = _t(spark, sf_dir, "lineitem").select("l_orderkey")
-    return partition_counts(li.repartition(4, "l_orderkey"))
+    """Rows per task of a hash shuffle of lineitem on its order key into 4 tasks
+    (the distribution check), computed map-side.  Spark's Murmur3 partitioner
+    has no DuckDB equivalent, so this query has a row-count check only."""
+    return hash_partition_counts(_t(spark, sf_dir, "lineitem"), ["l_orderkey"], 4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

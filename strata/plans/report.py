@@ -25,6 +25,11 @@ class RunReport:
         self._obs[layer] = (obs, fallback)
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
+    def tap(self, layer: str, fallback: Callable[[], int] | None = None):
+        """``track`` as a function of the frame, for sinks that apply it
+        right before writing (after their own rebalance)."""
+        return lambda df: self.track(layer, df, fallback)
+
     def counts(self) -> dict[str, int]:
         out = {}
         for layer, (obs, fallback) in self._obs.items():

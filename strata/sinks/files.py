@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 import os
+from collections.abc import Callable
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,12 @@ from strata.functions.schemas import JSON_TS_OPTIONS
 
 log = logging.getLogger(__name__)
 
+# A function applied to the frame right before it is written (after any
+# rebalance), e.g. to attach an Observation.  Placed there, the observed
+# metrics are collected in the write's result stage, where each partition's
+# update is applied exactly once even if earlier stages are re-run.
+Tap = Callable[[DataFrame], DataFrame]
+
 
 def _norm(path: str) -> str:
     u = urlparse(path)
@@ -37,7 +44,7 @@ def assert_not_reading(df: DataFrame, path: str) -> None:
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                write_nulls: bool = True, compression: str | None = None,
-               rebalance: bool = False) -> None:
+               rebalance: bool = False, observe: Tap | None = None) -> None:
     """K1: JSON lines, lossless for timestamps (microseconds) and all-null columns.
 
     ``rebalance`` adds one adaptive round-robin exchange before the write
@@ -49,6 +56,8 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
         assert_not_reading(df, path)
     if rebalance:
         df = df.hint("rebalance")
+    if observe:
+        df = observe(df)
     w = df.write.mode(mode).options(**JSON_TS_OPTIONS)
     w = w.option("ignoreNullFields", str(not write_nulls).lower())
     if compression:
@@ -59,7 +68,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None, mode: str = "errorifexists",
                 dynamic_overwrite: bool = False, rebalance: bool = True,
-                max_records_per_file: int | None = None) -> None:
+                max_records_per_file: int | None = None, observe: Tap | None = None) -> None:
     """K2/K3: write a table, optionally partitioned by columns.
 
     With ``partition_by`` the rows are first rebalanced on those columns
@@ -73,6 +82,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         assert_not_reading(df, path)
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
+    if observe:
+        df = observe(df)
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
