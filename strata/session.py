@@ -109,6 +109,18 @@ def object_store_conf(
     return conf
 
 
+def apply_object_store_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Apply ``spark.hadoop.*`` settings to a running session.
+
+    Session SQL settings are copied into the Hadoop configuration of every
+    DataFrame read and write, so setting the keys without the
+    ``spark.hadoop.`` prefix takes effect for later I/O without touching the
+    JVM context directly.
+    """
+    for k, v in conf.items():
+        spark.conf.set(k[len("spark.hadoop."):] if k.startswith("spark.hadoop.") else k, v)
+
+
 def build_session(
     app_name: str = "strata",
     master: str | None = None,

@@ -68,3 +68,48 @@ def test_checkpoint_dir_is_set(spark):
 
     d = ensure_checkpoint_dir(spark)
     assert d and scratch_path(spark, "x").startswith(d.rstrip("/"))
+
+
+def test_apply_object_store_conf(spark):
+    from strata.session import apply_object_store_conf
+
+    apply_object_store_conf(spark, {"spark.hadoop.fs.s3a.endpoint": "http://store:9000"})
+    assert spark.conf.get("fs.s3a.endpoint") == "http://store:9000"
+    spark.conf.unset("fs.s3a.endpoint")
+
+
+def test_local_frame_empty_and_pandas(spark):
+    import pandas as pd
+
+    from strata.functions.schemas import BREWERY_SCHEMA
+    from strata.sources.local import local_frame
+
+    assert local_frame(spark, [], BREWERY_SCHEMA).columns == BREWERY_SCHEMA.fieldNames()
+    pdf = pd.DataFrame({"name": ["a"], "id": ["1"]})       # columns out of order, some missing
+    row = local_frame(spark, pdf, BREWERY_SCHEMA).collect()[0]
+    assert row.id == "1" and row.name == "a" and row.city is None
+
+
+def test_medallion_job_keeps_given_session(spark, tmp_path):
+    from strata.plans.medallion import MedallionParams, medallion_job
+
+    p = MedallionParams(root=str(tmp_path / "m"), partition_by=["g"], group_by=["g"])
+    res = medallion_job(lambda s: s.range(10).selectExpr("id", "id % 3 AS g"), p, spark=spark)
+    assert res.counts == {"bronze": 10, "silver": 10, "gold": 3}
+    assert spark.range(1).count() == 1                     # session still alive
+    with pytest.raises(Exception):
+        medallion_job(lambda s: s.range(3).selectExpr("id"), p, spark=spark)   # no column g
+    assert spark.range(1).count() == 1
+
+
+def test_silver_read_prunes_partitions_and_columns(spark, tmp_path):
+    from strata.sinks.files import write_table
+    from strata.sources.files import read_table
+
+    df = spark.range(100).selectExpr("id", "CAST(id % 5 AS STRING) AS p", "id * 2 AS v")
+    write_table(df, str(tmp_path / "s"), partition_by=["p"], mode="overwrite")
+    q = read_table(spark, str(tmp_path / "s"), schema=df.schema).filter("p = '3'").select("v")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan and "(p" in plan and "= 3)" in plan
+    assert "ReadSchema: struct<v:bigint>" in plan
+    assert q.count() == 20
