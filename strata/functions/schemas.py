@@ -30,8 +30,6 @@ PAGE_ENVELOPE_SCHEMA = T.StructType(
     ]
 )
 
-GOLD_COUNT_COLUMN = "count"
-
 # JSON text options that make a bronze round trip lossless: microsecond
 # timestamps both for zoned and zone-less types (the default cuts to millis).
 JSON_TS_OPTIONS = {
@@ -52,7 +50,3 @@ def brewery_typed_columns():
         else:
             cols.append(F.col(f))
     return cols
-
-
-def struct_ddl(schema: T.StructType) -> str:
-    return schema.simpleString()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.flatten import explode_records, parse_json_column
-from strata.functions.paging import page_of
+from strata.functions.paging import on_page, page_of
 from strata.operators.aggregates import gold_counts, group_count, hash_partition_counts, top_n
 from strata.operators.cleansing import drop_incomplete
 from strata.operators.routing import route_pages
@@ -99,11 +99,11 @@ def q_crawl_sequence(spark, sf_dir):
 
 
 def q_stray_column_drop(spark, sf_dir):
-    base = _t(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", page_of("c_custkey", PER_PAGE).alias("page"))
-    stray = base.filter(F.col("page") == 3).withColumn("extra", F.lit("x"))
-    rest = base.filter(F.col("page") != 3)
-    return drop_incomplete(union_by_name([rest, stray]).drop("page"))
+    base = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    page3 = on_page("c_custkey", 3, PER_PAGE)
+    stray = base.filter(page3).withColumn("extra", F.lit("x"))
+    rest = base.filter(~page3)
+    return drop_incomplete(union_by_name([rest, stray]))
 
 
 def q_page_union_by_name(spark, sf_dir):
