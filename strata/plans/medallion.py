@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.schemas import JSON_TS_OPTIONS
 from strata.operators.aggregates import COUNT, gold_counts, order_by_count
 from strata.operators.cleansing import drop_incomplete
 from strata.plans.report import RunReport
@@ -139,6 +140,33 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     return MedallionResult(p, counts, silver, read_gold(spark, p, schema))
 
 
+def register_layers(spark: SparkSession, p: MedallionParams, schema: T.StructType,
+                    prefix: str = "", database: str | None = None) -> list[str]:
+    """Expose the layers as external catalog tables (metadata only; the
+    data stays where the flow wrote it).  Returns the table names."""
+    db = f"`{database}`." if database else ""
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    layers = [("bronze", p.bronze_path, "json", schema),
+              ("silver", p.silver_path, p.table_format, schema),
+              ("gold", p.gold_path, p.table_format, gold_schema(schema, p.group_by, p.count_col))]
+    names = []
+    for layer, path, fmt, sch in layers:
+        name = f"{db}`{prefix}{layer}`"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sch.fields)
+        parts = p.partition_by if layer == "silver" else []
+        part_sql = ("PARTITIONED BY (" + ", ".join(f"`{c}`" for c in parts) + ") ") if parts else ""
+        spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: drops metadata only
+        opts = ""
+        if fmt == "json":   # same text formats the bronze writer used
+            opts = "OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in JSON_TS_OPTIONS.items()) + ") "
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING {fmt} {opts}{part_sql}LOCATION '{path}'")
+        if parts:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        names.append(name.replace("`", ""))
+    return names
+
+
 def medallion_job(source_factory, params: MedallionParams, spark: SparkSession | None = None,
                   app_name: str = "strata-medallion") -> MedallionResult:
     """fail loud; stop the session only if this call created it."""

@@ -225,3 +225,26 @@ def test_observed_counts_match(spark, tmp_path):
     assert "_SUCCESS" in os.listdir(p.silver_path)
     assert res.gold.agg(F.sum("count")).first()[0] == 30
     assert Row(state_province="CA", brewery_type="micro", count=10) in res.gold.collect()
+
+
+def test_register_layers_in_catalog(spark, tmp_path):
+    from strata.plans.medallion import register_layers
+
+    df = _brew(spark, [_rec(1), _rec(2, state="NY"), _rec(3)])
+    p = MedallionParams(root=str(tmp_path / "m"), partition_by=["state_province"],
+                        group_by=["state_province", "brewery_type"], schema=BREWERY_SCHEMA)
+    run_medallion(spark, df, p)
+    names = register_layers(spark, p, BREWERY_SCHEMA, prefix="brew_")
+    assert names == ["brew_bronze", "brew_silver", "brew_gold"]
+    assert spark.sql("SELECT count(*) FROM brew_bronze").first()[0] == 3
+    assert spark.sql("SELECT count(*) FROM brew_silver WHERE state_province = 'NY'").first()[0] == 1
+    assert spark.sql("SELECT sum(count) FROM brew_gold").first()[0] == 3
+    register_layers(spark, p, BREWERY_SCHEMA, prefix="brew_")          # idempotent
+    for n in names:
+        spark.sql(f"DROP TABLE {n}")
+
+
+def test_missing_format_fails_loud(spark, tmp_path):
+    df = spark.range(3).selectExpr("id", "id % 2 AS g")
+    with pytest.raises(Exception, match="(?i)avro"):
+        write_table(df, str(tmp_path / "a"), fmt="avro", mode="overwrite")
