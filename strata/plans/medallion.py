@@ -159,7 +159,8 @@ def register_layers(spark: SparkSession, p: MedallionParams, schema: T.StructTyp
         spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: drops metadata only
         opts = ""
         if fmt == "json":   # same text formats the bronze writer used
-            opts = "OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in JSON_TS_OPTIONS.items()) + ") "
+            esc = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in JSON_TS_OPTIONS.items()}
+            opts = "OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in esc.items()) + ") "
         spark.sql(f"CREATE TABLE {name} ({cols}) USING {fmt} {opts}{part_sql}LOCATION '{path}'")
         if parts:
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
