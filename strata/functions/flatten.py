@@ -43,7 +43,7 @@ def parse_json_column(df: DataFrame, column: str, schema: T.DataType | str,
     The struct's leaves are named ``<column><sep><leaf>``; ``keep`` lists the
     other columns to carry along.
     """
-    parsed = F.from_json(F.col(column), schema)
+    parsed = F.from_json(F.col(_quote(column)), schema)
     keep = keep or []
     tmp = "__parsed"
     out = df.select(*[F.col(_quote(k)) for k in keep], parsed.alias(tmp))

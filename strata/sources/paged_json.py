@@ -17,6 +17,10 @@ Options
                 the reference's request rate); total rate is
                 concurrency / pause_seconds
   timeout_seconds  per-request timeout (default 30)
+  retries       extra attempts for transient failures -- no response, 429 or
+                5xx -- with exponential backoff from ``backoff_seconds``
+                (defaults 2 and 1.0); what still fails is emitted with its
+                status and routed aside downstream (P4)
 
 This module imports only the standard library and PySpark so it can be
 pickled by value into workers that do not have the package installed.
@@ -71,6 +75,21 @@ def fetch(url: str, timeout: float = 30.0) -> tuple[int | None, str | None]:
         return 200, fh.read().rstrip("\n")
 
 
+_TRANSIENT = {429, 500, 502, 503, 504}
+
+
+def fetch_with_retries(url: str, timeout: float = 30.0, retries: int = 2,
+                       backoff: float = 1.0, fetch_fn=fetch, sleep=time.sleep):
+    """``fetch`` with bounded retries on transient outcomes."""
+    status, body = fetch_fn(url, timeout)
+    for attempt in range(max(0, retries)):
+        if status is not None and status not in _TRANSIENT:
+            break
+        sleep(backoff * (2 ** attempt))
+        status, body = fetch_fn(url, timeout)
+    return status, body
+
+
 def _groups(pages: list[int], k: int) -> list[list[int]]:
     k = max(1, min(k, len(pages)))
     size, extra = divmod(len(pages), k)
@@ -91,6 +110,8 @@ class PagedJsonReader(DataSourceReader):
         self.pause = float(options.get("pause_seconds", 0))
         self.concurrency = int(options.get("concurrency", 1))
         self.timeout = float(options.get("timeout_seconds", 30))
+        self.retries = int(options.get("retries", 2))
+        self.backoff = float(options.get("backoff_seconds", 1.0))
 
     def partitions(self):
         step = 1 if self.last >= self.first else -1
@@ -102,7 +123,7 @@ class PagedJsonReader(DataSourceReader):
     def read(self, partition):
         for page in partition.pages:
             url = self.url.format(page=page, per_page=self.per_page)
-            status, body = fetch(url, self.timeout)
+            status, body = fetch_with_retries(url, self.timeout, self.retries, self.backoff)
             yield (page, url, status, body)
             if self.pause > 0:
                 time.sleep(self.pause)
@@ -136,11 +157,12 @@ def register(spark) -> None:
 
 def read_pages(spark, url: str, first: int, last: int, per_page: int = 200,
                pause_seconds: float = 0.0, concurrency: int = 1,
-               timeout_seconds: float = 30.0):
+               timeout_seconds: float = 30.0, retries: int = 2, backoff_seconds: float = 1.0):
     """DataFrame of page envelopes (S1; S1a is ``first == last``)."""
     register(spark)
     return (spark.read.format("paged_json")
             .option("url", url).option("first", first).option("last", last)
             .option("per_page", per_page).option("pause_seconds", pause_seconds)
             .option("concurrency", concurrency).option("timeout_seconds", timeout_seconds)
+            .option("retries", retries).option("backoff_seconds", backoff_seconds)
             .load())

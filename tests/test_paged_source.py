@@ -76,3 +76,18 @@ def test_pause_is_per_task(spark, tmp_path):
     read_pages(spark, "file://" + str(tmp_path) + "/page={page}", first=4, last=1,
                pause_seconds=0.5, concurrency=1).collect()
     assert time.time() - t0 >= 2.0
+
+
+def test_retries_transient_then_gives_up():
+    from strata.sources.paged_json import fetch_with_retries
+
+    answers = iter([(None, None), (503, "busy"), (200, "[]")])
+    waits = []
+    got = fetch_with_retries("u", retries=2, backoff=0.5, fetch_fn=lambda u, t: next(answers),
+                             sleep=waits.append)
+    assert got == (200, "[]") and waits == [0.5, 1.0]
+    always = fetch_with_retries("u", retries=1, fetch_fn=lambda u, t: (500, None), sleep=lambda s: None)
+    assert always == (500, None)
+    no_retry = fetch_with_retries("u", retries=3, fetch_fn=lambda u, t: (404, None),
+                                  sleep=lambda s: (_ for _ in ()).throw(AssertionError("slept")))
+    assert no_retry == (404, None)
