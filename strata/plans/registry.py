@@ -140,13 +140,7 @@ def q_page_bodies_explode(spark, sf_dir):
 
 def q_paged_source(spark, sf_dir):
     """Page bodies written as files, crawled back with the paged source."""
-    pages = _customer_pages(spark, sf_dir)
-    root = scratch_path(spark, "pages")
-    pages.write.partitionBy("page").text(root)
-    # Page count from the key range: a one-column aggregate, not a second pass
-    # over the page bodies.
-    max_key = _t(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
-    last_page = 1 if max_key is None else int(max_key) // PER_PAGE + 1
+    root, last_page = _write_customer_pages(spark, sf_dir)
     # File transport: one task per core is enough (an HTTP crawl would size
     # concurrency by the API's allowed request rate instead).
     tasks = min(last_page, spark.sparkContext.defaultParallelism)
@@ -218,6 +212,40 @@ def q_medallion_gold(spark, sf_dir):
     return run_medallion(spark, c, p).gold
 
 
+def q_medallion_layer_counts(spark, sf_dir):
+    """the per-layer row counts observed while the flow wrote its layers."""
+    c = _t(spark, sf_dir, "customer")
+    p = MedallionParams(root=scratch_path(spark, "medallion-counts"), partition_by=["c_mktsegment"],
+                        group_by=GOLD_KEYS)
+    counts = run_medallion(spark, c, p).counts
+    # three rows, one per layer, built from the observed metrics
+    return spark.createDataFrame(list(counts.items()), "layer string, rows bigint")
+
+
+def _write_customer_pages(spark, sf_dir) -> tuple[str, int]:
+    pages = _customer_pages(spark, sf_dir)
+    root = scratch_path(spark, "pages")
+    pages.write.partitionBy("page").text(root)
+    # Page count from the key range: a one-column aggregate, not a second pass
+    # over the page bodies.
+    max_key = _t(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
+    return root, 1 if max_key is None else int(max_key) // PER_PAGE + 1
+
+
+def q_crawl_medallion_gold(spark, sf_dir):
+    """The whole job: crawl page bodies once, route, flatten, bronze/silver/gold."""
+    from strata.plans.api_job import crawl_records
+
+    root, last_page = _write_customer_pages(spark, sf_dir)
+    records, _failed = crawl_records(spark, "file://" + root + "/page={page}", first=last_page,
+                                     last=1, per_page=PER_PAGE,
+                                     concurrency=min(last_page, spark.sparkContext.defaultParallelism),
+                                     record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
+    p = MedallionParams(root=scratch_path(spark, "crawl-medallion"), partition_by=["c_mktsegment"],
+                        group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA)
+    return run_medallion(spark, records.drop("page", "position"), p).gold
+
+
 def q_medallion_incremental_gold(spark, sf_dir):
     """F1 as an incremental streaming run over the customer table's files."""
     from strata.streaming.incremental import run_incremental_medallion
@@ -243,6 +271,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_orders": q_gold_orders,
     "medallion_gold": q_medallion_gold,
     "medallion_incremental_gold": q_medallion_incremental_gold,
+    "medallion_layer_counts": q_medallion_layer_counts,
+    "crawl_medallion_gold": q_crawl_medallion_gold,
     "gold_null_group": q_gold_null_group,
     "preview_top20": q_preview_top20,
     "preview_crawl_head15": q_preview_crawl_head15,
@@ -272,6 +302,11 @@ ORACLE_SQL: dict[str, str] = {
                     'FROM orders GROUP BY 1, 2'),
     "medallion_gold": _GOLD_SQL,
     "medallion_incremental_gold": _GOLD_SQL,
+    "medallion_layer_counts": ("SELECT 'bronze' AS layer, count(*) AS \"rows\" FROM customer "
+                               "UNION ALL SELECT 'silver', count(*) FROM customer "
+                               "UNION ALL SELECT 'gold', count(*) FROM "
+                               "(SELECT DISTINCT c_nationkey, c_mktsegment FROM customer)"),
+    "crawl_medallion_gold": 'SELECT c_mktsegment, count(*) AS "count" FROM customer GROUP BY 1',
     "gold_null_group": ("SELECT c_nationkey, nullif(c_mktsegment, 'FURNITURE') AS c_mktsegment, "
                         'count(*) AS "count" FROM customer GROUP BY 1, 2'),
     "preview_top20": _GOLD_SQL + " ORDER BY 3 DESC, 1, 2 LIMIT 20",
