@@ -47,6 +47,10 @@ class MedallionParams:
     # hot partitions split.  Switch off when the input is already evenly
     # spread over large files and a shuffle would buy nothing.
     optimize_writes: bool = True
+    # Text codec for bronze ("gzip", "bzip2", "deflate", ...; None = plain).
+    # Compressed JSON files are not splittable, but optimized writes keep each
+    # file near the advisory partition size, so silver still reads in parallel.
+    bronze_compression: str | None = None
     # Where incomplete rows are dropped ("bronze" as in the reference,
     # "silver" to keep bronze raw, or None) and over which columns.
     drop_incomplete_at: str | None = "bronze"
@@ -111,6 +115,7 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     if p.drop_incomplete_at == "bronze":
         bronze_in = drop_incomplete(bronze_in, subset=p.drop_subset)
     write_json(bronze_in, p.bronze_path, mode=p.bronze_mode, rebalance=p.optimize_writes,
+               compression=p.bronze_compression,
                observe=report.tap("bronze", _stored(spark, p.bronze_path, "json", schema)))
 
     # Silver: declared-schema read of bronze, partitioned columnar table.

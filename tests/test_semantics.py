@@ -248,3 +248,13 @@ def test_missing_format_fails_loud(spark, tmp_path):
     df = spark.range(3).selectExpr("id", "id % 2 AS g")
     with pytest.raises(Exception, match="(?i)avro"):
         write_table(df, str(tmp_path / "a"), fmt="avro", mode="overwrite")
+
+
+def test_bronze_compression(spark, tmp_path):
+    df = _brew(spark, [_rec(i) for i in range(20)])
+    p = MedallionParams(root=str(tmp_path / "m"), partition_by=["state_province"],
+                        group_by=["state_province", "brewery_type"], schema=BREWERY_SCHEMA,
+                        bronze_compression="gzip")
+    res = run_medallion(spark, df, p)
+    assert res.counts == {"bronze": 20, "silver": 20, "gold": 1}
+    assert any(f.endswith(".json.gz") for f in os.listdir(p.bronze_path))
