@@ -62,3 +62,12 @@ def test_api_job_keeps_sentinels_without_drop(spark, tmp_path, pages):
     assert res.counts["bronze"] == 6 + 1 + 3  # 6 records, the error object, 3 sentinels
     null_group = [r["count"] for r in res.gold.collect() if r.state_province is None]
     assert null_group == [4]
+
+
+def test_cli_runs_job_on_active_session(spark, tmp_path, pages):
+    from strata.cli import main
+
+    counts = main(["--url", pages, "--root", str(tmp_path / "lake"), "--first", "7", "--last", "1",
+                   "--pause-seconds", "0", "--concurrency", "2", "--preview", "0"])
+    assert counts == {"bronze": 5, "silver": 5, "gold": 4}
+    assert spark.range(1).count() == 1           # the caller's session is left running
