@@ -55,7 +55,7 @@ def main() -> None:
 
     def bronze_write():
         state["bronze"] = scratch_path(spark, "bench-bronze")
-        write_json(spark.read.parquet(li_path), state["bronze"], rebalance=True)
+        write_json(spark.read.parquet(li_path), state["bronze"])   # as the flow does
 
     def bronze_inferred_count():
         gold_counts(read_json(spark, state["bronze"]), keys).collect()

@@ -43,10 +43,11 @@ class MedallionParams:
     silver_mode: str = "overwrite"
     gold_mode: str = "overwrite"
     dynamic_silver: bool = False
-    # One adaptive rebalance before each layer write: bounded file sizes and
-    # hot partitions split.  Switch off when the input is already evenly
-    # spread over large files and a shuffle would buy nothing.
-    optimize_writes: bool = True
+    # Adaptive rebalance before the layer writes.  Silver (partitioned) always
+    # rebalances on its partition columns unless this is False: without it
+    # every task writes a file per value.  Bronze: None = only when the source
+    # is under-partitioned (see sinks.files.under_partitioned); True/False force it.
+    optimize_writes: bool | None = None
     # Text codec for bronze ("gzip", "bzip2", "deflate", ...; None = plain).
     # Compressed JSON files are not splittable, but optimized writes keep each
     # file near the advisory partition size, so silver still reads in parallel.
@@ -124,7 +125,7 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
         bronze = drop_incomplete(bronze, subset=p.drop_subset)
     write_table(bronze, p.silver_path, p.table_format, partition_by=p.partition_by,
                 mode=p.silver_mode, dynamic_overwrite=p.dynamic_silver,
-                rebalance=p.optimize_writes,
+                rebalance=p.optimize_writes is not False,
                 observe=report.tap("silver", _stored(spark, p.silver_path, p.table_format, schema)))
 
     # Gold: grouped count over silver, sorted by count.

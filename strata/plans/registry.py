@@ -167,14 +167,14 @@ def q_failed_page_audit(spark, sf_dir):
 def q_bronze_roundtrip(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
     path = scratch_path(spark, "bronze-events")
-    write_json(e, path, rebalance=True)
+    write_json(e, path)
     return read_json(spark, path, e.schema)
 
 
 def q_bronze_inferred(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "bronze-lineitem")
-    write_json(li, path, rebalance=True)
+    write_json(li, path)
     return read_json(spark, path).select("l_extendedprice", "l_linenumber", "l_orderkey")
 
 

@@ -33,27 +33,39 @@ def _norm(path: str) -> str:
     return f"{u.scheme}://{u.netloc}{u.path}".rstrip("/")
 
 
-def assert_not_reading(df: DataFrame, path: str) -> None:
+def assert_not_reading(df: DataFrame, path: str, files: list[str] | None = None) -> None:
     """Refuse an overwrite of a folder that ``df`` itself reads (data loss, 2.8 #12)."""
     target = _norm(path)
-    for f in df.inputFiles():
+    for f in (df.inputFiles() if files is None else files):
         src = _norm(f)
         if src == target or src.startswith(target + "/"):
             raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
 
 
+def under_partitioned(df: DataFrame, files: list[str] | None = None) -> bool:
+    """True when ``df`` reads fewer files than the cluster runs tasks at once
+    (one large file, a crawl with no files): its scan cannot spread the work."""
+    files = df.inputFiles() if files is None else files
+    return len(files) < df.sparkSession.sparkContext.defaultParallelism
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                write_nulls: bool = True, compression: str | None = None,
-               rebalance: bool = False, observe: Tap | None = None) -> None:
+               rebalance: bool | None = None, observe: Tap | None = None) -> None:
     """K1: JSON lines, lossless for timestamps (microseconds) and all-null columns.
 
     ``rebalance`` adds one adaptive round-robin exchange before the write
     (an "optimized write"): output files come out near the advisory partition
-    size and an under-partitioned input (one large file, a small crawl) is
-    serialised by many tasks instead of one.
+    size and an under-partitioned input is serialised by many tasks instead of
+    one.  ``None`` decides per input: only an under-partitioned input pays for
+    the shuffle; a large input already spread over many files is written as it
+    is read.
     """
+    files = df.inputFiles() if (mode == "overwrite" or rebalance is None) else None
     if mode == "overwrite":
-        assert_not_reading(df, path)
+        assert_not_reading(df, path, files)
+    if rebalance is None:
+        rebalance = under_partitioned(df, files)
     if rebalance:
         df = df.hint("rebalance")
     if observe:
