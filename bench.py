@@ -46,6 +46,11 @@ def main() -> None:
     from strata.sources.files import read_json
 
     li_path = f"{SF_DIR}/lineitem.parquet"
+    # One folder per step for the whole bench; every run overwrites it (the
+    # flow's default modes make reruns safe), so disk use does not grow with
+    # the number of runs.
+    roots = {name: scratch_path(spark, f"bench-{name}")
+             for name in ("bronze", "silver", "medallion", "pages", "crawl")}
     li_schema = spark.read.parquet(li_path).schema
     keys = ["l_returnflag", "l_linestatus"]
     state: dict[str, str] = {}
@@ -54,7 +59,7 @@ def main() -> None:
         gold_counts(spark.read.parquet(li_path), keys).collect()
 
     def bronze_write():
-        state["bronze"] = scratch_path(spark, "bench-bronze")
+        state["bronze"] = roots["bronze"]
         write_json(spark.read.parquet(li_path), state["bronze"])   # as the flow does
 
     def bronze_inferred_count():
@@ -64,11 +69,11 @@ def main() -> None:
         gold_counts(read_json(spark, state["bronze"], li_schema), keys).collect()
 
     def silver_write():
-        write_table(read_json(spark, state["bronze"], li_schema), scratch_path(spark, "bench-silver"),
+        write_table(read_json(spark, state["bronze"], li_schema), roots["silver"],
                     partition_by=["l_returnflag"], mode="overwrite")
 
     def medallion_flow():
-        p = MedallionParams(root=scratch_path(spark, "bench-medallion"),
+        p = MedallionParams(root=roots["medallion"],
                             partition_by=["l_returnflag"], group_by=keys)
         run_medallion(spark, spark.read.parquet(li_path), p).gold.collect()
 
@@ -80,14 +85,14 @@ def main() -> None:
         from strata.plans.registry import CUSTOMER_PAGE_SCHEMA, PER_PAGE, _customer_pages
 
         if "pages" not in state:
-            state["pages"] = scratch_path(spark, "bench-pages")
+            state["pages"] = roots["pages"]
             _customer_pages(spark, SF_DIR).write.partitionBy("page").text(state["pages"])
         max_key = spark.read.parquet(f"{SF_DIR}/customer.parquet").agg({"c_custkey": "max"}).first()[0]
         records, _ = crawl_records(spark, "file://" + state["pages"] + "/page={page}",
                                    first=int(max_key) // PER_PAGE + 1, last=1, per_page=PER_PAGE,
                                    concurrency=spark.sparkContext.defaultParallelism,
                                    record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
-        p = MedallionParams(root=scratch_path(spark, "bench-crawl"), partition_by=["c_mktsegment"],
+        p = MedallionParams(root=roots["crawl"], partition_by=["c_mktsegment"],
                             group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA)
         run_medallion(spark, records.drop("page", "position"), p).gold.collect()
 
