@@ -43,6 +43,8 @@ _PROFILES = {
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * 1024 * 1024),
+        # honour the advisory size instead of maximising task count
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.task.maxFailures": "8",
         "spark.stage.maxConsecutiveAttempts": "8",
         "spark.speculation": "true",

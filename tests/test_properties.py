@@ -43,3 +43,33 @@ def test_bronze_round_trip_lossless(spark, tmp_path_factory, data):
     write_json(df, path + "/x")
     back = read_json(spark, path + "/x", df.schema)
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+leaf = st.one_of(st.none(), st.integers(-1000, 1000))
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(leaf, st.tuples(leaf, st.tuples(leaf, leaf)), leaf), max_size=20))
+def test_flatten_then_rebuild(spark, data):
+    from strata.functions.flatten import flatten
+
+    schema = "a int, s struct<b:int, t:struct<c:int, d:int>>, e int"
+    rows = [(a, None if s is None else (s[0], s[1]), e) for a, s, e in data]
+    df = spark.createDataFrame(rows, schema)
+    flat = flatten(df)
+    assert flat.columns == ["a", "s.b", "s.t.c", "s.t.d", "e"]
+    rebuilt = flat.select(
+        "a",
+        F.struct(F.col("`s.b`").alias("b"),
+                 F.struct(F.col("`s.t.c`").alias("c"), F.col("`s.t.d`").alias("d")).alias("t")
+                 ).alias("s"),
+        "e")
+    # a null struct flattens to null leaves; rebuilding gives a struct of nulls
+    def norm(r):
+        s = r.s
+        if s is not None and s.b is None and (s.t is None or (s.t.c is None and s.t.d is None)):
+            s = None
+        t = None if s is None else (s.b, None if s.t is None or (s.t.c is None and s.t.d is None)
+                                    else (s.t.c, s.t.d))
+        return (r.a, t, r.e)
+    assert sorted(map(norm, rebuilt.collect()), key=repr) == sorted(map(norm, df.collect()), key=repr)
