@@ -109,22 +109,23 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 
 def publish_single_object(df: DataFrame, path: str, fmt: str = "json",
-                          max_rows: int = 1_000_000, mode: str = "overwrite") -> int:
+                          max_rows: int = 1_000_000, mode: str = "overwrite") -> bool:
     """K7: write a small result as one object (one part file).
 
     Funnelling rows into one task is only safe for a bounded result, so the
-    row count is checked first; above ``max_rows`` the result is written as a
-    normal multi-file dataset instead.  Returns the row count.
+    size is probed first with ``limit(max_rows + 1)`` (the probe stops early on
+    a large input); above ``max_rows`` the result is written as a normal
+    multi-file dataset instead.  Returns True when one object was written.
     """
-    n = df.count()
-    out = df.coalesce(1) if n <= max_rows else df
-    if n > max_rows:
-        log.warning("publish_single_object: %d rows > %d; writing a multi-file dataset", n, max_rows)
-    w = out.write.format(fmt).mode(mode)
+    small = df.limit(max_rows + 1).count() <= max_rows
+    if not small:
+        log.warning("publish_single_object: more than %d rows; writing a multi-file dataset",
+                    max_rows)
+    w = (df.coalesce(1) if small else df).write.format(fmt).mode(mode)
     if fmt in ("json", "csv"):
         w = w.options(**JSON_TS_OPTIONS)
     w.save(path)
-    return n
+    return small
 
 
 def append_stamped(df: DataFrame, path: str, fmt: str = "parquet",

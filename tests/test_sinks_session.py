@@ -16,9 +16,9 @@ def _parts(path):
 
 def test_single_object_and_fallback(spark, tmp_path):
     df = spark.range(0, 100, 1, 8)
-    assert publish_single_object(df, str(tmp_path / "one"), fmt="json") == 100
+    assert publish_single_object(df, str(tmp_path / "one"), fmt="json") is True
     assert len(_parts(str(tmp_path / "one"))) == 1
-    publish_single_object(df, str(tmp_path / "many"), fmt="json", max_rows=10)
+    assert publish_single_object(df, str(tmp_path / "many"), fmt="json", max_rows=10) is False
     assert len(_parts(str(tmp_path / "many"))) > 1
     assert spark.read.json(str(tmp_path / "many")).count() == 100
 
