@@ -1,7 +1,10 @@
-"""Command line for the whole job (F5 parameters as flags).
+"""Command line: the whole job (F5 parameters as flags) and the distribution check.
 
-    spark-submit strata/cli.py --url 'https://api.example/items?page={page}&per_page={per_page}' \
+    spark-submit strata/cli.py medallion \
+        --url 'https://api.example/items?page={page}&per_page={per_page}' \
         --root s3a://lake/items --endpoint http://store:9000 --first 40 --last 1
+    spark-submit strata/cli.py partitions --rows 10000 --partitions 4
+    spark-submit strata/cli.py partitions --table s3a://lake/items/silver --keys id --partitions 400
 
 Object-store keys come from ``AWS_ACCESS_KEY_ID`` / ``AWS_SECRET_ACCESS_KEY``;
 JDBC credentials from the environment variables named by ``--jdbc-user-env`` /
@@ -20,7 +23,15 @@ if __package__ in (None, ""):  # run as a file by spark-submit
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
-    ap = argparse.ArgumentParser(description="Crawl a paged JSON API into bronze/silver/gold.")
+    top = argparse.ArgumentParser(description="strata jobs")
+    sub = top.add_subparsers(dest="command", required=True)
+    pc = sub.add_parser("partitions", help="rows per partition (distribution check)")
+    pc.add_argument("--rows", type=int, default=10000, help="range size when no --table")
+    pc.add_argument("--partitions", type=int, default=4)
+    pc.add_argument("--table", help="table folder: rows per task of a hash shuffle on --keys")
+    pc.add_argument("--format", default="parquet")
+    pc.add_argument("--keys", nargs="+")
+    ap = sub.add_parser("medallion", help="crawl a paged JSON API into bronze/silver/gold")
     ap.add_argument("--url", required=True, help="page URL template with {page} and {per_page}")
     ap.add_argument("--root", required=True, help="storage root for the layers")
     ap.add_argument("--first", type=int, default=40)
@@ -41,10 +52,25 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--jdbc-password-env")
     ap.add_argument("--jdbc-truncate", action="store_true")
     ap.add_argument("--preview", type=int, default=20, help="gold rows to print (0: none)")
-    return ap.parse_args(argv)
+    return top.parse_args(argv)
 
 
-def main(argv: list[str] | None = None) -> dict:
+def _partitions(spark, a) -> list[tuple[int, int]]:
+    from strata.operators.aggregates import hash_partition_counts, partition_counts
+    from strata.sources.generators import range_frame
+
+    if a.table:
+        if not a.keys:
+            raise SystemExit("--keys is required with --table")
+        df = hash_partition_counts(spark.read.format(a.format).load(a.table), a.keys, a.partitions)
+    else:
+        df = partition_counts(range_frame(spark, 0, a.rows, 1, a.partitions))
+    df = df.orderBy("partition")
+    df.show(a.partitions, truncate=False)
+    return [tuple(r) for r in df.collect()]
+
+
+def main(argv: list[str] | None = None):
     a = parse_args(argv)
     from pyspark.sql import SparkSession
 
@@ -60,6 +86,8 @@ def main(argv: list[str] | None = None) -> dict:
             builder = builder.config(k, v)
         spark, owned = builder.getOrCreate(), True
     try:
+        if a.command == "partitions":
+            return _partitions(spark, a)
         if a.endpoint:
             apply_object_store_conf(spark, object_store_conf(a.endpoint))
         jdbc = None

@@ -67,7 +67,18 @@ def test_api_job_keeps_sentinels_without_drop(spark, tmp_path, pages):
 def test_cli_runs_job_on_active_session(spark, tmp_path, pages):
     from strata.cli import main
 
-    counts = main(["--url", pages, "--root", str(tmp_path / "lake"), "--first", "7", "--last", "1",
+    counts = main(["medallion", "--url", pages, "--root", str(tmp_path / "lake"), "--first", "7", "--last", "1",
                    "--pause-seconds", "0", "--concurrency", "2", "--preview", "0"])
     assert counts == {"bronze": 5, "silver": 5, "gold": 4}
     assert spark.range(1).count() == 1           # the caller's session is left running
+
+
+def test_cli_distribution_check(spark, tmp_path):
+    from strata.cli import main
+
+    assert main(["partitions", "--rows", "10000", "--partitions", "4"]) == [
+        (0, 2500), (1, 2500), (2, 2500), (3, 2500)]
+    path = str(tmp_path / "t")
+    spark.range(0, 1000).write.parquet(path)
+    got = main(["partitions", "--table", path, "--keys", "id", "--partitions", "3"])
+    assert sum(c for _, c in got) == 1000 and len(got) == 3
