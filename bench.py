@@ -41,7 +41,7 @@ def main() -> None:
     from strata.operators.aggregates import gold_counts
     from strata.plans.medallion import MedallionParams, run_medallion
     from strata.plans.registry import QUERIES
-    from strata.session import scratch_path
+    from strata.session import default_parallelism, scratch_path
     from strata.sinks.files import write_json, write_table
     from strata.sources.files import read_json
 
@@ -90,7 +90,7 @@ def main() -> None:
         max_key = spark.read.parquet(f"{SF_DIR}/customer.parquet").agg({"c_custkey": "max"}).first()[0]
         records, _ = crawl_records(spark, "file://" + state["pages"] + "/page={page}",
                                    first=int(max_key) // PER_PAGE + 1, last=1, per_page=PER_PAGE,
-                                   concurrency=spark.sparkContext.defaultParallelism,
+                                   concurrency=default_parallelism(spark),
                                    record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
         p = MedallionParams(root=roots["crawl"], partition_by=["c_mktsegment"],
                             group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA)

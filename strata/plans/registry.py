@@ -22,7 +22,7 @@ from strata.operators.routing import route_pages
 from strata.operators.sequence import with_sequence
 from strata.operators.union import union_by_name
 from strata.plans.medallion import MedallionParams, gold_schema, run_medallion
-from strata.session import scratch_path
+from strata.session import default_parallelism, scratch_path
 from strata.sinks.files import publish_single_object, write_json, write_table
 from strata.sources.files import read_json, read_table, read_testdata
 from strata.sources.paged_json import read_pages
@@ -143,7 +143,7 @@ def q_paged_source(spark, sf_dir):
     root, last_page = _write_customer_pages(spark, sf_dir)
     # File transport: one task per core is enough (an HTTP crawl would size
     # concurrency by the API's allowed request rate instead).
-    tasks = min(last_page, spark.sparkContext.defaultParallelism)
+    tasks = min(last_page, default_parallelism(spark))
     env = read_pages(spark, "file://" + root + "/page={page}", first=last_page, last=1,
                      per_page=PER_PAGE, concurrency=tasks)
     records, _failed = route_pages(env, CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
@@ -239,7 +239,7 @@ def q_crawl_medallion_gold(spark, sf_dir):
     root, last_page = _write_customer_pages(spark, sf_dir)
     records, _failed = crawl_records(spark, "file://" + root + "/page={page}", first=last_page,
                                      last=1, per_page=PER_PAGE,
-                                     concurrency=min(last_page, spark.sparkContext.defaultParallelism),
+                                     concurrency=min(last_page, default_parallelism(spark)),
                                      record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
     p = MedallionParams(root=scratch_path(spark, "crawl-medallion"), partition_by=["c_mktsegment"],
                         group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA)

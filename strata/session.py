@@ -140,8 +140,27 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return (master or "").startswith("local")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Tasks the cluster runs at once (falls back to the shuffle partition count)."""
+    sc = _context(spark)
+    if sc is not None:
+        return int(sc.defaultParallelism)
+    return int(spark.conf.get("spark.default.parallelism", None)
+               or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -152,22 +171,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder.  On a cluster with neither set this raises, since a machine-local
     folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif _is_local(spark):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
-    else:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3) "
-            "so checkpoints survive executor loss"
-        )
+    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not _is_local(spark):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3) "
+                "so checkpoints survive executor loss"
+            )
+        configured = tempfile.mkdtemp(prefix="strata-ckpt-")
+    if sc is None:
+        # Spark Connect: the server applies the setting to checkpoint().
+        spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 

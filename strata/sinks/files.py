@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.schemas import JSON_TS_OPTIONS
+from strata.session import default_parallelism
 
 log = logging.getLogger(__name__)
 
@@ -46,7 +47,7 @@ def under_partitioned(df: DataFrame, files: list[str] | None = None) -> bool:
     """True when ``df`` reads fewer files than the cluster runs tasks at once
     (one large file, a crawl with no files): its scan cannot spread the work."""
     files = df.inputFiles() if files is None else files
-    return len(files) < df.sparkSession.sparkContext.defaultParallelism
+    return len(files) < default_parallelism(df.sparkSession)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
