@@ -2,8 +2,9 @@
 
 Matches the behaviour of a JSON normaliser: nested objects become columns,
 arrays stay whole, a lone object is one record and ``[]`` is zero records.
-Everything here is a projection over ``StructType`` fields, so it stays in
-whole-stage codegen and Catalyst prunes unused leaves before the scan.
+Flattening itself is a projection over ``StructType`` fields (codegen'd, and
+Catalyst prunes unused leaves); parsing uses the built-in ``from_json`` once
+per value.
 """
 
 from __future__ import annotations
