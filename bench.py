@@ -82,13 +82,14 @@ def main() -> None:
         # paged source (file transport, no pacing), routed, flattened, then the
         # medallion flow.  Not part of the headline total.
         from strata.plans.api_job import crawl_records
+        from strata.sources.paged_json import page_url
         from strata.plans.registry import CUSTOMER_PAGE_SCHEMA, PER_PAGE, _customer_pages
 
         if "pages" not in state:
             state["pages"] = roots["pages"]
             _customer_pages(spark, SF_DIR).write.partitionBy("page").text(state["pages"])
         max_key = spark.read.parquet(f"{SF_DIR}/customer.parquet").agg({"c_custkey": "max"}).first()[0]
-        records, _ = crawl_records(spark, "file://" + state["pages"] + "/page={page}",
+        records, _ = crawl_records(spark, page_url(state["pages"]),
                                    first=int(max_key) // PER_PAGE + 1, last=1, per_page=PER_PAGE,
                                    concurrency=default_parallelism(spark),
                                    record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")

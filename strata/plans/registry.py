@@ -25,7 +25,7 @@ from strata.plans.medallion import MedallionParams, gold_schema, run_medallion
 from strata.session import default_parallelism, scratch_path
 from strata.sinks.files import publish_single_object, write_json, write_table
 from strata.sources.files import read_json, read_table, read_testdata
-from strata.sources.paged_json import read_pages
+from strata.sources.paged_json import page_url, read_pages
 
 PER_PAGE = 200
 GOLD_KEYS = ["c_nationkey", "c_mktsegment"]
@@ -144,7 +144,7 @@ def q_paged_source(spark, sf_dir):
     # File transport: one task per core is enough (an HTTP crawl would size
     # concurrency by the API's allowed request rate instead).
     tasks = min(last_page, default_parallelism(spark))
-    env = read_pages(spark, "file://" + root + "/page={page}", first=last_page, last=1,
+    env = read_pages(spark, page_url(root), first=last_page, last=1,
                      per_page=PER_PAGE, concurrency=tasks)
     records, _failed = route_pages(env, CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
     return group_count(records, ["page"])
@@ -237,7 +237,7 @@ def q_crawl_medallion_gold(spark, sf_dir):
     from strata.plans.api_job import crawl_records
 
     root, last_page = _write_customer_pages(spark, sf_dir)
-    records, _failed = crawl_records(spark, "file://" + root + "/page={page}", first=last_page,
+    records, _failed = crawl_records(spark, page_url(root), first=last_page,
                                      last=1, per_page=PER_PAGE,
                                      concurrency=min(last_page, default_parallelism(spark)),
                                      record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")

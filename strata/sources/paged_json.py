@@ -7,9 +7,10 @@ has no side effects: a retried task fetches again and emits each page once.
 
 Options
   url           template with ``{page}`` and ``{per_page}``; ``http(s)://`` is
-                fetched over the network, ``file://`` or a plain path is read
-                from a (shared) file system -- a folder holding one data file,
-                as written by ``df.write.text``, or a single file.
+                fetched over the network; ``file:``, a plain path or another
+                file-system scheme (``s3a://``, ``hdfs://`` ... through
+                ``pyarrow.fs``) is read from shared storage -- a folder holding
+                one data file, as written by ``df.write.text``, or a file.
   first, last   page range in crawl order (``first=40, last=1`` walks down)
   per_page      records per page (default 200)
   pause_seconds pause after each page, per task (default 0)
@@ -22,8 +23,9 @@ Options
                 (defaults 2 and 1.0); what still fails is emitted with its
                 status and routed aside downstream (P4)
 
-This module imports only the standard library and PySpark so it can be
-pickled by value into workers that do not have the package installed.
+This module imports only the standard library, PySpark and (lazily) pyarrow,
+so it can be pickled by value into workers that do not have the package
+installed.
 """
 
 from __future__ import annotations
@@ -44,10 +46,44 @@ class PageGroup(InputPartition):
         self.pages = pages
 
 
-def _data_files(folder: str) -> list[str]:
-    names = sorted(n for n in os.listdir(folder)
-                   if not n.startswith((".", "_")) and not n.endswith(".crc"))
-    return [os.path.join(folder, n) for n in names]
+def _is_data_file(name: str) -> bool:
+    base = name.rsplit("/", 1)[-1]
+    return not base.startswith((".", "_")) and not base.endswith(".crc")
+
+
+def _read_local(path: str) -> tuple[int | None, str | None]:
+    if os.path.isdir(path):
+        files = sorted(os.path.join(path, n) for n in os.listdir(path) if _is_data_file(n))
+        if len(files) != 1:
+            return (404, None) if not files else (500, None)
+        path = files[0]
+    if not os.path.isfile(path):
+        return 404, None
+    with open(path, encoding="utf-8", errors="replace") as fh:
+        return 200, fh.read().rstrip("\n")
+
+
+def _read_fs(url: str) -> tuple[int | None, str | None]:
+    """Any other file-system URI through pyarrow (s3/s3a, hdfs, gs ...)."""
+    try:
+        from pyarrow import fs as pafs
+
+        uri = "s3://" + url[len("s3a://"):] if url.startswith("s3a://") else url
+        filesystem, path = pafs.FileSystem.from_uri(uri)
+        info = filesystem.get_file_info(path)
+        if info.type == pafs.FileType.Directory:
+            sel = pafs.FileSelector(path, recursive=False)
+            files = sorted(i.path for i in filesystem.get_file_info(sel)
+                           if i.type == pafs.FileType.File and _is_data_file(i.path))
+            if len(files) != 1:
+                return (404, None) if not files else (500, None)
+            path = files[0]
+        elif info.type != pafs.FileType.File:
+            return 404, None
+        with filesystem.open_input_stream(path) as fh:
+            return 200, fh.read().decode("utf-8", errors="replace").rstrip("\n")
+    except Exception:
+        return None, None
 
 
 def fetch(url: str, timeout: float = 30.0) -> tuple[int | None, str | None]:
@@ -63,16 +99,19 @@ def fetch(url: str, timeout: float = 30.0) -> tuple[int | None, str | None]:
             return e.code, body
         except (urllib.error.URLError, TimeoutError, OSError):
             return None, None
-    path = u.path if u.scheme == "file" else url
-    if os.path.isdir(path):
-        files = _data_files(path)
-        if len(files) != 1:
-            return (404, None) if not files else (500, None)
-        path = files[0]
-    if not os.path.isfile(path):
-        return 404, None
-    with open(path, encoding="utf-8", errors="replace") as fh:
-        return 200, fh.read().rstrip("\n")
+    if u.scheme in ("", "file"):
+        return _read_local(u.path if u.scheme == "file" else url)
+    return _read_fs(url)
+
+
+def page_url(root: str, name: str = "page") -> str:
+    """URL template for page folders ``<root>/<name>=<n>`` as written by
+    ``df.write.partitionBy(name).text(root)``; ``root`` may be a plain path,
+    a ``file:`` URI or another file-system URI."""
+    u = urlparse(root)
+    if u.scheme in ("", "file"):
+        root = "file://" + os.path.abspath(u.path if u.scheme == "file" else root)
+    return root.rstrip("/") + "/" + name + "={page}"
 
 
 _TRANSIENT = {429, 500, 502, 503, 504}

@@ -91,3 +91,16 @@ def test_retries_transient_then_gives_up():
     no_retry = fetch_with_retries("u", retries=3, fetch_fn=lambda u, t: (404, None),
                                   sleep=lambda s: (_ for _ in ()).throw(AssertionError("slept")))
     assert no_retry == (404, None)
+
+
+def test_page_url_forms(tmp_path):
+    from strata.sources.paged_json import page_url
+
+    assert page_url("/data/p") == "file:///data/p/page={page}"
+    assert page_url("file:/data/p/") == "file:///data/p/page={page}"
+    assert page_url("s3a://bucket/p") == "s3a://bucket/p/page={page}"
+    _write_pages(str(tmp_path), {2: "[1]"})
+    assert fetch(page_url("file:" + str(tmp_path)).format(page=2)) == (200, "[1]")
+    # another scheme goes through pyarrow's file systems (its empty mock one here)
+    assert fetch("mock://nowhere/page=1") == (404, None)
+    assert fetch("nosuchscheme://x/page=1") == (None, None)
