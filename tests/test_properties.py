@@ -73,3 +73,29 @@ def test_flatten_then_rebuild(spark, data):
                                     else (s.t.c, s.t.d))
         return (r.a, t, r.e)
     assert sorted(map(norm, rebuilt.collect()), key=repr) == sorted(map(norm, df.collect()), key=repr)
+
+
+@SETTINGS
+@given(pages=st.lists(st.sampled_from([1, 2, 3, 7, 7, 7, 7]), max_size=60),
+       parts=st.integers(1, 9))
+def test_sequence_is_row_number(spark, pages, parts):
+    from pyspark.sql import Window
+
+    from strata.operators.sequence import with_sequence
+
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "k long, page long")
+    order = [F.col("page").desc(), F.col("k")]
+    got = {r.k: r.seq for r in with_sequence(df, order, num_partitions=parts).collect()}
+    exp = {r.k: r.rn - 1 for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
+           .collect()}
+    assert got == exp
+
+
+def test_bronze_round_trip_float_arrays(spark, tmp_path):
+    from tests.conftest import SF_SMALL
+
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    write_json(emb, str(tmp_path / "b"))
+    back = read_json(spark, str(tmp_path / "b"), emb.schema)
+    assert back.schema == emb.schema
+    assert back.exceptAll(emb).count() == 0 and emb.exceptAll(back).count() == 0
