@@ -47,7 +47,9 @@ _PROFILES = {
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.task.maxFailures": "8",
         "spark.stage.maxConsecutiveAttempts": "8",
-        "spark.speculation": "true",
+        # No speculation: paced crawl tasks are slow on purpose, and a
+        # speculative copy would repeat requests against the API.
+        "spark.speculation": "false",
     },
 }
 
