@@ -35,6 +35,11 @@ from strata.sinks.files import write_table
 
 @dataclass
 class IncrementalRun:
+    """Rows taken in by the bronze and silver queries in this run (summed over
+    the run's micro-batches as kept in ``recentProgress``: up to
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches, 100 by default;
+    without ``max_files_per_trigger`` a run is one batch), and the gold table."""
+
     bronze_rows: int
     silver_rows: int
     gold: DataFrame
