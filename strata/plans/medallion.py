@@ -59,6 +59,10 @@ class MedallionParams:
     schema: T.StructType | None = None
     jdbc: dict | None = None
     jdbc_mode: str = "overwrite"
+    # Which layer the serving table receives: "silver" (every record, as the
+    # reference does) or "gold" (the small aggregate -- what a row store
+    # should get when silver is large).
+    serving_layer: str = "silver"
     count_col: str = COUNT
     extra: dict = field(default_factory=dict)
 
@@ -108,6 +112,8 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     """Run bronze -> silver -> gold (-> serving) and return counts and read-back frames."""
     if p.drop_incomplete_at not in (None, "bronze", "silver"):
         raise ValueError("drop_incomplete_at must be 'bronze', 'silver' or None")
+    if p.serving_layer not in ("silver", "gold"):
+        raise ValueError("serving_layer must be 'silver' or 'gold'")
     schema = p.schema or source.schema
     report = RunReport()
 
@@ -135,15 +141,16 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     write_table(gold, p.gold_path, p.table_format, mode=p.gold_mode,
                 observe=report.tap("gold", _stored(spark, p.gold_path, p.table_format, gsch)))
 
-    # Serving: silver to a relational table.
+    # Serving: a relational table, fed from the stored layer.
+    gold_read = read_gold(spark, p, schema)
     if p.jdbc:
         from strata.sinks.jdbc import write_jdbc
 
-        write_jdbc(silver, mode=p.jdbc_mode, **p.jdbc)
+        write_jdbc(silver if p.serving_layer == "silver" else gold_read, mode=p.jdbc_mode, **p.jdbc)
 
     counts = report.counts()
     log.info("medallion counts: %s", counts)
-    return MedallionResult(p, counts, silver, read_gold(spark, p, schema))
+    return MedallionResult(p, counts, silver, gold_read)
 
 
 def register_layers(spark: SparkSession, p: MedallionParams, schema: T.StructType,
