@@ -258,3 +258,17 @@ def test_bronze_compression(spark, tmp_path):
     res = run_medallion(spark, df, p)
     assert res.counts == {"bronze": 20, "silver": 20, "gold": 1}
     assert any(f.endswith(".json.gz") for f in os.listdir(p.bronze_path))
+
+
+def test_jdbc_writer_reaches_spark_without_a_database(spark):
+    # No database is started: a driver class that does not exist makes Spark
+    # fail inside its JDBC writer, which shows the call and options get there.
+    from strata.sinks.jdbc import append_jdbc_stamped, write_jdbc
+
+    df = spark.createDataFrame([(1, [1.0, 2.0])], "id int, v array<float>")
+    for call in (lambda: write_jdbc(df, url="jdbc:none://nowhere/db", table="serving",
+                                    driver="org.example.NoSuchDriver", truncate=True),
+                 lambda: append_jdbc_stamped(df, url="jdbc:none://nowhere/db", table="log",
+                                             driver="org.example.NoSuchDriver")):
+        with pytest.raises(Exception, match="NoSuchDriver"):
+            call()
