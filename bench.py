@@ -33,9 +33,13 @@ BASELINE_WARM = {
 }
 
 
-def _sf(path: str) -> str:
+def _sf(path: str):
     base = os.path.basename(path)
-    return base[2:] if base.startswith("sf") else base
+    base = base[2:] if base.startswith("sf") else base
+    try:
+        return float(base)
+    except ValueError:
+        return base
 
 
 def main() -> None:
