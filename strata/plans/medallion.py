@@ -59,6 +59,11 @@ class MedallionParams:
     schema: T.StructType | None = None
     jdbc: dict | None = None
     jdbc_mode: str = "overwrite"
+    # Many distinct partition values mean many small silver folders and files.
+    # Their number is estimated while bronze is written (approx_count_distinct
+    # in the bronze observation, no extra pass) and checked before silver.
+    max_partition_values: int | None = 10_000
+    on_too_many_partition_values: str = "warn"          # or "error"
     # Which layer the serving table receives: "silver" (every record, as the
     # reference does) or "gold" (the small aggregate -- what a row store
     # should get when silver is large).
@@ -103,6 +108,16 @@ def read_gold(spark: SparkSession, p: MedallionParams, schema: T.StructType) ->
     return order_by_count(g, p.group_by, p.count_col)
 
 
+def _check_partition_values(estimate, p: MedallionParams) -> None:
+    if estimate is None or not p.max_partition_values or estimate <= p.max_partition_values:
+        return
+    msg = (f"silver partitioning on {p.partition_by} would create about {estimate} partition "
+           f"folders (limit {p.max_partition_values}); choose a coarser column")
+    if p.on_too_many_partition_values == "error":
+        raise ValueError(msg)
+    log.warning(msg)
+
+
 def _stored(spark: SparkSession, path: str, fmt: str, schema: T.StructType):
     """Fallback row count of a written layer (used only when no metrics arrived)."""
     return lambda: read_table(spark, path, fmt, schema).count()
@@ -121,9 +136,15 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     bronze_in = source.select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
     if p.drop_incomplete_at == "bronze":
         bronze_in = drop_incomplete(bronze_in, subset=p.drop_subset)
+    extra = {}
+    if p.partition_by and p.max_partition_values:
+        keys = [F.col(f"`{c}`") for c in p.partition_by]
+        extra["partition_values"] = F.approx_count_distinct(keys[0] if len(keys) == 1
+                                                            else F.struct(*keys))
     write_json(bronze_in, p.bronze_path, mode=p.bronze_mode, rebalance=p.optimize_writes,
                compression=p.bronze_compression,
-               observe=report.tap("bronze", _stored(spark, p.bronze_path, "json", schema)))
+               observe=report.tap("bronze", _stored(spark, p.bronze_path, "json", schema), extra))
+    _check_partition_values(report.metric("bronze", "partition_values"), p)
 
     # Silver: declared-schema read of bronze, partitioned columnar table.
     bronze = read_json(spark, p.bronze_path, schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -19,16 +19,27 @@ class RunReport:
     def __init__(self):
         self._obs: dict[str, tuple[Observation, Callable[[], int] | None]] = {}
 
-    def track(self, layer: str, df: DataFrame,
-              fallback: Callable[[], int] | None = None) -> DataFrame:
+    def track(self, layer: str, df: DataFrame, fallback: Callable[[], int] | None = None,
+              extra: dict[str, Column] | None = None) -> DataFrame:
+        """Observe the row count (plus ``extra`` aggregate metrics) of ``df``."""
         obs = Observation(layer)
         self._obs[layer] = (obs, fallback)
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        metrics += [expr.alias(name) for name, expr in (extra or {}).items()]
+        return df.observe(obs, *metrics)
 
-    def tap(self, layer: str, fallback: Callable[[], int] | None = None):
+    def tap(self, layer: str, fallback: Callable[[], int] | None = None,
+            extra: dict[str, Column] | None = None):
         """``track`` as a function of the frame, for sinks that apply it
         right before writing (after their own rebalance)."""
-        return lambda df: self.track(layer, df, fallback)
+        return lambda df: self.track(layer, df, fallback, extra)
+
+    def metric(self, layer: str, name: str):
+        """An extra metric of a layer, or None when no metrics arrived."""
+        try:
+            return self._obs[layer][0].get.get(name)
+        except Exception:
+            return None
 
     def counts(self) -> dict[str, int]:
         out = {}

@@ -272,3 +272,18 @@ def test_jdbc_writer_reaches_spark_without_a_database(spark):
                                              driver="org.example.NoSuchDriver")):
         with pytest.raises(Exception, match="NoSuchDriver"):
             call()
+
+
+def test_partition_value_estimate_guards_silver(spark, tmp_path, caplog):
+    import logging
+
+    df = spark.range(200).selectExpr("id", "CAST(id % 50 AS STRING) AS k")
+    base = dict(partition_by=["k"], group_by=["k"], max_partition_values=10)
+    with caplog.at_level(logging.WARNING, logger="strata.plans.medallion"):
+        res = run_medallion(spark, df, MedallionParams(root=str(tmp_path / "w"), **base))
+    assert res.counts["silver"] == 200
+    assert any("partition folders" in r.message for r in caplog.records)
+    with pytest.raises(ValueError, match="partition folders"):
+        run_medallion(spark, df, MedallionParams(root=str(tmp_path / "e"),
+                                                 on_too_many_partition_values="error", **base))
+    assert not os.path.exists(tmp_path / "e" / "silver")   # stopped before silver
