@@ -14,6 +14,7 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.schemas import JSON_TS_OPTIONS
 from strata.session import default_parallelism
@@ -43,6 +44,30 @@ def assert_not_reading(df: DataFrame, path: str, files: list[str] | None = None)
             raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
 
 
+def _hashable(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _hashable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_hashable(f.dataType) for f in dt.fields)
+    return True
+
+
+def rebalance_evenly(df: DataFrame) -> DataFrame:
+    """An adaptive rebalance that spreads rows evenly and repeats exactly on retry.
+
+    Round-robin would make Spark sort every map partition first (so that a
+    retried task sends each row to the same place); hashing on the row's
+    columns is deterministic without that sort.  Identical rows land together,
+    and adaptive execution splits such a skewed partition at map-block
+    boundaries.  Map-typed columns cannot be hashed and are left out; with
+    none left, round-robin it is.
+    """
+    keys = [f"`{f.name}`" for f in df.schema.fields if _hashable(f.dataType)]
+    return df.hint("rebalance", *keys) if keys else df.hint("rebalance")
+
+
 def under_partitioned(df: DataFrame, files: list[str] | None = None) -> bool:
     """True when ``df`` reads fewer files than the cluster runs tasks at once
     (one large file, a crawl with no files): its scan cannot spread the work."""
@@ -55,7 +80,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                rebalance: bool | None = None, observe: Tap | None = None) -> None:
     """K1: JSON lines, lossless for timestamps (microseconds) and all-null columns.
 
-    ``rebalance`` adds one adaptive round-robin exchange before the write
+    ``rebalance`` adds one adaptive exchange (``rebalance_evenly``) before the write
     (an "optimized write"): output files come out near the advisory partition
     size and an under-partitioned input is serialised by many tasks instead of
     one.  ``None`` decides per input: only an under-partitioned input pays for
@@ -68,7 +93,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
     if rebalance is None:
         rebalance = under_partitioned(df, files)
     if rebalance:
-        df = df.hint("rebalance")
+        df = rebalance_evenly(df)
     if observe:
         df = observe(df)
     w = df.write.mode(mode).options(**JSON_TS_OPTIONS)

@@ -53,3 +53,16 @@ def test_bronze_rebalance_only_for_under_partitioned_input(spark, tmp_path):
     assert under_partitioned(spark.read.parquet(one))
     assert not under_partitioned(spark.read.parquet(many))
     assert under_partitioned(spark.range(10))            # no files: generated / crawled input
+
+
+def test_rebalance_evenly_keys_and_plan(spark):
+    from strata.sinks.files import rebalance_evenly
+
+    df = spark.createDataFrame([(1, "a", {"k": 1}, [1.0])], "i int, s string, m map<string,int>, v array<float>")
+    plan = rebalance_evenly(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan and "m#" not in plan.split("RebalancePartitions")[1].split("\n")[0]
+    only_map = spark.createDataFrame([({"k": 1},)], "m map<string,int>")
+    assert rebalance_evenly(only_map).count() == 1          # falls back to round-robin
+    big = spark.range(0, 40_000, 1, 1).selectExpr("id", "id % 3 AS g")
+    parts = rebalance_evenly(big).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 40_000
