@@ -43,13 +43,15 @@ def _sf(path: str):
 
 
 def main() -> None:
-    spark = (SparkSession.builder.master(f"local[{CPUS}]").appName("strata-bench")
-             .config("spark.sql.shuffle.partitions", str(CPUS))
-             .config("spark.sql.adaptive.enabled", "true")
-             .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.ui.enabled", "false")
-             .config("spark.driver.memory", "16g")
-             .getOrCreate())
+    from strata.session import session_conf
+
+    # The engine's single-node profile, with shuffle partitions = cores.
+    conf = session_conf("local", with_delta=False)
+    conf.update({"spark.sql.shuffle.partitions": str(CPUS), "spark.driver.memory": "16g"})
+    builder = SparkSession.builder.master(f"local[{CPUS}]").appName("strata-bench")
+    for k, v in conf.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
     from strata.operators.aggregates import gold_counts
