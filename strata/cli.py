@@ -52,6 +52,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--jdbc-password-env")
     ap.add_argument("--jdbc-truncate", action="store_true")
     ap.add_argument("--preview", type=int, default=20, help="gold rows to print (0: none)")
+    ap.add_argument("--preview-crawl", type=int, default=15,
+                    help="first crawled records to print, in crawl order (0: none)")
     return top.parse_args(argv)
 
 
@@ -102,6 +104,11 @@ def main(argv: list[str] | None = None):
             drop_incomplete_at=None if a.drop_incomplete_at == "none" else a.drop_incomplete_at,
             silver_mode=a.silver_mode, gold_mode=a.gold_mode)
         print(json.dumps({"counts": res.counts}))
+        if a.preview_crawl and res.records is not None:
+            from strata.plans.api_job import crawl_order
+            from strata.sinks.console import show_preview
+
+            show_preview(res.records, a.preview_crawl, crawl_order(res.records, a.first, a.last))
         if a.preview:
             res.gold.show(a.preview, truncate=False)
         return res.counts

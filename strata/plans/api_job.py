@@ -50,9 +50,9 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
     """
     if failed_pages not in ("audit", "inline", "drop"):
         raise ValueError("failed_pages must be 'audit', 'inline' or 'drop'")
-    records, sentinels = crawl_records(spark, url, first, last, per_page, pause_seconds,
+    crawled, sentinels = crawl_records(spark, url, first, last, per_page, pause_seconds,
                                        concurrency)
-    records = records.drop("page", "position")
+    records = crawled.drop("page", "position")
     if failed_pages == "inline":
         records = union_by_name([records, sentinels])
     elif failed_pages == "audit":
@@ -62,4 +62,13 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
     p = MedallionParams(root=root, partition_by=["state_province"],
                         group_by=["state_province", "brewery_type"], schema=typed.schema,
                         table_format=table_format, jdbc=jdbc, **params)
-    return run_medallion(spark, typed, p)
+    res = run_medallion(spark, typed, p)
+    res.records = crawled
+    return res
+
+
+def crawl_order(records: DataFrame, first: int, last: int):
+    """Order columns for crawled records: pages in the order they were
+    requested (``first`` towards ``last``), then position within the page."""
+    page = F.col("page").desc() if first > last else F.col("page").asc()
+    return [page, F.col("position").asc()]

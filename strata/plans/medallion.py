@@ -90,6 +90,8 @@ class MedallionResult:
     counts: dict[str, int]
     silver: DataFrame
     gold: DataFrame
+    # For a crawl: the records as fetched, with ``page`` and ``position``.
+    records: DataFrame | None = None
 
 
 def gold_schema(schema: T.StructType, keys: list[str], count_col: str = COUNT) -> T.StructType:

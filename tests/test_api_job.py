@@ -50,6 +50,16 @@ def test_api_job_end_to_end(spark, tmp_path, pages):
     assert sorted(r.id.rsplit("=", 1)[1] for r in audit.collect()) == ["1", "3", "7"]
 
 
+def test_crawl_records_in_crawl_order(spark, tmp_path, pages):
+    from strata.plans.api_job import crawl_order
+
+    res = run_api_medallion(spark, pages, str(tmp_path / "lake"), first=7, last=1,
+                            pause_seconds=0, concurrency=3)
+    head = res.records.orderBy(*crawl_order(res.records, 7, 1)).limit(4).collect()
+    assert [(r.page, r.position, r.id) for r in head] == [
+        (6, 0, "b1"), (6, 1, "b2"), (6, 2, "b3"), (5, 0, "b4")]
+
+
 def test_api_job_inline_sentinels_dropped(spark, tmp_path, pages):
     res = run_api_medallion(spark, pages, str(tmp_path / "lake"), first=7, last=1,
                             pause_seconds=0, failed_pages="inline")
@@ -68,7 +78,8 @@ def test_cli_runs_job_on_active_session(spark, tmp_path, pages):
     from strata.cli import main
 
     counts = main(["medallion", "--url", pages, "--root", str(tmp_path / "lake"), "--first", "7", "--last", "1",
-                   "--pause-seconds", "0", "--concurrency", "2", "--preview", "0"])
+                   "--pause-seconds", "0", "--concurrency", "2", "--preview", "0",
+                   "--preview-crawl", "3"])
     assert counts == {"bronze": 5, "silver": 5, "gold": 4}
     assert spark.range(1).count() == 1           # the caller's session is left running
 
