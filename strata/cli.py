@@ -108,7 +108,7 @@ def main(argv: list[str] | None = None):
             from strata.plans.api_job import crawl_order
             from strata.sinks.console import show_preview
 
-            show_preview(res.records, a.preview_crawl, crawl_order(res.records, a.first, a.last))
+            show_preview(res.records, a.preview_crawl, crawl_order(a.first, a.last))
         if a.preview:
             res.gold.show(a.preview, truncate=False)
         return res.counts

@@ -67,7 +67,7 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
     return res
 
 
-def crawl_order(records: DataFrame, first: int, last: int):
+def crawl_order(first: int, last: int):
     """Order columns for crawled records: pages in the order they were
     requested (``first`` towards ``last``), then position within the page."""
     page = F.col("page").desc() if first > last else F.col("page").asc()

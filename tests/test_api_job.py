@@ -55,7 +55,7 @@ def test_crawl_records_in_crawl_order(spark, tmp_path, pages):
 
     res = run_api_medallion(spark, pages, str(tmp_path / "lake"), first=7, last=1,
                             pause_seconds=0, concurrency=3)
-    head = res.records.orderBy(*crawl_order(res.records, 7, 1)).limit(4).collect()
+    head = res.records.orderBy(*crawl_order(7, 1)).limit(4).collect()
     assert [(r.page, r.position, r.id) for r in head] == [
         (6, 0, "b1"), (6, 1, "b2"), (6, 2, "b3"), (5, 0, "b4")]
 
