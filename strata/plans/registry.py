@@ -23,7 +23,7 @@ from strata.operators.sequence import with_sequence
 from strata.operators.union import union_by_name
 from strata.plans.medallion import MedallionParams, gold_schema, run_medallion
 from strata.session import default_parallelism, scratch_path
-from strata.sinks.files import publish_single_object, write_json, write_table
+from strata.sinks.files import append_stamped, publish_single_object, write_json, write_table
 from strata.sources.files import read_json, read_table, read_testdata
 from strata.sources.paged_json import page_url, read_pages
 
@@ -203,6 +203,34 @@ def q_single_object_publish(spark, sf_dir):
     return read_json(spark, path, gold_schema(c.schema, GOLD_KEYS))
 
 
+def q_table_replace(spark, sf_dir):
+    """K4's replace semantics on a file table: written twice, read once."""
+    c = _t(spark, sf_dir, "customer")
+    path = scratch_path(spark, "replace")
+    write_table(c, path, mode="overwrite")
+    write_table(c, path, mode="overwrite")
+    return read_table(spark, path, schema=c.schema)
+
+
+def q_table_append_stamped(spark, sf_dir):
+    """K5 + K6 on a file table: create if absent (twice), append nation twice,
+    each row stamped with its write time."""
+    import uuid
+
+    n = _t(spark, sf_dir, "nation")
+    path = scratch_path(spark, "append-log")
+    name = "strata_log_" + uuid.uuid4().hex[:12]
+    ddl = (f"CREATE TABLE IF NOT EXISTS {name} (n_nationkey INT, n_name STRING, "
+           f"n_regionkey INT, timestamp TIMESTAMP) USING parquet LOCATION '{path}'")
+    spark.sql(ddl)
+    spark.sql(ddl)
+    append_stamped(n, path)
+    append_stamped(n, path)
+    spark.sql(f"DROP TABLE {name}")          # external table: the data stays
+    log = spark.read.parquet(path)
+    return log.agg(F.count(F.lit(1)).alias("n"), F.count("timestamp").alias("n_stamped"))
+
+
 # ---- F1 ------------------------------------------------------------------
 
 def q_medallion_gold(spark, sf_dir):
@@ -290,6 +318,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_pruned": q_silver_pruned,
     "silver_dynamic_rerun": q_silver_dynamic_rerun,
     "single_object_publish": q_single_object_publish,
+    "table_replace": q_table_replace,
+    "table_append_stamped": q_table_append_stamped,
     "partition_counts": q_partition_counts,
 }
 
@@ -370,6 +400,8 @@ ORACLE_SQL: dict[str, str] = {
     "silver_dynamic_rerun": ('SELECT event_type, count(*) AS "count" FROM events '
                              "WHERE event_type <> 'error' OR event_id % 2 = 0 GROUP BY 1"),
     "single_object_publish": _GOLD_SQL,
+    "table_replace": "SELECT * FROM customer",
+    "table_append_stamped": 'SELECT 2 * count(*) AS n, 2 * count(*) AS n_stamped FROM nation',
     # pmod(h, 4) of the signed hash equals (unsigned h) % 4 since 4 divides 2^32
     "partition_counts": _spark_hash_partition_sql("lineitem", "l_orderkey", 4),
 }
