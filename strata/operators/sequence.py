@@ -19,14 +19,26 @@ _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row inde
 
 
 def with_sequence(df: DataFrame, order: list[Column], seq_col: str = "seq",
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None,
+                  rows_per_partition: int | None = None) -> DataFrame:
     """Add ``seq_col`` = 0-based position of each row under ``order``.
 
     ``order`` should be total (end with a unique key); ties are numbered in an
     arbitrary but fixed order.
+
+    The range partitions feed a sort and cannot be split by adaptive
+    execution, so their number must follow the data: pass ``num_partitions``,
+    or ``rows_per_partition`` to derive it from a row count (one extra,
+    column-free job).  The default, ``spark.sql.shuffle.partitions``, suits
+    inputs up to that many times a few million rows.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions:
+        n = num_partitions
+    elif rows_per_partition:
+        n = max(1, -(-df.count() // int(rows_per_partition)))
+    else:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("__mid", F.monotonically_increasing_id()))

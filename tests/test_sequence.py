@@ -41,3 +41,9 @@ def test_hash_partition_counts_equals_repartition(spark):
         exp = sorted(tuple(r) for r in partition_counts(df.repartition(n, *keys)).collect())
         got = sorted(tuple(r) for r in hash_partition_counts(df, keys, n).collect())
         assert got == exp
+
+
+def test_sequence_partitions_sized_by_rows(spark):
+    df = spark.range(0, 1000, 1, 4).selectExpr("id AS k")
+    out = with_sequence(df, [F.col("k")], rows_per_partition=100)
+    assert [r.seq for r in out.orderBy("k").collect()] == list(range(1000))
