@@ -114,6 +114,11 @@ def page_url(root: str, name: str = "page") -> str:
     return root.rstrip("/") + "/" + name + "={page}"
 
 
+def page_request_url(template: str, page: int, per_page: int) -> str:
+    """Fill ``{page}`` and ``{per_page}``; any other braces stay as they are."""
+    return template.replace("{page}", str(page)).replace("{per_page}", str(per_page))
+
+
 _TRANSIENT = {429, 500, 502, 503, 504}
 
 
@@ -161,7 +166,7 @@ class PagedJsonReader(DataSourceReader):
 
     def read(self, partition):
         for page in partition.pages:
-            url = self.url.format(page=page, per_page=self.per_page)
+            url = page_request_url(self.url, page, self.per_page)
             status, body = fetch_with_retries(url, self.timeout, self.retries, self.backoff)
             yield (page, url, status, body)
             if self.pause > 0:

@@ -104,3 +104,10 @@ def test_page_url_forms(tmp_path):
     # another scheme goes through pyarrow's file systems (its empty mock one here)
     assert fetch("mock://nowhere/page=1") == (404, None)
     assert fetch("nosuchscheme://x/page=1") == (None, None)
+
+
+def test_page_request_url_keeps_other_braces():
+    from strata.sources.paged_json import page_request_url
+
+    t = 'https://api.example/items?page={page}&per_page={per_page}&filter={"a":1}'
+    assert page_request_url(t, 40, 200) == 'https://api.example/items?page=40&per_page=200&filter={"a":1}'
