@@ -27,3 +27,12 @@ def test_flow_counts_not_doubled_by_a_retried_stage(tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     assert marker.exists()
     assert "COUNTS 3000 3000 7 3000" in out.stdout
+
+
+def test_job_wrapper_owns_and_stops_its_session(tmp_path):
+    job = os.path.join(os.path.dirname(__file__), "owned_session_job.py")
+    out = subprocess.run([sys.executable, job, str(tmp_path / "lake")],
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "COUNTS 300 300 3" in out.stdout            # cluster profile settings are accepted
+    assert "STOPPED True" in out.stdout
