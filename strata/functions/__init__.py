@@ -1,0 +1 @@
+"""Column-level helpers: flattening nested records, page arithmetic, declared schemas."""

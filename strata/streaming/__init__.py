@@ -1,0 +1 @@
+"""The medallion flow as an incremental Structured Streaming job."""
