@@ -67,25 +67,30 @@ def _events_with_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- A1 / O1 / O2 --------------------------------------------------------
 
 def q_gold_two_key_count(spark, sf_dir):
+    """A1 + O1: customers per (nation, segment), count descending."""
     return gold_counts(_t(spark, sf_dir, "customer"), GOLD_KEYS)
 
 
 def q_gold_orders(spark, sf_dir):
+    """A1 + O1 on a second table: orders per (status, priority)."""
     return gold_counts(_t(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
 def q_gold_null_group(spark, sf_dir):
+    """A1 with a null key (2.8 #14): one segment nulled, its rows form a null group."""
     c = _t(spark, sf_dir, "customer").withColumn(
         "c_mktsegment", F.nullif(F.col("c_mktsegment"), F.lit("FURNITURE")))
     return gold_counts(c, GOLD_KEYS)
 
 
 def q_preview_top20(spark, sf_dir):
+    """O2 / K8: the gold preview, top 20 by count with keys as tie-break."""
     g = group_count(_t(spark, sf_dir, "customer"), GOLD_KEYS)
     return top_n(g, 20, [F.col("count").desc(), F.col("c_nationkey"), F.col("c_mktsegment")])
 
 
 def q_preview_crawl_head15(spark, sf_dir):
+    """O2: the first 15 records in crawl order (last page first)."""
     c = _t(spark, sf_dir, "customer").select("c_custkey", page_of("c_custkey", PER_PAGE).alias("page"))
     return top_n(c, 15, [F.col("page").desc(), F.col("c_custkey")])
 
@@ -93,12 +98,14 @@ def q_preview_crawl_head15(spark, sf_dir):
 # ---- U1 ------------------------------------------------------------------
 
 def q_crawl_sequence(spark, sf_dir):
+    """0-based crawl position of every record (distributed sequence)."""
     c = _t(spark, sf_dir, "customer").select("c_custkey")
     order = [page_of("c_custkey", PER_PAGE).desc(), F.col("c_custkey").asc()]
     return with_sequence(c, order, "seq").select("c_custkey", "seq")
 
 
 def q_stray_column_drop(spark, sf_dir):
+    """U1 + P3 (2.8 #1): a column only page 3 has empties every other page."""
     base = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
     page3 = on_page("c_custkey", 3, PER_PAGE)
     stray = base.filter(page3).withColumn("extra", F.lit("x"))
@@ -107,6 +114,7 @@ def q_stray_column_drop(spark, sf_dir):
 
 
 def q_page_union_by_name(spark, sf_dir):
+    """Pages with and without a column, unioned by name (missing -> null)."""
     n = _t(spark, sf_dir, "nation")
     full = n.filter(F.col("n_nationkey") % 2 == 0)
     short = n.filter(F.col("n_nationkey") % 2 == 1).drop("n_regionkey")
@@ -116,21 +124,25 @@ def q_page_union_by_name(spark, sf_dir):
 # ---- P3 ------------------------------------------------------------------
 
 def q_drop_any_null(spark, sf_dir):
+    """Rows with a null or NaN in any column are dropped."""
     return drop_incomplete(_events_with_missing(spark, sf_dir))
 
 
 def q_drop_null_subset(spark, sf_dir):
+    """P3 with a subset: only nulls in event_type drop a row."""
     return drop_incomplete(_events_with_missing(spark, sf_dir), subset=["event_type"]).select("event_id")
 
 
 # ---- P1 ------------------------------------------------------------------
 
 def q_json_flatten(spark, sf_dir):
+    """A JSON text column parsed with a declared schema and flattened."""
     e = _t(spark, sf_dir, "events")
     return parse_json_column(e, "props", "k BIGINT", sep="_", keep=["event_id"])
 
 
 def q_page_bodies_explode(spark, sf_dir):
+    """Page bodies (JSON arrays) exploded back into flat records."""
     pages = _customer_pages(spark, sf_dir)
     return explode_records(pages, "body", CUSTOMER_PAGE_SCHEMA).select(
         "c_custkey", "c_name", "c_mktsegment")
@@ -151,6 +163,7 @@ def q_paged_source(spark, sf_dir):
 
 
 def q_failed_page_audit(spark, sf_dir):
+    """Failed pages (status 500) become sentinel rows with id = url."""
     pages = _customer_pages(spark, sf_dir)
     env = pages.select(
         "page",
@@ -165,6 +178,7 @@ def q_failed_page_audit(spark, sf_dir):
 # ---- K1 / S3 / K2 / F2 / K7 ----------------------------------------------
 
 def q_bronze_roundtrip(spark, sf_dir):
+    """K1 + S3: events through bronze JSON and back, lossless (2.8 #6-#8)."""
     e = _t(spark, sf_dir, "events")
     path = scratch_path(spark, "bronze-events")
     write_json(e, path)
@@ -172,6 +186,7 @@ def q_bronze_roundtrip(spark, sf_dir):
 
 
 def q_bronze_inferred(spark, sf_dir):
+    """S3 with inference: int columns come back as bigint (2.8 #7)."""
     li = _t(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "bronze-lineitem")
     write_json(li, path)
@@ -179,6 +194,7 @@ def q_bronze_inferred(spark, sf_dir):
 
 
 def q_silver_pruned(spark, sf_dir):
+    """K2: partitioned silver read with a filter on the partition column (pruned)."""
     e = _t(spark, sf_dir, "events")
     path = scratch_path(spark, "silver-events")
     write_table(e, path, partition_by=["event_type"], mode="overwrite")
@@ -187,6 +203,7 @@ def q_silver_pruned(spark, sf_dir):
 
 
 def q_silver_dynamic_rerun(spark, sf_dir):
+    """a rerun replaces only the partitions it writes (dynamic overwrite)."""
     e = _t(spark, sf_dir, "events")
     path = scratch_path(spark, "silver-rerun")
     write_table(e, path, partition_by=["event_type"], mode="overwrite")
@@ -196,6 +213,7 @@ def q_silver_dynamic_rerun(spark, sf_dir):
 
 
 def q_single_object_publish(spark, sf_dir):
+    """K7: gold published as one object, read back with its schema."""
     gold = q_gold_two_key_count(spark, sf_dir)
     path = scratch_path(spark, "gold-object")
     publish_single_object(gold, path, fmt="json")
@@ -234,6 +252,7 @@ def q_table_append_stamped(spark, sf_dir):
 # ---- F1 ------------------------------------------------------------------
 
 def q_medallion_gold(spark, sf_dir):
+    """customer through bronze, silver and gold; gold read back."""
     c = _t(spark, sf_dir, "customer")
     p = MedallionParams(root=scratch_path(spark, "medallion"), partition_by=["c_mktsegment"],
                         group_by=GOLD_KEYS)
