@@ -57,21 +57,38 @@ def parse_json_column(df: DataFrame, column: str, schema: T.DataType | str,
 
 def explode_records(df: DataFrame, body: str, record_schema: T.StructType,
                     keep: list[str] | None = None, position: str | None = None,
-                    sep: str = ".") -> DataFrame:
+                    sep: str = ".", rescue_col: str | None = None) -> DataFrame:
     """Parse a JSON-array text column and emit one flattened row per element.
 
     ``[]`` yields no rows; a lone JSON object is treated as a one-element array
     (Spark's ``from_json`` does this with an array schema); unparsable text
     yields no rows.  ``position`` names an optional 0-based element index, so
     crawl order can be kept explicitly as ``(page, position)``.
+
+    ``rescue_col`` keeps what the declared schema does not know: each record's
+    unknown keys as JSON text (null when there are none), so a new field is
+    neither lost nor turned into a column that empties other pages.
     """
     keep = keep or []
     arr = F.from_json(F.col(_quote(body)), T.ArrayType(record_schema))
     kept = [F.col(_quote(k)) for k in keep]
+    if rescue_col:
+        known = F.array(*[F.lit(f.name) for f in record_schema.fields])
+        text_map = T.MapType(T.StringType(), T.StringType())
+        # a lone object is not wrapped into an array for a map schema: do it here
+        maps = F.coalesce(F.from_json(F.col(_quote(body)), T.ArrayType(text_map)),
+                          F.array(F.from_json(F.col(_quote(body)), text_map)))
+        # same body, same order and length: pair each record with its key map
+        arr = F.arrays_zip(arr.alias("rec"), maps.alias("raw"))
     if position:
         exploded = df.select(*kept, F.posexplode(arr).alias(position, "__rec"))
         kept_out = kept + [F.col(position)]
     else:
         exploded = df.select(*kept, F.explode(arr).alias("__rec"))
         kept_out = kept
-    return exploded.select(*kept_out, *flattened_columns(record_schema, sep, "", "__rec"))
+    if not rescue_col:
+        return exploded.select(*kept_out, *flattened_columns(record_schema, sep, "", "__rec"))
+    extra = F.map_filter(F.col("__rec.raw"), lambda k, v: ~F.array_contains(known, k))
+    rescued = F.when(F.size(extra) > 0, F.to_json(extra)).alias(rescue_col)
+    return exploded.select(*kept_out, *flattened_columns(record_schema, sep, "", "__rec.rec"),
+                           rescued)

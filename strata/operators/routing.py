@@ -49,12 +49,13 @@ def sentinel_rows(failed: DataFrame, record_schema: T.StructType,
 def route_pages(envelopes: DataFrame, record_schema: T.StructType,
                 id_field: str = "id", keep: list[str] | None = None,
                 position: str | None = "position", sep: str = ".",
-                ) -> tuple[DataFrame, DataFrame]:
+                rescue_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Split page envelopes into (records, sentinels).
 
     Records are the flattened elements of good pages, with ``keep`` columns of
     the envelope (default: ``page``) and the element ``position`` carried so
-    crawl order stays explicit.  Both outputs derive from ``envelopes``; pass a
+    crawl order stays explicit; ``rescue_col`` keeps unknown keys (see
+    ``explode_records``).  Both outputs derive from ``envelopes``; pass a
     materialised envelope frame so remote pages are fetched only once.
     """
     keep = keep if keep is not None else ["page"]
@@ -63,6 +64,6 @@ def route_pages(envelopes: DataFrame, record_schema: T.StructType,
     # second parse is needed.
     good_body = F.when(F.col("status") == 200, F.col("body"))
     records = explode_records(envelopes.withColumn("body", good_body), "body", record_schema,
-                              keep=keep, position=position, sep=sep)
+                              keep=keep, position=position, sep=sep, rescue_col=rescue_col)
     failed = envelopes.filter(outcome_column(record_schema) != OK)
     return records, sentinel_rows(failed, record_schema, id_field)

@@ -27,7 +27,7 @@ from strata.sources.paged_json import read_pages
 def crawl_records(spark: SparkSession, url: str, first: int, last: int, per_page: int = 200,
                   pause_seconds: float = 0.0, concurrency: int = 1,
                   record_schema: T.StructType = BREWERY_SCHEMA, id_field: str = "id",
-                  ) -> tuple[DataFrame, DataFrame]:
+                  rescue_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Fetch pages ``first..last`` once; return (records, failed-page sentinel rows).
 
     Records carry ``page`` and ``position`` so the crawl order is explicit.
@@ -35,30 +35,35 @@ def crawl_records(spark: SparkSession, url: str, first: int, last: int, per_page
     env = read_pages(spark, url, first, last, per_page=per_page, pause_seconds=pause_seconds,
                      concurrency=concurrency)
     env = cut_lineage(env, "crawl-pages")
-    return route_pages(env, record_schema, id_field=id_field)
+    return route_pages(env, record_schema, id_field=id_field, rescue_col=rescue_col)
 
 
 def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40, last: int = 1,
                       per_page: int = 200, pause_seconds: float = 1.0, concurrency: int = 1,
                       failed_pages: str = "audit", table_format: str = "parquet",
-                      jdbc: dict | None = None, **params) -> MedallionResult:
+                      jdbc: dict | None = None, rescue_col: str | None = None,
+                      **params) -> MedallionResult:
     """Crawl, then bronze / silver (by ``state_province``) / gold (by state and type).
 
     ``failed_pages``: ``"audit"`` writes sentinel rows to ``<root>/failed_pages``;
     ``"inline"`` unions them into the records (they then drop out at P3 unless
-    ``drop_incomplete_at`` is None); ``"drop"`` ignores them.
+    ``drop_incomplete_at`` is None); ``"drop"`` ignores them.  ``rescue_col``
+    carries keys the record schema does not know into every layer as JSON text;
+    the incomplete-row check then looks at the declared fields only.
     """
     if failed_pages not in ("audit", "inline", "drop"):
         raise ValueError("failed_pages must be 'audit', 'inline' or 'drop'")
     crawled, sentinels = crawl_records(spark, url, first, last, per_page, pause_seconds,
-                                       concurrency)
+                                       concurrency, rescue_col=rescue_col)
     records = crawled.drop("page", "position")
     if failed_pages == "inline":
         records = union_by_name([records, sentinels])
     elif failed_pages == "audit":
         write_json(sentinels.withColumn("logged_at", F.current_timestamp()),
                    f"{root.rstrip('/')}/failed_pages", mode="append")
-    typed = records.select(*brewery_typed_columns())
+    typed = records.select(*brewery_typed_columns(), *([rescue_col] if rescue_col else []))
+    if rescue_col:
+        params.setdefault("drop_subset", BREWERY_SCHEMA.fieldNames())
     p = MedallionParams(root=root, partition_by=["state_province"],
                         group_by=["state_province", "brewery_type"], schema=typed.schema,
                         table_format=table_format, jdbc=jdbc, **params)

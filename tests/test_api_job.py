@@ -93,3 +93,14 @@ def test_cli_distribution_check(spark, tmp_path):
     spark.range(0, 1000).write.parquet(path)
     got = main(["partitions", "--table", path, "--keys", "id", "--partitions", "3"])
     assert sum(c for _, c in got) == 1000 and len(got) == 3
+
+
+def test_api_job_rescues_unknown_keys(spark, tmp_path, pages):
+    import json as _json
+
+    res = run_api_medallion(spark, pages, str(tmp_path / "lake"), first=7, last=1,
+                            pause_seconds=0, rescue_col="_rescued")
+    assert res.counts["bronze"] == 5                      # unknown keys do not empty the table
+    b6 = res.silver.filter("id = 'b6'").first()
+    assert set(_json.loads(b6._rescued)) == {"geo", "tags"}
+    assert res.silver.filter("_rescued IS NULL").count() == 4

@@ -31,3 +31,21 @@ def test_explode_lone_object_and_empty(spark):
     assert out.columns == ["page", "pos", "a", "b.c"]
     assert sorted(tuple(r) for r in out.collect()) == [(1, 0, 1, "x"), (1, 1, 2, None),
                                                        (2, 0, 3, None)]
+
+
+def test_explode_rescues_unknown_keys(spark):
+    import json
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    df = spark.createDataFrame([
+        (1, '[{"a": 1, "b": "x"}, {"a": 2, "b": "y", "extra": 5, "geo": {"lat": 1.5}}]'),
+        (2, '{"a": 3, "new": "z"}'),
+        (3, "[]"),
+    ], "page int, body string")
+    out = explode_records(df, "body", schema, keep=["page"], position="pos", rescue_col="_rescued")
+    assert out.columns == ["page", "pos", "a", "b", "_rescued"]
+    rows = {(r.page, r.pos): r for r in out.collect()}
+    assert len(rows) == 3
+    assert rows[(1, 0)]._rescued is None and rows[(1, 0)].b == "x"
+    assert json.loads(rows[(1, 1)]._rescued) == {"extra": "5", "geo": '{"lat":1.5}'}
+    assert rows[(2, 0)].a == 3 and json.loads(rows[(2, 0)]._rescued) == {"new": "z"}
