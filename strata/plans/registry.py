@@ -216,7 +216,7 @@ def q_single_object_publish(spark, sf_dir):
     """K7: gold published as one object, read back with its schema."""
     gold = q_gold_two_key_count(spark, sf_dir)
     path = scratch_path(spark, "gold-object")
-    publish_single_object(gold, path, fmt="json")
+    publish_single_object(gold, path, fmt="json", object_name="gold.json")
     c = _t(spark, sf_dir, "customer")
     return read_json(spark, path, gold_schema(c.schema, GOLD_KEYS))
 

@@ -134,14 +134,48 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     w.save(path)
 
 
+def _filesystem(path: str):
+    """(pyarrow file system, path inside it) for a local path or a file-system URI."""
+    from pyarrow import fs as pafs
+
+    u = urlparse(path)
+    if u.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), os.path.abspath(u.path if u.scheme == "file" else path)
+    uri = "s3://" + path[len("s3a://"):] if u.scheme == "s3a" else path
+    return pafs.FileSystem.from_uri(uri)
+
+
+def name_single_part(path: str, object_name: str) -> str | None:
+    """Give the one ``part-*`` file of an output folder a stable name (with its
+    checksum file, if any).  Returns the new path, or None when the folder does
+    not hold exactly one part file."""
+    from pyarrow import fs as pafs
+
+    filesystem, root = _filesystem(path)
+    infos = filesystem.get_file_info(pafs.FileSelector(root))
+    parts = [i.path for i in infos
+             if i.type == pafs.FileType.File and i.base_name.startswith("part-")]
+    if len(parts) != 1:
+        return None
+    target = f"{root.rstrip('/')}/{object_name}"
+    filesystem.move(parts[0], target)
+    crc = f"{root.rstrip('/')}/.{parts[0].rsplit('/', 1)[-1]}.crc"
+    if filesystem.get_file_info(crc).type == pafs.FileType.File:
+        filesystem.move(crc, f"{root.rstrip('/')}/.{object_name}.crc")
+    return target
+
+
 def publish_single_object(df: DataFrame, path: str, fmt: str = "json",
-                          max_rows: int = 1_000_000, mode: str = "overwrite") -> bool:
+                          max_rows: int = 1_000_000, mode: str = "overwrite",
+                          object_name: str | None = None) -> bool:
     """K7: write a small result as one object (one part file).
 
     Funnelling rows into one task is only safe for a bounded result, so the
     size is probed first with ``limit(max_rows + 1)`` (the probe stops early on
     a large input); above ``max_rows`` the result is written as a normal
-    multi-file dataset instead.  Returns True when one object was written.
+    multi-file dataset instead.  ``object_name`` renames the single part file,
+    so consumers find the object at ``<path>/<object_name>``.  Returns True
+    when one object was written.
     """
     small = df.limit(max_rows + 1).count() <= max_rows
     if not small:
@@ -151,6 +185,8 @@ def publish_single_object(df: DataFrame, path: str, fmt: str = "json",
     if fmt in ("json", "csv"):
         w = w.options(**JSON_TS_OPTIONS)
     w.save(path)
+    if small and object_name:
+        name_single_part(path, object_name)
     return small
 
 

@@ -113,3 +113,15 @@ def test_silver_read_prunes_partitions_and_columns(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(p" in plan and "(p" in plan and "= 3)" in plan
     assert "ReadSchema: struct<v:bigint>" in plan
     assert q.count() == 20
+
+
+def test_single_object_named(spark, tmp_path):
+    import json
+
+    df = spark.range(5).selectExpr("id", "id * 2 AS v")
+    path = str(tmp_path / "gold")
+    assert publish_single_object(df, path, object_name="gold.json") is True
+    assert os.path.isfile(os.path.join(path, "gold.json")) and not _parts(path)
+    lines = open(os.path.join(path, "gold.json")).read().splitlines()
+    assert sorted(json.loads(x)["v"] for x in lines) == [0, 2, 4, 6, 8]
+    assert spark.read.json(path).count() == 5          # the folder still reads as a dataset
