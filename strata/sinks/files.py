@@ -114,7 +114,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     file count stays near (values x a few) instead of (tasks x values), and
     adaptive execution splits a hot value across several tasks rather than
     sending a third of the table to one writer.  ``dynamic_overwrite`` replaces
-    only the partitions present in ``df`` (rerunnable silver).
+    only the partitions present in ``df`` (rerunnable silver).  ``observe`` is a
+    ``Tap`` (see above).
     """
     if mode == "overwrite":
         assert_not_reading(df, path)
