@@ -161,6 +161,8 @@ def main() -> None:
         "baseline_warm": BASELINE_WARM,
         "speedup_vs_baseline": {k: round(BASELINE_WARM[k] / results[k], 2)
                                 for k in BASELINE_WARM if results.get(k)},
+        "baseline_steps_total": round(sum(BASELINE_WARM.values()), 3),
+        "same_steps_total": round(sum(results[k] for k in BASELINE_WARM), 3),
         "sf": _sf(SF_DIR),
         "cpus": CPUS,
         "runs": RUNS,
