@@ -151,7 +151,7 @@ def q_page_bodies_explode(spark, sf_dir):
 # ---- S1 / P4 -------------------------------------------------------------
 
 def q_paged_source(spark, sf_dir):
-    """Page bodies written as files, crawled back with the paged source."""
+    """S1 + F3: page bodies written as files, crawled back with the paged source."""
     root, last_page = _write_customer_pages(spark, sf_dir)
     # File transport: one task per core is enough (an HTTP crawl would size
     # concurrency by the API's allowed request rate instead).
@@ -280,7 +280,7 @@ def _write_customer_pages(spark, sf_dir) -> tuple[str, int]:
 
 
 def q_crawl_medallion_gold(spark, sf_dir):
-    """The whole job: crawl page bodies once, route, flatten, bronze/silver/gold."""
+    """S1 + P4 + P1 + F1, the whole job: crawl once, route, flatten, bronze/silver/gold."""
     from strata.plans.api_job import crawl_records
 
     root, last_page = _write_customer_pages(spark, sf_dir)
@@ -307,9 +307,9 @@ def q_medallion_incremental_gold(spark, sf_dir):
 # ---- S4 / P2 / A2 --------------------------------------------------------
 
 def q_partition_counts(spark, sf_dir):
-    """Rows per task of a hash shuffle of lineitem on its order key into 4 tasks
-    (the distribution check), computed map-side.  The oracle recomputes Spark's
-    Murmur3 hash in SQL."""
+    """P2 + A2, the distribution check: rows per task of a hash shuffle of
+    lineitem on its order key into 4 tasks, computed map-side.  The oracle
+    recomputes Spark's Murmur3 hash in SQL."""
     return hash_partition_counts(_t(spark, sf_dir, "lineitem"), ["l_orderkey"], 4)
 
 
