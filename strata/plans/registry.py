@@ -101,7 +101,8 @@ def q_crawl_sequence(spark, sf_dir):
     """0-based crawl position of every record (distributed sequence)."""
     c = _t(spark, sf_dir, "customer").select("c_custkey")
     order = [page_of("c_custkey", PER_PAGE).desc(), F.col("c_custkey").asc()]
-    return with_sequence(c, order, "seq").select("c_custkey", "seq")
+    # range partitions sized from the data: ~2M rows per sorted task
+    return with_sequence(c, order, "seq", rows_per_partition=2_000_000).select("c_custkey", "seq")
 
 
 def q_stray_column_drop(spark, sf_dir):
