@@ -28,3 +28,17 @@ def test_incremental_runs_accumulate(spark, tmp_path):
     assert sorted(map(tuple, r2.gold.collect())) == sorted(map(tuple, gold_counts(c, keys).collect()))
     got = [r["count"] for r in r2.gold.collect()]
     assert got == sorted(got, reverse=True)
+
+
+def test_incremental_drop_at_silver_keeps_bronze_raw(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    df = spark.createDataFrame([(1, "CA", "micro"), (2, "CA", None), (3, "NY", "large")],
+                               "id long, state string, kind string")
+    df.write.parquet(landing + "/batch=1")
+    p = MedallionParams(root=str(tmp_path / "m"), partition_by=["state"], group_by=["state", "kind"],
+                        schema=df.schema, drop_incomplete_at="silver")
+    r = run_incremental_medallion(spark, landing + "/*", "parquet", p,
+                                  checkpoint_root=str(tmp_path / "ck"))
+    assert r.bronze_rows == 3 and r.silver_rows == 3        # silver's input is all of bronze
+    assert spark.read.json(p.bronze_path).count() == 3      # bronze keeps the incomplete row
+    assert sorted(tuple(x) for x in r.gold.collect()) == [("CA", "micro", 1), ("NY", "large", 1)]
