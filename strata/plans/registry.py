@@ -66,30 +66,30 @@ def _events_with_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- A1 / O1 / O2 --------------------------------------------------------
 
-def q_gold_two_key_count(spark, sf_dir):
+def q_gold_two_key_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + O1: customers per (nation, segment), count descending."""
     return gold_counts(_t(spark, sf_dir, "customer"), GOLD_KEYS)
 
 
-def q_gold_orders(spark, sf_dir):
+def q_gold_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + O1 on a second table: orders per (status, priority)."""
     return gold_counts(_t(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
-def q_gold_null_group(spark, sf_dir):
+def q_gold_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 with a null key (2.8 #14): one segment nulled, its rows form a null group."""
     c = _t(spark, sf_dir, "customer").withColumn(
         "c_mktsegment", F.nullif(F.col("c_mktsegment"), F.lit("FURNITURE")))
     return gold_counts(c, GOLD_KEYS)
 
 
-def q_preview_top20(spark, sf_dir):
+def q_preview_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2 / K8: the gold preview, top 20 by count with keys as tie-break."""
     g = group_count(_t(spark, sf_dir, "customer"), GOLD_KEYS)
     return top_n(g, 20, [F.col("count").desc(), F.col("c_nationkey"), F.col("c_mktsegment")])
 
 
-def q_preview_crawl_head15(spark, sf_dir):
+def q_preview_crawl_head15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: the first 15 records in crawl order (last page first)."""
     c = _t(spark, sf_dir, "customer").select("c_custkey", page_of("c_custkey", PER_PAGE).alias("page"))
     return top_n(c, 15, [F.col("page").desc(), F.col("c_custkey")])
@@ -97,7 +97,7 @@ def q_preview_crawl_head15(spark, sf_dir):
 
 # ---- U1 ------------------------------------------------------------------
 
-def q_crawl_sequence(spark, sf_dir):
+def q_crawl_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0-based crawl position of every record (distributed sequence)."""
     c = _t(spark, sf_dir, "customer").select("c_custkey")
     order = [page_of("c_custkey", PER_PAGE).desc(), F.col("c_custkey").asc()]
@@ -105,7 +105,7 @@ def q_crawl_sequence(spark, sf_dir):
     return with_sequence(c, order, "seq", rows_per_partition=2_000_000).select("c_custkey", "seq")
 
 
-def q_stray_column_drop(spark, sf_dir):
+def q_stray_column_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U1 + P3 (2.8 #1): a column only page 3 has empties every other page."""
     base = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
     page3 = on_page("c_custkey", 3, PER_PAGE)
@@ -114,7 +114,7 @@ def q_stray_column_drop(spark, sf_dir):
     return drop_incomplete(union_by_name([rest, stray]))
 
 
-def q_page_union_by_name(spark, sf_dir):
+def q_page_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with and without a column, unioned by name (missing -> null)."""
     n = _t(spark, sf_dir, "nation")
     full = n.filter(F.col("n_nationkey") % 2 == 0)
@@ -124,25 +124,25 @@ def q_page_union_by_name(spark, sf_dir):
 
 # ---- P3 ------------------------------------------------------------------
 
-def q_drop_any_null(spark, sf_dir):
+def q_drop_any_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a null or NaN in any column are dropped."""
     return drop_incomplete(_events_with_missing(spark, sf_dir))
 
 
-def q_drop_null_subset(spark, sf_dir):
+def q_drop_null_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 with a subset: only nulls in event_type drop a row."""
     return drop_incomplete(_events_with_missing(spark, sf_dir), subset=["event_type"]).select("event_id")
 
 
 # ---- P1 ------------------------------------------------------------------
 
-def q_json_flatten(spark, sf_dir):
+def q_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON text column parsed with a declared schema and flattened."""
     e = _t(spark, sf_dir, "events")
     return parse_json_column(e, "props", "k BIGINT", sep="_", keep=["event_id"])
 
 
-def q_page_bodies_explode(spark, sf_dir):
+def q_page_bodies_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page bodies (JSON arrays) exploded back into flat records."""
     pages = _customer_pages(spark, sf_dir)
     return explode_records(pages, "body", CUSTOMER_PAGE_SCHEMA).select(
@@ -151,7 +151,7 @@ def q_page_bodies_explode(spark, sf_dir):
 
 # ---- S1 / P4 -------------------------------------------------------------
 
-def q_paged_source(spark, sf_dir):
+def q_paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + F3: page bodies written as files, crawled back with the paged source."""
     root, last_page = _write_customer_pages(spark, sf_dir)
     # File transport: one task per core is enough (an HTTP crawl would size
@@ -163,7 +163,7 @@ def q_paged_source(spark, sf_dir):
     return group_count(records, ["page"])
 
 
-def q_failed_page_audit(spark, sf_dir):
+def q_failed_page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed pages (status 500) become sentinel rows with id = url."""
     pages = _customer_pages(spark, sf_dir)
     env = pages.select(
@@ -178,7 +178,7 @@ def q_failed_page_audit(spark, sf_dir):
 
 # ---- K1 / S3 / K2 / F2 / K7 ----------------------------------------------
 
-def q_bronze_roundtrip(spark, sf_dir):
+def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + S3: events through bronze JSON and back, lossless (2.8 #6-#8)."""
     e = _t(spark, sf_dir, "events")
     path = scratch_path(spark, "bronze-events")
@@ -186,7 +186,7 @@ def q_bronze_roundtrip(spark, sf_dir):
     return read_json(spark, path, e.schema)
 
 
-def q_bronze_inferred(spark, sf_dir):
+def q_bronze_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 with inference: int columns come back as bigint (2.8 #7)."""
     li = _t(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "bronze-lineitem")
@@ -194,7 +194,7 @@ def q_bronze_inferred(spark, sf_dir):
     return read_json(spark, path).select("l_extendedprice", "l_linenumber", "l_orderkey")
 
 
-def q_silver_pruned(spark, sf_dir):
+def q_silver_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: partitioned silver read with a filter on the partition column (pruned)."""
     e = _t(spark, sf_dir, "events")
     path = scratch_path(spark, "silver-events")
@@ -203,7 +203,7 @@ def q_silver_pruned(spark, sf_dir):
     return s.filter(F.col("event_type") == "error").select("event_id", "user_id")
 
 
-def q_silver_dynamic_rerun(spark, sf_dir):
+def q_silver_dynamic_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """a rerun replaces only the partitions it writes (dynamic overwrite)."""
     e = _t(spark, sf_dir, "events")
     path = scratch_path(spark, "silver-rerun")
@@ -213,7 +213,7 @@ def q_silver_dynamic_rerun(spark, sf_dir):
     return group_count(read_table(spark, path, schema=e.schema), ["event_type"])
 
 
-def q_single_object_publish(spark, sf_dir):
+def q_single_object_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: gold published as one object, read back with its schema."""
     gold = q_gold_two_key_count(spark, sf_dir)
     path = scratch_path(spark, "gold-object")
@@ -222,7 +222,7 @@ def q_single_object_publish(spark, sf_dir):
     return read_json(spark, path, gold_schema(c.schema, GOLD_KEYS))
 
 
-def q_table_replace(spark, sf_dir):
+def q_table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4's replace semantics on a file table: written twice, read once."""
     c = _t(spark, sf_dir, "customer")
     path = scratch_path(spark, "replace")
@@ -231,7 +231,7 @@ def q_table_replace(spark, sf_dir):
     return read_table(spark, path, schema=c.schema)
 
 
-def q_table_append_stamped(spark, sf_dir):
+def q_table_append_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 + K6 on a file table: create if absent (twice), append nation twice,
     each row stamped with its write time."""
     import uuid
@@ -252,7 +252,7 @@ def q_table_append_stamped(spark, sf_dir):
 
 # ---- F1 ------------------------------------------------------------------
 
-def q_medallion_gold(spark, sf_dir):
+def q_medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer through bronze, silver and gold; gold read back."""
     c = _t(spark, sf_dir, "customer")
     p = MedallionParams(root=scratch_path(spark, "medallion"), partition_by=["c_mktsegment"],
@@ -260,7 +260,7 @@ def q_medallion_gold(spark, sf_dir):
     return run_medallion(spark, c, p).gold
 
 
-def q_medallion_layer_counts(spark, sf_dir):
+def q_medallion_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the per-layer row counts observed while the flow wrote its layers."""
     c = _t(spark, sf_dir, "customer")
     p = MedallionParams(root=scratch_path(spark, "medallion-counts"), partition_by=["c_mktsegment"],
@@ -270,7 +270,7 @@ def q_medallion_layer_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "layer string, rows bigint")
 
 
-def _write_customer_pages(spark, sf_dir) -> tuple[str, int]:
+def _write_customer_pages(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     pages = _customer_pages(spark, sf_dir)
     root = scratch_path(spark, "pages")
     pages.write.partitionBy("page").text(root)
@@ -280,7 +280,7 @@ def _write_customer_pages(spark, sf_dir) -> tuple[str, int]:
     return root, 1 if max_key is None else int(max_key) // PER_PAGE + 1
 
 
-def q_crawl_medallion_gold(spark, sf_dir):
+def q_crawl_medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + P4 + P1 + F1, the whole job: crawl once, route, flatten, bronze/silver/gold."""
     from strata.plans.api_job import crawl_records
 
@@ -294,7 +294,7 @@ def q_crawl_medallion_gold(spark, sf_dir):
     return run_medallion(spark, records.drop("page", "position"), p).gold
 
 
-def q_medallion_incremental_gold(spark, sf_dir):
+def q_medallion_incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 as an incremental streaming run over the customer table's files."""
     from strata.streaming.incremental import run_incremental_medallion
 
@@ -307,7 +307,7 @@ def q_medallion_incremental_gold(spark, sf_dir):
 
 # ---- S4 / P2 / A2 --------------------------------------------------------
 
-def q_partition_counts(spark, sf_dir):
+def q_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 + A2, the distribution check: rows per task of a hash shuffle of
     lineitem on its order key into 4 tasks, computed map-side.  The oracle
     recomputes Spark's Murmur3 hash in SQL."""
