@@ -9,11 +9,16 @@ from strata.functions.schemas import JSON_TS_OPTIONS
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-              **options) -> DataFrame:
+              ts_patterns: bool = False, **options) -> DataFrame:
     """Read JSON lines.  With ``schema`` no inference pass runs and columns keep
     their declared types and order; without it Spark infers (an extra full
-    pass; ints widen to bigint, columns come back sorted by name)."""
-    r = spark.read.options(**JSON_TS_OPTIONS).options(**options)
+    pass; ints widen to bigint, columns come back sorted by name).
+
+    Bronze timestamps are written as ISO-8601 with microseconds, which Spark's
+    default parser reads exactly (and a little faster than a pattern), so the
+    write patterns are applied on read only with ``ts_patterns=True``.
+    """
+    r = spark.read.options(**(JSON_TS_OPTIONS if ts_patterns else {})).options(**options)
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
@@ -24,8 +29,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     """Read a (possibly partitioned) table.  A declared schema keeps partition
     values typed as declared (``"01"`` stays a string)."""
     r = spark.read.format(fmt)
-    if fmt == "json":
-        r = r.options(**JSON_TS_OPTIONS)
     if schema is not None:
         r = r.schema(schema)
     return r.load(path)
