@@ -11,12 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.bpe import digests, encode_documents
 from strata.llm.exact_dedup import exact_groups
+from strata.llm.phrase_index import contamination
 from strata.llm.substring_dedup import dedup_substrings
 from strata.llm.suffix_dedup import dedup_suffixes
 from strata.sources.files import read_testdata as table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside 13-word windows of benchmark items."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 13, 20).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 50-byte strings that also start in a document with a smaller id, removed."""
     return dedup_suffixes(table(spark, sf_dir, "documents"), length=50).select(
@@ -35,10 +44,24 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def vocabulary() -> str:
+    """Default vocabulary file of the encoder."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded text of every document, as count and digests."""
+    return digests(encode_documents(table(spark, sf_dir, "documents"), vocabulary()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_substring_dedup": op5_substring_dedup,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -129,22 +129,35 @@ def _least_of_windows(body, at, size, gram, low, length: int) -> tuple[np.ndarra
     return out, base
 
 
+#: Fragment bytes that one transform takes (more only where one minimizer has them).
+CHUNK_BYTES = 1 << 20
+
+
 def _answer_windows(length: int):
     def run(t: pa.Table) -> pa.Table:
         body, _ = bl.joined(t.column("body"), np.uint8)
         size, rows = bl.joined(t.column("size"), np.uint8)
-        size = size.astype(np.int64)
         gram, _ = bl.joined(t.column("gram"), np.uint32)
         low, _ = bl.joined(t.column("least"), np.int64)
+        size = size.astype(np.int64)
         at = np.cumsum(size) - size
-        one, cls = _intern(body, at, size)
-        lowest = np.full(len(one), np.iinfo(np.int64).max)
-        np.minimum.at(lowest, cls, low)
-        least, base = _least_of_windows(body, at[one], size[one], gram[one], lowest, length)
         windows = size - length + 1
-        bits = least[ramp(base[cls], windows)] < np.repeat(low, windows)
-        per_row = np.add.reduceat(windows, np.cumsum(rows) - rows)
-        return bl.bit_rows(t, per_row, bits, 2)
+        ends = np.cumsum(windows)
+        bits = np.zeros(int(ends[-1]), bool)
+        order = np.argsort(gram, kind="stable")
+        groups = np.append(group_starts(gram[order]), len(order))
+        total = np.concatenate([[0], np.cumsum(size[order])])[groups]
+        for lo, hi in bl.cuts(np.diff(total), CHUNK_BYTES):          # whole minimizers
+            own = np.sort(order[groups[lo]:groups[hi]])
+            part, n = body[ramp(at[own], size[own])], size[own]
+            begin = np.cumsum(n) - n
+            one, cls = _intern(part, begin, n)
+            lowest = np.full(len(one), np.iinfo(np.int64).max)
+            np.minimum.at(lowest, cls, low[own])
+            least, base = _least_of_windows(part, begin[one], n[one], gram[own][one], lowest, length)
+            mine = windows[own]
+            bits[ramp(ends[own] - mine, mine)] = least[ramp(base[cls], mine)] < np.repeat(low[own], mine)
+        return bl.bit_rows(t, np.add.reduceat(windows, np.cumsum(rows) - rows), bits, 2)
     return run
 
 

@@ -22,6 +22,7 @@ def table(separators: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     low = np.arange(256, dtype=np.uint8)
     if lower:
         low[65:91] += 32
+        sep[65:91] = sep[97:123]               # separators are judged on the lower-case text
     return sep, low
 
 
