@@ -11,11 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.blob_ledger import BlobLedger, joined_spans
 from strata.llm.bpe import digests, encode_documents
 from strata.llm.exact_dedup import exact_groups
+from strata.llm.folds import held_out, may_learn
+from strata.llm.lsh_forest import near_duplicates
 from strata.llm.phrase_index import contamination
+from strata.llm.ppm_language import fit_languages, identify
 from strata.llm.substring_dedup import dedup_substrings
 from strata.llm.suffix_dedup import dedup_suffixes
+from strata.llm.token_rollup import TokenRollup, changes, count_tokens
+from strata.llm.toxicity import fit_toxicity, score_toxicity
+from strata.session import scratch_path
 from strata.sources.files import read_testdata as table
 
 
@@ -32,6 +39,14 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by class-conditional Kneser-Ney models."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of texts that are equal without white space, and the row that stays."""
     return exact_groups(table(spark, sf_dir, "documents")).select(
@@ -44,6 +59,53 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by partial matching over bytes."""
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit_languages(docs.filter(may_learn()))).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, found once per distinct text."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = BlobLedger(spark, scratch_path(spark, "blob-ledger"))
+    ledger.scan(docs)
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return ledger.findings(docs).select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined_spans(), 256).alias("base_sha256"), joined_spans().alias("spans"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals kept by deltas: estimates are loaded for all documents and then
+    revised to the counts, a second tokenizer is loaded, documents without a
+    token are deleted again, and one batch is sent twice."""
+    docs = table(spark, sf_dir, "documents").select(
+        "*", count_tokens("words-1").alias("words"), count_tokens("alnum-1").alias("alnums"),
+        F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("size"))
+    size, guess = F.col("size"), F.floor(F.col("size") / 5)
+    rollup = TokenRollup(spark, scratch_path(spark, "token-rollup"))
+    rollup.commit("load-words", changes(docs, "words-1", "insert", n_tokens=guess, n_chars=size))
+    revised = changes(docs, "words-1", "revise", n_tokens=F.col("words"), n_chars=size, old_tokens=guess, old_chars=size)
+    rollup.commit("revise-words", revised)
+    rollup.commit("load-alnum", changes(docs, "alnum-1", "insert", n_tokens=F.col("alnums"), n_chars=size))
+    empty = docs.filter("words = 0")
+    rollup.commit("drop-empty", changes(empty, "words-1", "delete", n_tokens=F.col("words"), n_chars=size).unionByName(
+        changes(empty, "alnum-1", "delete", n_tokens=F.col("alnums"), n_chars=size)))
+    rollup.commit("revise-words", revised)
+    return rollup.totals().select("source", "lang", "version", "n_docs", "n_tokens", "n_chars")
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with alike 4-word shingle sets, and the one that stays."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def vocabulary() -> str:
     """Default vocabulary file of the encoder."""
     import public_tokenizers
@@ -59,12 +121,27 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_language": op6_language,
+    "op7_secrets": op7_secrets,
+    "op8_token_counts": op8_token_counts,
+    "op9_near_dedup": op9_near_dedup,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_token_counts": r"""
+        WITH t AS (SELECT source, lang, length(coalesce(text, '')) AS size,
+                          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+                          len(regexp_extract_all(coalesce(text, ''), '[0-9A-Za-z]+')) AS alnums
+                   FROM documents)
+        SELECT source, lang, version, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens,
+               CAST(sum(size) AS BIGINT) AS n_chars
+        FROM (SELECT source, lang, size, words, 'words-1' AS version, words AS n FROM t
+              UNION ALL SELECT source, lang, size, words, 'alnum-1', alnums FROM t)
+        WHERE words > 0 GROUP BY 1, 2, 3""",
     "op4_exact_dedup": r"""
         WITH t AS (SELECT doc_id, coalesce(length(text), 0) AS size,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
