@@ -10,8 +10,10 @@ however large a group of copies is:
 
 1. every set is compared with its next neighbour in every order, and the links
    that hold form components;
-2. in every leaf all pairs of sets that are still in different components, and
-   were not compared, are compared too.
+2. a leaf whose sets are in different components gets their full sets, and all
+   sets outside its largest component are compared with the rest; large leaves
+   are dealt to groups of bounded size.  Only links are written, one for each
+   set and component that it meets.
 
 A comparison is exact, on the full shingle sets.  Equal sets are one node from
 the start.  A pair at the threshold 0.8 shares the first four values of at
@@ -30,6 +32,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +40,7 @@ from strata.llm.blocks import column_ids, cuts, limit_batches, stored, texts
 from strata.llm.components import components
 from strata.llm.textops import NULL_ID, SPACES, Rolling, Words, column_bytes, group_starts, table
 
-TREES, DEPTH, SHALLOW, LEAF = 16, 8, 4, 32
+TREES, DEPTH, SHALLOW, LEAF, BLOCK = 16, 8, 4, 32, 512
 PIECE = 1 << 20
 _TABLE = table(SPACES, lower=True)
 _RNG = np.random.Generator(np.random.PCG64(11))
@@ -133,34 +136,77 @@ def _neighbours(batches):
         yield _pair_batch(ids[:-1], ids[1:])
 
 
-def _apart(batches):
-    """Pairs of a leaf in different components."""
+def _mixed_leaves(batches):
+    """Members of the leaves that hold several components, dealt to groups of bounded size.
+
+    A leaf of up to ``BLOCK`` sets is one group; a larger one gives a group for
+    every two of its blocks, so that each pair of its sets meets in one.
+    """
+    number = TaskContext.get().partitionId() << 33
     for keys, ids, comp in _sorted_runs(batches):
         if (comp == comp[0]).all():
             continue
         for lo, hi in leaves(keys, 0, len(ids), SHALLOW):
-            for i in range(lo, hi - 1):
-                other = np.flatnonzero(comp[i + 1:hi] != comp[i]) + i + 1
-                if len(other):
-                    yield _pair_batch(np.full(len(other), ids[i]), ids[other])
+            parts = [np.arange(x, min(x + BLOCK, hi)) for x in range(lo, hi, BLOCK)]
+            for i, part in enumerate(parts):
+                for more in parts[i + 1:] or parts[i:i + 1] * (len(parts) == 1):
+                    own = np.union1d(part, more)
+                    if (comp[own] != comp[own[0]]).any():
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(own), number)), pa.array(ids[own]), pa.array(comp[own])],
+                            ["leaf", "id", "comp"])
+                        number += 1
+
+
+def _bodies_sets(bodies: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle sets of compressed texts, concatenated, and their edges."""
+    z, sets, sizes = zstandard.ZstdDecompressor(), [], []
+    raw = [z.decompress(x) for x in bodies]
+    for lo, hi in cuts(np.array([len(x) for x in raw]), PIECE):
+        offs = np.concatenate([[0], np.cumsum([len(x) for x in raw[lo:hi]])])
+        h, edges = shingle_sets(np.frombuffer(b"".join(raw[lo:hi]), np.uint8), offs, words)
+        sets.append(h)
+        sizes.append(np.diff(edges))
+    return np.concatenate(sets), np.concatenate([[0], *[np.cumsum(np.concatenate(sizes))]])
+
+
+def _link_group(words: int, percent: int):
+    """Links of a group between different components: one for each set and component that it meets."""
+    def run(t: pa.Table) -> pa.Table:
+        ids, comp = (t.column(c).to_numpy() for c in ("id", "comp"))
+        h, edges = _bodies_sets(t.column("body").to_pylist(), words)
+        names, shingle = np.unique(h, return_inverse=True)
+        size = np.diff(edges)
+        mark = np.zeros(len(names) + 1, np.int32)
+        labels, count = np.unique(comp, return_counts=True)
+        a, b = [], []
+        for i in np.flatnonzero(comp != labels[count.argmax()]):       # of two components one is not the largest
+            mark[shingle[edges[i]:edges[i + 1]]] = 1
+            both = np.add.reduceat(mark[shingle], edges[:-1])
+            mark[shingle[edges[i]:edges[i + 1]]] = 0
+            near = np.flatnonzero((100 * both >= percent * (size + size[i] - both)) & (comp != comp[i]))
+            if len(near):
+                near = near[np.unique(comp[near], return_index=True)[1]]
+                a.append(np.full(len(near), ids[i]))
+                b.append(ids[near])
+        both = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
+        return pa.table([pa.array(np.minimum(*both)), pa.array(np.maximum(*both))], ["a", "b"])
+    return run
 
 
-def _orders(entries: DataFrame, pairs) -> DataFrame:
-    """Distinct candidate pairs from the sorted orders."""
-    rows = (entries.repartition("tree", F.substring("key", 1, 2 * SHALLOW))
+def _orders(entries: DataFrame) -> DataFrame:
+    """The trees' sorted orders; rows with one shallow prefix are in one partition."""
+    return (entries.repartition("tree", F.substring("key", 1, 2 * SHALLOW))
             .sortWithinPartitions("tree", "key", "id"))
-    return rows.mapInArrow(pairs, "a long, b long").distinct()
 
 
 def _compare(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets are alike, by comparing the full sets."""
     def run(batches):
-        z = zstandard.ZstdDecompressor()
         for b in batches:
-            raw = [z.decompress(x) for c in ("left", "right") for x in b.column(c).to_pylist()]
             n, keep = b.num_rows, np.zeros(b.num_rows, bool)
-            offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
-            h, edges = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), offs, words)
+            if n:
+                h, edges = _bodies_sets(b.column("left").to_pylist() + b.column("right").to_pylist(), words)
             for i in range(n):
                 x, y = h[edges[i]:edges[i + 1]], h[edges[n + i]:edges[n + i + 1]]
                 both = len(np.intersect1d(x, y, assume_unique=True))
@@ -168,8 +214,8 @@ def _compare(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -> D
             yield b.select(["a", "b"]).filter(pa.array(keep))
 
     limit_batches(pairs.sparkSession, 64)
-    full = (pairs.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("left")), "a")
-            .join(bodies.select(F.col("id").alias("b"), F.col("body").alias("right")), "b"))
+    full = (pairs.hint("merge").join(bodies.select(F.col("id").alias("a"), F.col("body").alias("left")), "a")
+            .hint("merge").join(bodies.select(F.col("id").alias("b"), F.col("body").alias("right")), "b"))
     return full.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
@@ -189,17 +235,19 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     entries = nodes.select("id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.substring(F.col("sig"), t * 2 * DEPTH + 1, F.lit(2 * DEPTH)))).alias("tree", "key"))
-    first = stored(_orders(entries.withColumn("comp", F.lit(0).cast("long")), _neighbours), "forest-neighbours")
+    first = stored(_orders(entries.withColumn("comp", F.lit(0).cast("long")))
+                   .mapInArrow(_neighbours, "a long, b long").distinct(), "forest-neighbours")
     active = first.select(F.col("a").alias("id")).union(first.select("b")).distinct()
-    owned = some.join(nodes.select("digest", "id"), ["digest", "id"], "left_semi")     # one row per node
-    bodies = stored(owned.join(active, "id", "left_semi").dropDuplicates(["id", "digest"])
-                    .select("id", "body"), "forest-bodies")
+    owners = stored(nodes.select("id", "digest").join(active, "id", "left_semi"), "forest-active")
+    bodies = stored(some.select("id", "digest", "body").hint("merge").join(owners, ["id", "digest"], "left_semi")
+                    .dropDuplicates(["id", "digest"]).select("id", "body"), "forest-bodies")
     links = stored(_compare(first, bodies, words, percent), "forest-links")
     parts = components(links)
-    again = (entries.join(active, "id", "left_semi").join(parts, "id", "left")
+    again = (entries.join(owners.select("id"), "id", "left_semi").join(parts, "id", "left")
              .select("id", "tree", "key", F.coalesce("component_id", "id").alias("comp")))
-    second = stored(_orders(again, _apart).join(first, ["a", "b"], "left_anti"), "forest-apart")
-    more = stored(_compare(second, bodies, words, percent), "forest-links")
+    mixed = stored(_orders(again).mapInArrow(_mixed_leaves, "leaf long, id long, comp long"), "forest-leaves")
+    more = stored(mixed.hint("merge").join(bodies, "id").groupBy("leaf")
+                  .applyInArrow(_link_group(words, percent), "a long, b long"), "forest-links")
     if not more.isEmpty():
         parts = components(links.union(more))
     # equal sets share a node; a doc_id that repeats belongs to several
