@@ -19,6 +19,7 @@ import re
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,10 +65,18 @@ def find_spans(text: str, kinds: set[str] | None = None) -> list[tuple[str, int,
     return [(kind, start, end) for start, _, kind, end in sorted(found)]
 
 
+def _compress(batches):
+    z = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        body = [z.compress(x) for x in b.column("text").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("blob"), pa.array(body, pa.binary())], ["blob", "body"])
+
+
 def _scan(batches):
+    z = zstandard.ZstdDecompressor()
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     for b in batches:
-        text = b.column("text")
+        text = pa.array([z.decompress(x) for x in b.column("body").to_pylist()], pa.binary()).cast(pa.string())
         spans: list[list[tuple]] = [[] for _ in range(b.num_rows)]
         hits = {k: pc.match_substring_regex(text, h).to_numpy(zero_copy_only=False) for k, h in HINTS.items()}
         for i in set().union(*(x.nonzero()[0].tolist() for x in hits.values())):
@@ -97,8 +106,9 @@ class BlobLedger:
     def scan(self, docs: DataFrame) -> None:
         """Scan the blobs of ``docs`` that are new under the current rules."""
         known = self.read().filter(F.col("rules") == RULE_VERSION).select("blob")
-        new = blobs(docs).select("blob", "text").dropDuplicates(["blob"]).join(known, "blob", "left_anti")
         limit_batches(self.spark, 512)
+        bodies = blobs(docs).select("blob", "text").mapInArrow(_compress, "blob string, body binary")
+        new = bodies.dropDuplicates(["blob"]).join(known, "blob", "left_anti")
         new.mapInArrow(_scan, LEDGER).write.mode("append").parquet(self.path)
 
     def findings(self, docs: DataFrame) -> DataFrame:
