@@ -147,7 +147,7 @@ def _near(starts: np.ndarray, places: np.ndarray, slop: int) -> np.ndarray:
     return starts[(at < len(places)) & (places[np.minimum(at, len(places) - 1)] <= starts + slop)]
 
 
-def _search(wanted: pa.Table, rows: pa.Table, slop: int, schema: str) -> pa.Table:
+def _search(wanted: pa.Table, rows: pa.Table, slop: int, none: pa.Table) -> pa.Table:
     lists, first, ids, shard = {}, None, None, None
     for i in range(rows.num_rows):
         term = rows.column("term")[i].as_py()
@@ -177,7 +177,7 @@ def _search(wanted: pa.Table, rows: pa.Table, slop: int, schema: str) -> pa.Tabl
         if inside.any():
             out.append((k, starts[inside], doc[inside], len(words)))
     if not out:
-        return _empty(schema)
+        return none
     n = [len(x[1]) for x in out]
     starts, doc = (np.concatenate([x[i] for x in out]) for i in (1, 2))
     return pa.table([pa.array(np.full(len(doc), shard)), pa.array(doc.astype(np.int32)), ids.take(pa.array(doc)),
@@ -202,8 +202,10 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataF
     held = lists.unionByName(index.filter(F.col("term").isNull())).withColumn(
         "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
+    none = _empty(MATCHES)
+
     def run(left, right):
-        return _search(left, right, slop, MATCHES) if left.num_rows else _empty(MATCHES)
+        return _search(left, right, slop, none) if left.num_rows else none
 
     return wanted.groupBy("at", "slice").cogroup(held.groupBy("shard", "part")).applyInArrow(run, MATCHES)
 

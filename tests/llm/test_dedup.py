@@ -1,0 +1,141 @@
+"""Dedup operators against brute force, on small tables with awkward rows."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm.bwt import long_prefix_classes
+from strata.llm.exact_dedup import exact_groups
+from strata.llm.lsh_forest import near_duplicates
+from strata.llm.substring_dedup import dedup_substrings
+from strata.llm.suffix_dedup import dedup_suffixes
+
+SCHEMA = "doc_id long, text string, block string, bucket int, id int, hash string"
+SPACE = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def frame(spark, rows):
+    """Rows with extra columns whose names clash with the operators' own."""
+    return spark.createDataFrame([(d, t, "x", 1, 2, None) for d, t in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    r = random.Random(5)
+    words = [f"w{i}é" for i in range(60)] + ["the", "Of", "a"]
+    passage = " ".join(r.choice(words) for _ in range(40))
+    out = [(None, passage), (1, None), (2, ""), (3, " \t\n"), (4, "x"), (5, "one two")]
+    for i in range(10, 60):
+        text = " ".join(r.choice(words) for _ in range(r.randint(1, 80)))
+        if i % 3 == 0:
+            text = text[:len(text) // 2] + "\n" + passage + " " + text[len(text) // 2:]
+        out.append((i, text))
+    base = " ".join(r.choice(words) for _ in range(300))
+    out += [(100 + i, base.replace("w7é", f"z{i}", 1)) for i in range(8)]
+    out += [(200, base), (201, base), (201, base), (202, base.upper()), (203, base.replace(" ", "  "))]
+    out += [(300, "For " * 3000), (301, "For " * 2000 + "x"), (302, passage * 400)]
+    return out
+
+
+def key(d):
+    return float("-inf") if d is None else d
+
+
+def test_substrings(spark, rows):
+    got = Counter(map(tuple, dedup_substrings(frame(spark, rows)).collect()))
+    first = {}
+    split = [(d, SPACE.findall(t or "")) for d, t in rows]
+    for d, w in sorted(split, key=lambda x: key(x[0])):
+        for i in range(len(w) - 12):
+            first.setdefault(tuple(w[i:i + 13]), d)
+    want = Counter()
+    for d, w in split:
+        gone = [False] * len(w)
+        for i in range(len(w) - 12):
+            if key(first[tuple(w[i:i + 13])]) < key(d):
+                gone[i:i + 13] = [True] * 13
+        want[d, len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)] += 1
+    assert got == want
+
+
+def test_suffixes(spark, rows):
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+                  for r in dedup_suffixes(frame(spark, rows)).collect())
+    first = {}
+    raw = [(d, (t or "").encode()) for d, t in rows]
+    for d, b in sorted(raw, key=lambda x: key(x[0])):
+        for i in range(len(b) - 49):
+            first.setdefault(b[i:i + 50], d)
+    want = Counter()
+    for d, b in raw:
+        gone = [False] * len(b)
+        for i in range(len(b) - 49):
+            if key(first[b[i:i + 50]]) < key(d):
+                gone[i:i + 50] = [True] * 50
+        spans = sum(g and not p for p, g in zip([False] + gone, gone))
+        want[d, len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone) if not g)] += 1
+    assert got == want
+
+
+def test_prefix_classes_are_equal_strings():
+    import numpy as np
+
+    r = random.Random(2)
+    parts = ["".join(r.choice("ab") for _ in range(r.randint(6, 20))) for _ in range(80)]
+    t = np.concatenate([np.array([ord(c) - 96 for c in p] + [0], np.uint8) for p in parts])
+    tail = np.concatenate([np.arange(len(p), -1, -1) for p in parts])
+    sa, cls = long_prefix_classes(t, tail, 21, 6)
+    named = {}
+    for k, c in zip(sa, cls):
+        if tail[k] >= 6:
+            named.setdefault(int(c), set()).add(bytes(t[k:k + 6]))
+    assert all(len(v) == 1 for v in named.values())
+    assert len({next(iter(v)) for v in named.values()}) == len(named)
+
+
+@pytest.mark.parametrize("hash_of", [F.md5, lambda c: F.substring(F.md5(c), 1, 1)])
+def test_exact_groups(spark, rows, hash_of):
+    got = Counter(map(tuple, exact_groups(frame(spark, rows), hash_of)
+                      .select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()))
+    groups = {}
+    for d, t in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), key(d), d))
+    want = Counter()
+    for body, members in groups.items():
+        keep = min(members)[2]
+        for _, _, d in members:
+            want[d, keep, len(members), d == keep, hashlib.sha256(body.encode()).hexdigest()] += 1
+    assert got == want
+
+
+def test_near_duplicates(spark, rows):
+    rows = [(d, t) for d, t in rows if (d, t) != rows[-6]]
+    got = Counter(map(tuple, near_duplicates(frame(spark, rows)).collect()))
+    sets = []
+    for d, t in rows:
+        w = SPACE.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append((d, frozenset(tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))) if w else frozenset()))
+    up = {d: d for d, _ in sets}
+
+    def root(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    for a, x in sets:
+        for b, y in sets:
+            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                lo, hi = sorted((root(a), root(b)), key=key)
+                up[hi] = lo
+    want = Counter((d, len(s), root(d), root(d) == d) for d, s in sets)
+    assert got == want
+
+
+def test_empty_tables(spark):
+    empty = frame(spark, [])
+    for f in (dedup_substrings, dedup_suffixes, exact_groups, near_duplicates):
+        assert f(empty).collect() == []
