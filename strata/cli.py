@@ -4,7 +4,7 @@
         --url 'https://api.example/items?page={page}&per_page={per_page}' \
         --root s3a://lake/items --endpoint http://store:9000 --first 40 --last 1
     spark-submit strata/cli.py partitions --rows 10000 --partitions 4
-    spark-submit strata/cli.py partitions --table s3a://lake/items/silver --keys id --partitions 400
+    spark-submit strata/cli.py partitions --table s3a://lake/items/silver
 
 Object-store keys come from ``AWS_ACCESS_KEY_ID`` / ``AWS_SECRET_ACCESS_KEY``;
 JDBC credentials from the environment variables named by ``--jdbc-user-env`` /
@@ -28,9 +28,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     pc = sub.add_parser("partitions", help="rows per partition (distribution check)")
     pc.add_argument("--rows", type=int, default=10000, help="range size when no --table")
     pc.add_argument("--partitions", type=int, default=4)
-    pc.add_argument("--table", help="table folder: rows per task of a hash shuffle on --keys")
+    pc.add_argument("--table", help="table folder: rows per physical partition of its scan")
     pc.add_argument("--format", default="parquet")
-    pc.add_argument("--keys", nargs="+")
     ap = sub.add_parser("medallion", help="crawl a paged JSON API into bronze/silver/gold")
     ap.add_argument("--url", required=True, help="page URL template with {page} and {per_page}")
     ap.add_argument("--root", required=True, help="storage root for the layers")
@@ -59,15 +58,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def _partitions(spark, a) -> list[tuple[int, int]]:
-    from strata.operators.aggregates import hash_partition_counts, partition_counts
+    from strata.operators.aggregates import partition_counts
     from strata.sources.generators import range_frame
 
-    if a.table:
-        if not a.keys:
-            raise SystemExit("--keys is required with --table")
-        df = hash_partition_counts(spark.read.format(a.format).load(a.table), a.keys, a.partitions)
-    else:
-        df = partition_counts(range_frame(spark, 0, a.rows, 1, a.partitions))
+    df = partition_counts(spark.read.format(a.format).load(a.table) if a.table
+                          else range_frame(spark, 0, a.rows, 1, a.partitions))
     df = df.orderBy("partition")
     df.show(a.partitions, truncate=False)
     return [tuple(r) for r in df.collect()]

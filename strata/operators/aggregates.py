@@ -43,16 +43,3 @@ def partition_counts(df: DataFrame, partition_col: str = "partition",
     return (df.withColumn(partition_col, F.spark_partition_id())
               .groupBy(partition_col)
               .agg(F.count(F.lit(1)).alias(count_col)))
-
-
-def hash_partition_counts(df: DataFrame, keys: list[str], num_partitions: int,
-                          partition_col: str = "partition", count_col: str = COUNT) -> DataFrame:
-    """Rows each task would receive from a hash shuffle of ``df`` on ``keys``.
-
-    Spark's hash partitioner sends a row to ``pmod(murmur3(keys, seed 42), n)``,
-    which is exactly ``pmod(hash(keys), n)``; computing it per row and counting
-    with a partial aggregate measures shuffle skew without moving the data into
-    ``n`` tasks.  Equal to ``partition_counts(df.repartition(n, *keys))``.
-    """
-    part = F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(num_partitions)).alias(partition_col)
-    return df.groupBy(part).agg(F.count(F.lit(1)).alias(count_col))

@@ -55,6 +55,9 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
         raise ValueError("failed_pages must be 'audit', 'inline' or 'drop'")
     crawled, sentinels = crawl_records(spark, url, first, last, per_page, pause_seconds,
                                        concurrency, rescue_col=rescue_col)
+    if crawled.isEmpty() and not sentinels.isEmpty():
+        # nothing was fetched: stop before any layer is overwritten
+        raise RuntimeError("every page of the crawl failed; the stored layers are left as they are")
     records = crawled.drop("page", "position")
     if failed_pages == "inline":
         records = union_by_name([records, sentinels])

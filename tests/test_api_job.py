@@ -91,8 +91,19 @@ def test_cli_distribution_check(spark, tmp_path):
         (0, 2500), (1, 2500), (2, 2500), (3, 2500)]
     path = str(tmp_path / "t")
     spark.range(0, 1000).write.parquet(path)
-    got = main(["partitions", "--table", path, "--keys", "id", "--partitions", "3"])
-    assert sum(c for _, c in got) == 1000 and len(got) == 3
+    got = main(["partitions", "--table", path])
+    assert sum(c for _, c in got) == 1000
+
+
+def test_failed_crawl_leaves_the_layers(spark, tmp_path, pages):
+    from strata.plans.api_job import run_api_medallion
+
+    root = str(tmp_path / "lake")
+    run_api_medallion(spark, pages, root, first=7, last=1, pause_seconds=0)
+    before = spark.read.json(f"{root}/bronze").count()
+    with pytest.raises(RuntimeError, match="every page"):
+        run_api_medallion(spark, str(tmp_path / "none" / "{page}.json"), root, first=3, last=1, pause_seconds=0)
+    assert before > 0 and spark.read.json(f"{root}/bronze").count() == before
 
 
 def test_api_job_rescues_unknown_keys(spark, tmp_path, pages):

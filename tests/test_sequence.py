@@ -31,19 +31,3 @@ def test_partition_counts_reference_case(spark):
 
     got = sorted(tuple(r) for r in partition_counts(range_frame(spark, 0, 10000, 1, 4)).collect())
     assert got == [(0, 2500), (1, 2500), (2, 2500), (3, 2500)]
-
-
-def test_hash_partition_counts_equals_repartition(spark):
-    from strata.operators.aggregates import hash_partition_counts, partition_counts
-
-    df = spark.createDataFrame([(i % 97, f"s{i % 13}") for i in range(5000)], "k long, s string")
-    for keys, n in ((["k"], 4), (["k", "s"], 7)):
-        exp = sorted(tuple(r) for r in partition_counts(df.repartition(n, *keys)).collect())
-        got = sorted(tuple(r) for r in hash_partition_counts(df, keys, n).collect())
-        assert got == exp
-
-
-def test_sequence_partitions_sized_by_rows(spark):
-    df = spark.range(0, 1000, 1, 4).selectExpr("id AS k")
-    out = with_sequence(df, [F.col("k")], rows_per_partition=100)
-    assert [r.seq for r in out.orderBy("k").collect()] == list(range(1000))
