@@ -23,8 +23,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.names import quoted
 from strata.functions.schemas import JSON_TS_OPTIONS
 from strata.operators.aggregates import group_count, order_by_count
 from strata.operators.cleansing import drop_incomplete
@@ -35,18 +37,24 @@ from strata.sinks.files import write_table
 
 @dataclass
 class IncrementalRun:
-    """Rows taken in by the bronze and silver queries in this run (summed over
-    the run's micro-batches as kept in ``recentProgress``: up to
-    ``spark.sql.streaming.numRecentProgressUpdates`` batches, 100 by default;
-    without ``max_files_per_trigger`` a run is one batch), and the gold table."""
+    """Rows that the bronze and silver queries stored in this run, and the gold table."""
 
     bronze_rows: int
     silver_rows: int
     gold: DataFrame
 
 
+#: Batches of one run whose progress is kept, so that no stored row goes uncounted.
+PROGRESS = ("spark.sql.streaming.numRecentProgressUpdates", str(2**31 - 1))
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    return df.observe("stored", F.count(F.lit(1)).alias("n"))
+
+
 def _rows(query) -> int:
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    seen = [p.observedMetrics.get("stored") for p in query.recentProgress]
+    return sum(r["n"] for r in seen if r is not None)
 
 
 def run_incremental_medallion(spark: SparkSession, source_path: str, source_format: str,
@@ -55,6 +63,8 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
     """Process newly landed source files through bronze, silver and gold, then stop."""
     if p.schema is None:
         raise ValueError("the incremental flow needs a declared schema (MedallionParams.schema)")
+    if p.jdbc:
+        raise ValueError("the incremental flow has no serving table; write one from its gold")
     schema: T.StructType = p.schema
     ck = (checkpoint_root or scratch_path(spark, "incremental-ckpt")).rstrip("/")
 
@@ -64,10 +74,12 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
         src = src.options(**JSON_TS_OPTIONS)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    bronze_in = src.load(source_path).select(*schema.fieldNames())
+    bronze_in = src.load(source_path).select(*[quoted(c) for c in schema.fieldNames()])
     if p.drop_incomplete_at == "bronze":
         bronze_in = drop_incomplete(bronze_in, subset=p.drop_subset)
-    qb = (bronze_in.writeStream.format("json").options(**JSON_TS_OPTIONS)
+    kept = spark.conf.get(PROGRESS[0])
+    spark.conf.set(*PROGRESS)
+    qb = (_counted(bronze_in).writeStream.format("json").options(**JSON_TS_OPTIONS)
           .option("ignoreNullFields", "false")
           .option("checkpointLocation", f"{ck}/bronze")
           .trigger(availableNow=True).start(p.bronze_path))
@@ -77,10 +89,11 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
     silver_in = (spark.readStream.schema(schema).options(**JSON_TS_OPTIONS).json(p.bronze_path))
     if p.drop_incomplete_at == "silver":
         silver_in = drop_incomplete(silver_in, subset=p.drop_subset)
-    qs = (silver_in.writeStream.format(p.table_format).partitionBy(*p.partition_by)
+    qs = (_counted(silver_in).writeStream.format(p.table_format).partitionBy(*p.partition_by)
           .option("checkpointLocation", f"{ck}/silver")
           .trigger(availableNow=True).start(p.silver_path))
     qs.awaitTermination()
+    spark.conf.set(PROGRESS[0], kept)
 
     # Gold
     keys = p.group_by

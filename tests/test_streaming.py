@@ -39,6 +39,22 @@ def test_incremental_drop_at_silver_keeps_bronze_raw(spark, tmp_path):
                         schema=df.schema, drop_incomplete_at="silver")
     r = run_incremental_medallion(spark, landing + "/*", "parquet", p,
                                   checkpoint_root=str(tmp_path / "ck"))
-    assert r.bronze_rows == 3 and r.silver_rows == 3        # silver's input is all of bronze
+    assert r.bronze_rows == 3 and r.silver_rows == 2        # rows stored, not rows read
     assert spark.read.json(p.bronze_path).count() == 3      # bronze keeps the incomplete row
     assert sorted(tuple(x) for x in r.gold.collect()) == [("CA", "micro", 1), ("NY", "large", 1)]
+
+
+def test_every_batch_is_counted(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    df = spark.range(240).selectExpr("id", "CAST(id % 3 AS STRING) AS k")
+    df.repartition(6).write.parquet(landing)
+    p = MedallionParams(root=str(tmp_path / "m"), partition_by=["k"], group_by=["k"], schema=df.schema)
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(name, "2")
+    try:
+        r = run_incremental_medallion(spark, landing, "parquet", p, checkpoint_root=str(tmp_path / "ck"),
+                                      max_files_per_trigger=1)
+        assert spark.conf.get(name) == "2"
+    finally:
+        spark.conf.unset(name)
+    assert r.bronze_rows == 240 and r.silver_rows == 240
