@@ -76,7 +76,7 @@ def main() -> None:
 
     def bronze_write():
         state["bronze"] = roots["bronze"]
-        write_json(spark.read.parquet(li_path), state["bronze"])   # as the flow does
+        write_json(spark.read.parquet(li_path), state["bronze"], rebalance=True)   # the table is one file
 
     def bronze_inferred_count():
         gold_counts(read_json(spark, state["bronze"]), keys).collect()
@@ -90,7 +90,7 @@ def main() -> None:
 
     def medallion_flow():
         p = MedallionParams(root=roots["medallion"],
-                            partition_by=["l_returnflag"], group_by=keys)
+                            partition_by=["l_returnflag"], group_by=keys, rebalance_bronze=True)
         run_medallion(spark, spark.read.parquet(li_path), p).gold.collect()
 
     def crawl_flow():
@@ -110,7 +110,8 @@ def main() -> None:
                                    concurrency=default_parallelism(spark),
                                    record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
         p = MedallionParams(root=roots["crawl"], partition_by=["c_mktsegment"],
-                            group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA)
+                            group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA,
+                            rebalance_bronze=True)
         run_medallion(spark, records.drop("page", "position"), p).gold.collect()
 
     headline = {

@@ -43,6 +43,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--drop-incomplete-at", choices=["bronze", "silver", "none"], default="bronze")
     ap.add_argument("--silver-mode", default="overwrite")
     ap.add_argument("--gold-mode", default="overwrite")
+    ap.add_argument("--allow-incomplete", action="store_true",
+                    help="go on although some pages could not be fetched or parsed")
     ap.add_argument("--rescue-col", help="keep unknown record keys as JSON text in this column")
     ap.add_argument("--endpoint", help="S3-compatible endpoint for s3a:// roots")
     ap.add_argument("--jdbc-url")
@@ -97,7 +99,7 @@ def main(argv: list[str] | None = None):
             spark, a.url, a.root, first=a.first, last=a.last, per_page=a.per_page,
             pause_seconds=a.pause_seconds, concurrency=a.concurrency,
             failed_pages=a.failed_pages, table_format=a.format, jdbc=jdbc,
-            rescue_col=a.rescue_col,
+            rescue_col=a.rescue_col, allow_incomplete=a.allow_incomplete,
             drop_incomplete_at=None if a.drop_incomplete_at == "none" else a.drop_incomplete_at,
             silver_mode=a.silver_mode, gold_mode=a.gold_mode)
         print(json.dumps({"counts": res.counts}))

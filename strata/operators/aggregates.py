@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.names import quoted
+
 COUNT = "count"
 
 
@@ -15,12 +17,12 @@ def group_count(df: DataFrame, keys: list[str], count_col: str = COUNT) -> DataF
     aggregate, so a hot key is pre-counted inside every map task and the
     shuffle carries one row per (task, key) rather than the raw rows.
     """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    return df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_col))
 
 
 def order_by_count(df: DataFrame, keys: list[str], count_col: str = COUNT) -> DataFrame:
     """O1: count descending; keys ascending break ties so the order is total."""
-    return df.orderBy(F.col(count_col).desc(), *[F.col(k).asc_nulls_first() for k in keys])
+    return df.orderBy(F.col(quoted(count_col)).desc(), *[F.col(quoted(k)).asc_nulls_first() for k in keys])
 
 
 def gold_counts(df: DataFrame, keys: list[str], count_col: str = COUNT) -> DataFrame:

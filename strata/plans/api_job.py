@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.schemas import BREWERY_SCHEMA, brewery_typed_columns
-from strata.operators.routing import route_pages
+from strata.operators.routing import HTTP_ERROR, UNPARSABLE, outcome_column, route_pages
 from strata.operators.union import union_by_name
 from strata.plans.lineage import cut_lineage
 from strata.plans.medallion import MedallionParams, MedallionResult, run_medallion
@@ -24,6 +24,14 @@ from strata.sinks.files import write_json
 from strata.sources.paged_json import read_pages
 
 
+def crawl_pages(spark: SparkSession, url: str, first: int, last: int, per_page: int = 200,
+                pause_seconds: float = 0.0, concurrency: int = 1) -> DataFrame:
+    """Fetch pages ``first..last`` once and store their envelopes."""
+    env = read_pages(spark, url, first, last, per_page=per_page, pause_seconds=pause_seconds,
+                     concurrency=concurrency)
+    return cut_lineage(env, "crawl-pages")
+
+
 def crawl_records(spark: SparkSession, url: str, first: int, last: int, per_page: int = 200,
                   pause_seconds: float = 0.0, concurrency: int = 1,
                   record_schema: T.StructType = BREWERY_SCHEMA, id_field: str = "id",
@@ -32,9 +40,7 @@ def crawl_records(spark: SparkSession, url: str, first: int, last: int, per_page
 
     Records carry ``page`` and ``position`` so the crawl order is explicit.
     """
-    env = read_pages(spark, url, first, last, per_page=per_page, pause_seconds=pause_seconds,
-                     concurrency=concurrency)
-    env = cut_lineage(env, "crawl-pages")
+    env = crawl_pages(spark, url, first, last, per_page, pause_seconds, concurrency)
     return route_pages(env, record_schema, id_field=id_field, rescue_col=rescue_col)
 
 
@@ -42,7 +48,7 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
                       per_page: int = 200, pause_seconds: float = 1.0, concurrency: int = 1,
                       failed_pages: str = "audit", table_format: str = "parquet",
                       jdbc: dict | None = None, rescue_col: str | None = None,
-                      **params) -> MedallionResult:
+                      allow_incomplete: bool = False, **params) -> MedallionResult:
     """Crawl, then bronze / silver (by ``state_province``) / gold (by state and type).
 
     ``failed_pages``: ``"audit"`` writes sentinel rows to ``<root>/failed_pages``;
@@ -50,23 +56,28 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
     ``drop_incomplete_at`` is None); ``"drop"`` ignores them.  ``rescue_col``
     carries keys the record schema does not know into every layer as JSON text;
     the incomplete-row check then looks at the declared fields only.
+
+    A page that could not be fetched or parsed ends the job before any layer is
+    overwritten (the audit names it), unless ``allow_incomplete`` is set; empty
+    pages are no failures.  A crawl of which nothing is left always ends it.
     """
     if failed_pages not in ("audit", "inline", "drop"):
         raise ValueError("failed_pages must be 'audit', 'inline' or 'drop'")
-    crawled, sentinels = crawl_records(spark, url, first, last, per_page, pause_seconds,
-                                       concurrency, rescue_col=rescue_col)
-    if crawled.isEmpty() and not sentinels.isEmpty():
-        # nothing was fetched: stop before any layer is overwritten
-        raise RuntimeError("every page of the crawl failed; the stored layers are left as they are")
+    env = crawl_pages(spark, url, first, last, per_page, pause_seconds, concurrency)
+    crawled, sentinels = route_pages(env, BREWERY_SCHEMA, rescue_col=rescue_col)
+    lost = env.filter(outcome_column(BREWERY_SCHEMA).isin(HTTP_ERROR, UNPARSABLE)).count()
+    if failed_pages == "audit":
+        write_json(sentinels.withColumn("logged_at", F.current_timestamp()),
+                   f"{root.rstrip('/')}/failed_pages", mode="append")
+    if lost and (not allow_incomplete or crawled.isEmpty()):
+        raise RuntimeError(f"{lost} pages of the crawl failed; the stored layers are left as they are")
     records = crawled.drop("page", "position")
     if failed_pages == "inline":
         records = union_by_name([records, sentinels])
-    elif failed_pages == "audit":
-        write_json(sentinels.withColumn("logged_at", F.current_timestamp()),
-                   f"{root.rstrip('/')}/failed_pages", mode="append")
     typed = records.select(*brewery_typed_columns(), *([rescue_col] if rescue_col else []))
     if rescue_col:
         params.setdefault("drop_subset", BREWERY_SCHEMA.fieldNames())
+    params.setdefault("rebalance_bronze", True)      # a crawl has few partitions
     p = MedallionParams(root=root, partition_by=["state_province"],
                         group_by=["state_province", "brewery_type"], schema=typed.schema,
                         table_format=table_format, jdbc=jdbc, **params)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.names import quoted
 from strata.functions.schemas import JSON_TS_OPTIONS
 from strata.operators.aggregates import COUNT, gold_counts, order_by_count
 from strata.operators.cleansing import drop_incomplete
@@ -43,11 +44,11 @@ class MedallionParams:
     silver_mode: str = "overwrite"
     gold_mode: str = "overwrite"
     dynamic_silver: bool = False
-    # Adaptive rebalance before the layer writes.  Silver (partitioned) always
-    # rebalances on its partition columns unless this is False: without it
-    # every task writes a file per value.  Bronze: None = only when the source
-    # is under-partitioned (see sinks.files.under_partitioned); True/False force it.
-    optimize_writes: bool | None = None
+    # Adaptive rebalance of silver on its partition columns: without it every
+    # task writes a file per value.
+    optimize_writes: bool = True
+    # Adaptive rebalance of bronze, for sources of few partitions (a crawl).
+    rebalance_bronze: bool = False
     # Text codec for bronze ("gzip", "bzip2", "deflate", ...; None = plain).
     # Compressed JSON files are not splittable, but optimized writes keep each
     # file near the advisory partition size, so silver still reads in parallel.
@@ -61,9 +62,8 @@ class MedallionParams:
     jdbc_mode: str = "overwrite"
     # Many distinct partition values mean many small silver folders and files.
     # Their number is estimated while bronze is written (approx_count_distinct
-    # in the bronze observation, no extra pass) and checked before silver.
+    # in the bronze observation, no extra pass); above this a warning is logged.
     max_partition_values: int | None = 10_000
-    on_too_many_partition_values: str = "warn"          # or "error"
     # Which layer the serving table receives: "silver" (every record, as the
     # reference does) or "gold" (the small aggregate -- what a row store
     # should get when silver is large).
@@ -101,7 +101,7 @@ def gold_schema(schema: T.StructType, keys: list[str], count_col: str = COUNT) -
 def read_silver(spark: SparkSession, p: MedallionParams, schema: T.StructType) -> DataFrame:
     # Declared schema keeps partition values typed as declared; the select puts
     # the partition columns back in record order.
-    return read_table(spark, p.silver_path, p.table_format, schema).select(*schema.fieldNames())
+    return read_table(spark, p.silver_path, p.table_format, schema).select(*[quoted(c) for c in schema.fieldNames()])
 
 
 def read_gold(spark: SparkSession, p: MedallionParams, schema: T.StructType) -> DataFrame:
@@ -115,8 +115,6 @@ def _check_partition_values(estimate, p: MedallionParams) -> None:
         return
     msg = (f"silver partitioning on {p.partition_by} would create about {estimate} partition "
            f"folders (limit {p.max_partition_values}); choose a coarser column")
-    if p.on_too_many_partition_values == "error":
-        raise ValueError(msg)
     log.warning(msg)
 
 
@@ -143,7 +141,7 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
         keys = [F.col(f"`{c}`") for c in p.partition_by]
         extra["partition_values"] = F.approx_count_distinct(keys[0] if len(keys) == 1
                                                             else F.struct(*keys))
-    write_json(bronze_in, p.bronze_path, mode=p.bronze_mode, rebalance=p.optimize_writes,
+    write_json(bronze_in, p.bronze_path, mode=p.bronze_mode, rebalance=p.rebalance_bronze,
                compression=p.bronze_compression,
                observe=report.tap("bronze", _stored(spark, p.bronze_path, "json", schema), extra))
     _check_partition_values(report.metric("bronze", "partition_values"), p)
@@ -154,7 +152,7 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
         bronze = drop_incomplete(bronze, subset=p.drop_subset)
     write_table(bronze, p.silver_path, p.table_format, partition_by=p.partition_by,
                 mode=p.silver_mode, dynamic_overwrite=p.dynamic_silver,
-                rebalance=p.optimize_writes is not False,
+                rebalance=p.optimize_writes,
                 observe=report.tap("silver", _stored(spark, p.silver_path, p.table_format, schema)))
 
     # Gold: grouped count over silver, sorted by count.

@@ -290,7 +290,8 @@ def q_crawl_medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      concurrency=min(last_page, default_parallelism(spark)),
                                      record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
     p = MedallionParams(root=scratch_path(spark, "crawl-medallion"), partition_by=["c_mktsegment"],
-                        group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA)
+                        group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA,
+                        rebalance_bronze=True)
     return run_medallion(spark, records.drop("page", "position"), p).gold
 
 

@@ -7,19 +7,16 @@ format whose jar is on the classpath is passed straight through.
 
 from __future__ import annotations
 
-import logging
 import os
 from collections.abc import Callable
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.names import quoted
 from strata.functions.schemas import JSON_TS_OPTIONS
-from strata.session import default_parallelism
-
-log = logging.getLogger(__name__)
 
 # A function applied to the frame right before it is written (after any
 # rebalance), e.g. to attach an Observation.  Placed there, the observed
@@ -28,18 +25,24 @@ log = logging.getLogger(__name__)
 Tap = Callable[[DataFrame], DataFrame]
 
 
-def _norm(path: str) -> str:
-    u = urlparse(path)
-    if u.scheme in ("", "file"):
-        return os.path.abspath(u.path or path).rstrip("/")
-    return f"{u.scheme}://{u.netloc}{u.path}".rstrip("/")
+def _qualified(spark: SparkSession, path: str, encoded: bool = False) -> str:
+    """Full path with scheme and authority, as the session's file systems resolve it.
+    ``encoded``: the path is a URL-encoded URI, as Spark lists input files."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if encoded else jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return p.getFileSystem(conf).makeQualified(p).toString().rstrip("/")
 
 
-def assert_not_reading(df: DataFrame, path: str, files: list[str] | None = None) -> None:
-    """Refuse an overwrite of a folder that ``df`` itself reads (data loss, 2.8 #12)."""
-    target = _norm(path)
-    for f in (df.inputFiles() if files is None else files):
-        src = _norm(f)
+def assert_not_reading(df: DataFrame, path: str) -> None:
+    """Refuse an overwrite of a folder that ``df`` itself reads (data loss, 2.8 #12).
+
+    Input files are compared by their folders, each of which is resolved once.
+    """
+    spark = df.sparkSession
+    target = _qualified(spark, path)
+    for folder in {f.rsplit("/", 1)[0] + "/" for f in df.inputFiles()}:
+        src = _qualified(spark, folder, encoded=True)
         if src == target or src.startswith(target + "/"):
             raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
 
@@ -64,34 +67,22 @@ def rebalance_evenly(df: DataFrame) -> DataFrame:
     boundaries.  Map-typed columns cannot be hashed and are left out; with
     none left, round-robin it is.
     """
-    keys = [f"`{f.name}`" for f in df.schema.fields if _hashable(f.dataType)]
+    keys = [quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]
     return df.hint("rebalance", *keys) if keys else df.hint("rebalance")
 
 
-def under_partitioned(df: DataFrame, files: list[str] | None = None) -> bool:
-    """True when ``df`` reads fewer files than the cluster runs tasks at once
-    (one large file, a crawl with no files): its scan cannot spread the work."""
-    files = df.inputFiles() if files is None else files
-    return len(files) < default_parallelism(df.sparkSession)
-
-
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                write_nulls: bool = True, compression: str | None = None,
-               rebalance: bool | None = None, observe: Tap | None = None) -> None:
+               rebalance: bool = False, observe: Tap | None = None) -> None:
     """K1: JSON lines, lossless for timestamps (microseconds) and all-null columns.
 
     ``rebalance`` adds one adaptive exchange (``rebalance_evenly``) before the write
     (an "optimized write"): output files come out near the advisory partition
-    size and an under-partitioned input is serialised by many tasks instead of
-    one.  ``None`` decides per input: only an under-partitioned input pays for
-    the shuffle; a large input already spread over many files is written as it
-    is read.
+    size and an input of few partitions (a crawl) is serialised by many tasks.
+    By default the rows are written as they are read.
     """
-    files = df.inputFiles() if (mode == "overwrite" or rebalance is None) else None
     if mode == "overwrite":
-        assert_not_reading(df, path, files)
-    if rebalance is None:
-        rebalance = under_partitioned(df, files)
+        assert_not_reading(df, path)
     if rebalance:
         df = rebalance_evenly(df)
     if observe:
@@ -120,7 +111,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     if mode == "overwrite":
         assert_not_reading(df, path)
     if partition_by and rebalance:
-        df = df.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *[quoted(c) for c in partition_by])
     if observe:
         df = observe(df)
     w = df.write.format(fmt).mode(mode)
@@ -166,29 +157,23 @@ def name_single_part(path: str, object_name: str) -> str | None:
     return target
 
 
-def publish_single_object(df: DataFrame, path: str, fmt: str = "json",
-                          max_rows: int = 1_000_000, mode: str = "overwrite",
-                          object_name: str | None = None) -> bool:
-    """K7: write a small result as one object (one part file).
+def publish_single_object(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite",
+                          object_name: str | None = None) -> None:
+    """K7: write a result as one object (one part file).
 
-    Funnelling rows into one task is only safe for a bounded result, so the
-    size is probed first with ``limit(max_rows + 1)`` (the probe stops early on
-    a large input); above ``max_rows`` the result is written as a normal
-    multi-file dataset instead.  ``object_name`` renames the single part file,
-    so consumers find the object at ``<path>/<object_name>``.  Returns True
-    when one object was written.
+    One task writes all rows, so this is for aggregates such as gold (one row
+    per group); what grows with the data goes through ``write_table``.
+    ``object_name`` renames the part file, so consumers find the object at
+    ``<path>/<object_name>``.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    if not small:
-        log.warning("publish_single_object: more than %d rows; writing a multi-file dataset",
-                    max_rows)
-    w = (df.coalesce(1) if small else df).write.format(fmt).mode(mode)
+    if mode == "overwrite":
+        assert_not_reading(df, path)
+    w = df.coalesce(1).write.format(fmt).mode(mode)
     if fmt in ("json", "csv"):
         w = w.options(**JSON_TS_OPTIONS)
     w.save(path)
-    if small and object_name:
+    if object_name:
         name_single_part(path, object_name)
-    return small
 
 
 def append_stamped(df: DataFrame, path: str, fmt: str = "parquet",

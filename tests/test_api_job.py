@@ -36,7 +36,8 @@ def pages(tmp_path):
 
 def test_api_job_end_to_end(spark, tmp_path, pages):
     root = str(tmp_path / "lake")
-    res = run_api_medallion(spark, pages, root, first=7, last=1, pause_seconds=0, concurrency=3)
+    res = run_api_medallion(spark, pages, root, first=7, last=1, pause_seconds=0, concurrency=3,
+                            allow_incomplete=True)
     # 6 records + page 2's error object (one all-null record); record 4 has a
     # null address_2 and the error object is all null -> 5 complete rows
     assert res.counts["bronze"] == 5
@@ -54,7 +55,7 @@ def test_crawl_records_in_crawl_order(spark, tmp_path, pages):
     from strata.plans.api_job import crawl_order
 
     res = run_api_medallion(spark, pages, str(tmp_path / "lake"), first=7, last=1,
-                            pause_seconds=0, concurrency=3)
+                            pause_seconds=0, concurrency=3, allow_incomplete=True)
     head = res.records.orderBy(*crawl_order(7, 1)).limit(4).collect()
     assert [(r.page, r.position, r.id) for r in head] == [
         (6, 0, "b1"), (6, 1, "b2"), (6, 2, "b3"), (5, 0, "b4")]
@@ -62,13 +63,14 @@ def test_crawl_records_in_crawl_order(spark, tmp_path, pages):
 
 def test_api_job_inline_sentinels_dropped(spark, tmp_path, pages):
     res = run_api_medallion(spark, pages, str(tmp_path / "lake"), first=7, last=1,
-                            pause_seconds=0, failed_pages="inline")
+                            pause_seconds=0, failed_pages="inline", allow_incomplete=True)
     assert res.counts["bronze"] == 5          # sentinel rows are incomplete -> dropped (P3)
 
 
 def test_api_job_keeps_sentinels_without_drop(spark, tmp_path, pages):
     res = run_api_medallion(spark, pages, str(tmp_path / "lake"), first=7, last=1,
-                            pause_seconds=0, failed_pages="inline", drop_incomplete_at=None)
+                            pause_seconds=0, failed_pages="inline", drop_incomplete_at=None,
+                            allow_incomplete=True)
     assert res.counts["bronze"] == 6 + 1 + 3  # 6 records, the error object, 3 sentinels
     null_group = [r["count"] for r in res.gold.collect() if r.state_province is None]
     assert null_group == [4]
@@ -79,7 +81,7 @@ def test_cli_runs_job_on_active_session(spark, tmp_path, pages):
 
     counts = main(["medallion", "--url", pages, "--root", str(tmp_path / "lake"), "--first", "7", "--last", "1",
                    "--pause-seconds", "0", "--concurrency", "2", "--preview", "0",
-                   "--preview-crawl", "3"])
+                   "--preview-crawl", "3", "--allow-incomplete"])
     assert counts == {"bronze": 5, "silver": 5, "gold": 4}
     assert spark.range(1).count() == 1           # the caller's session is left running
 
@@ -95,22 +97,34 @@ def test_cli_distribution_check(spark, tmp_path):
     assert sum(c for _, c in got) == 1000
 
 
-def test_failed_crawl_leaves_the_layers(spark, tmp_path, pages):
-    from strata.plans.api_job import run_api_medallion
+def _bytes(root):
+    return {os.path.join(d, n): open(os.path.join(d, n), "rb").read()
+            for layer in ("bronze", "silver", "gold")
+            for d, _, names in os.walk(os.path.join(root, layer)) for n in names}
+
 
+def test_failed_crawl_leaves_the_layers(spark, tmp_path, pages):
     root = str(tmp_path / "lake")
-    run_api_medallion(spark, pages, root, first=7, last=1, pause_seconds=0)
-    before = spark.read.json(f"{root}/bronze").count()
-    with pytest.raises(RuntimeError, match="every page"):
-        run_api_medallion(spark, str(tmp_path / "none" / "{page}.json"), root, first=3, last=1, pause_seconds=0)
-    assert before > 0 and spark.read.json(f"{root}/bronze").count() == before
+    run_api_medallion(spark, pages, root, first=6, last=3, pause_seconds=0)   # page 3 is empty: no failure
+    before = _bytes(root)
+    assert before
+    lost = str(tmp_path / "none" / "{page}.json")
+    for url, first, last in ((lost, 3, 1), (pages, 7, 4), (pages, 6, 1), ("nosuch://x/{page}", 2, 1)):
+        with pytest.raises(RuntimeError, match="pages of the crawl failed"):
+            run_api_medallion(spark, url, root, first=first, last=last, pause_seconds=0)
+        assert _bytes(root) == before
+    with pytest.raises(RuntimeError):                     # nothing is left to go on with
+        run_api_medallion(spark, lost, root, first=3, last=1, pause_seconds=0, allow_incomplete=True)
+    assert _bytes(root) == before
+    audit = {r.id for r in spark.read.json(os.path.join(root, "failed_pages")).collect()}
+    assert any(u.endswith("page=7") for u in audit) and "nosuch://x/1" in audit
 
 
 def test_api_job_rescues_unknown_keys(spark, tmp_path, pages):
     import json as _json
 
     res = run_api_medallion(spark, pages, str(tmp_path / "lake"), first=7, last=1,
-                            pause_seconds=0, rescue_col="_rescued")
+                            pause_seconds=0, rescue_col="_rescued", allow_incomplete=True)
     assert res.counts["bronze"] == 5                      # unknown keys do not empty the table
     b6 = res.silver.filter("id = 'b6'").first()
     assert set(_json.loads(b6._rescued)) == {"geo", "tags"}

@@ -14,13 +14,22 @@ def _parts(path):
     return [f for f in os.listdir(path) if f.startswith("part-")]
 
 
-def test_single_object_and_fallback(spark, tmp_path):
+def test_single_object_is_always_one_part(spark, tmp_path):
     df = spark.range(0, 100, 1, 8)
-    assert publish_single_object(df, str(tmp_path / "one"), fmt="json") is True
+    publish_single_object(df, str(tmp_path / "one"), fmt="json")
     assert len(_parts(str(tmp_path / "one"))) == 1
-    assert publish_single_object(df, str(tmp_path / "many"), fmt="json", max_rows=10) is False
-    assert len(_parts(str(tmp_path / "many"))) > 1
-    assert spark.read.json(str(tmp_path / "many")).count() == 100
+    assert spark.read.json(str(tmp_path / "one")).count() == 100
+
+
+def test_single_object_refuses_its_own_input(spark, tmp_path):
+    path = str(tmp_path / "in put")                        # a space, URL-encoded in Spark's file list
+    spark.range(0, 100, 1, 4).write.parquet(path)
+    with pytest.raises(ValueError, match="reads from it"):
+        publish_single_object(spark.read.parquet(path), path, fmt="parquet")
+    with pytest.raises(ValueError, match="reads from it"):
+        publish_single_object(spark.read.parquet(path), "file://" + path,
+                              fmt="parquet")
+    assert spark.read.parquet(path).count() == 100
 
 
 def test_append_stamped_and_create_if_absent(spark, tmp_path):
@@ -120,7 +129,7 @@ def test_single_object_named(spark, tmp_path):
 
     df = spark.range(5).selectExpr("id", "id * 2 AS v")
     path = str(tmp_path / "gold")
-    assert publish_single_object(df, path, object_name="gold.json") is True
+    publish_single_object(df, path, object_name="gold.json")
     assert os.path.isfile(os.path.join(path, "gold.json")) and not _parts(path)
     lines = open(os.path.join(path, "gold.json")).read().splitlines()
     assert sorted(json.loads(x)["v"] for x in lines) == [0, 2, 4, 6, 8]

@@ -43,18 +43,6 @@ def test_hot_group_counted_map_side(spark):
     assert g.first()["k"] == "HOT" and g.first()["count"] == 30_000
 
 
-def test_bronze_rebalance_only_for_under_partitioned_input(spark, tmp_path):
-    from strata.sinks.files import under_partitioned
-
-    one = str(tmp_path / "one")
-    spark.range(100).coalesce(1).write.parquet(one)
-    many = str(tmp_path / "many")
-    spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2).write.parquet(many)
-    assert under_partitioned(spark.read.parquet(one))
-    assert not under_partitioned(spark.read.parquet(many))
-    assert under_partitioned(spark.range(10))            # no files: generated / crawled input
-
-
 def test_rebalance_evenly_keys_and_plan(spark):
     from strata.sinks.files import rebalance_evenly
 
