@@ -45,6 +45,15 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--gold-mode", default="overwrite")
     ap.add_argument("--allow-incomplete", action="store_true",
                     help="go on although some pages could not be fetched or parsed")
+    schema = ap.add_mutually_exclusive_group()
+    schema.add_argument("--record-schema", help="record schema as DDL (default: the brewery record)")
+    schema.add_argument("--infer-schema", action="store_true", help="infer the record schema from all pages")
+    ap.add_argument("--id-field", default="id", help="field that holds the URL in a failed page's row")
+    ap.add_argument("--partition-by", nargs="+", help="silver partition columns")
+    ap.add_argument("--group-by", nargs="+", help="gold grouping columns")
+    ap.add_argument("--cast", nargs="*", metavar="COLUMN:TYPE", help="silver types of text columns")
+    ap.add_argument("--serving-layer", choices=["silver", "gold"], default="silver")
+    ap.add_argument("--jdbc-partitions", type=int, default=8, help="concurrent JDBC connections")
     ap.add_argument("--rescue-col", help="keep unknown record keys as JSON text in this column")
     ap.add_argument("--endpoint", help="S3-compatible endpoint for s3a:// roots")
     ap.add_argument("--jdbc-url")
@@ -65,9 +74,10 @@ def _partitions(spark, a) -> list[tuple[int, int]]:
 
     df = partition_counts(spark.read.format(a.format).load(a.table) if a.table
                           else range_frame(spark, 0, a.rows, 1, a.partitions))
-    df = df.orderBy("partition")
-    df.show(a.partitions, truncate=False)
-    return [tuple(r) for r in df.collect()]
+    counts = [tuple(r) for r in df.orderBy("partition").collect()]      # one row per task
+    for partition, n in counts:
+        print(f"{partition}\t{n}")
+    return counts
 
 
 def main(argv: list[str] | None = None):
@@ -94,12 +104,18 @@ def main(argv: list[str] | None = None):
         if a.jdbc_url and a.jdbc_table:
             jdbc = {"url": a.jdbc_url, "table": a.jdbc_table, "driver": a.jdbc_driver,
                     "user_env": a.jdbc_user_env, "password_env": a.jdbc_password_env,
-                    "truncate": a.jdbc_truncate}
+                    "truncate": a.jdbc_truncate, "num_partitions": a.jdbc_partitions}
+        record = {}
+        if a.record_schema or a.infer_schema:
+            record["record_schema"] = a.record_schema
+        if a.cast is not None:
+            record["casts"] = dict(c.rsplit(":", 1) for c in a.cast)
         res = run_api_medallion(
             spark, a.url, a.root, first=a.first, last=a.last, per_page=a.per_page,
             pause_seconds=a.pause_seconds, concurrency=a.concurrency,
             failed_pages=a.failed_pages, table_format=a.format, jdbc=jdbc,
-            rescue_col=a.rescue_col, allow_incomplete=a.allow_incomplete,
+            rescue_col=a.rescue_col, allow_incomplete=a.allow_incomplete, id_field=a.id_field,
+            partition_by=a.partition_by, group_by=a.group_by, serving_layer=a.serving_layer, **record,
             drop_incomplete_at=None if a.drop_incomplete_at == "none" else a.drop_incomplete_at,
             silver_mode=a.silver_mode, gold_mode=a.gold_mode)
         print(json.dumps({"counts": res.counts}))

@@ -32,6 +32,18 @@ def flattened_columns(schema: T.StructType, sep: str = ".", prefix: str = "",
     return cols
 
 
+def flat_schema(schema: T.StructType, sep: str = ".") -> T.StructType:
+    """The schema that ``flattened_columns`` gives; every field may be null."""
+    fields: list[T.StructField] = []
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StructType) and field.dataType.fields:
+            fields.extend(T.StructField(f"{field.name}{sep}{f.name}", f.dataType)
+                          for f in flat_schema(field.dataType, sep).fields)
+        else:
+            fields.append(T.StructField(field.name, field.dataType))
+    return T.StructType(fields)
+
+
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Expand all struct columns of ``df``; arrays and maps are left whole."""
     return df.select(*flattened_columns(df.schema, sep))

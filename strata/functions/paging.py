@@ -19,9 +19,3 @@ def on_page(key: str, page: int, per_page: int = 200) -> Column:
     into the scan and skip row groups by their min/max statistics."""
     lo = (int(page) - 1) * int(per_page)
     return (F.col(key) >= F.lit(lo)) & (F.col(key) < F.lit(lo + int(per_page)))
-
-
-def page_range(first: int, last: int) -> list[int]:
-    """Pages in crawl order, inclusive at both ends; descending when first > last."""
-    step = 1 if last >= first else -1
-    return list(range(first, last + step, step))

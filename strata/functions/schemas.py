@@ -12,24 +12,14 @@ BREWERY_FIELDS = [
     "website_url", "state", "street",
 ]
 
-# Coordinates arrive as numbers or numeric strings; they are read as strings and
-# converted with try_cast so a dirty value becomes null instead of failing.
-_DOUBLE_FIELDS = {"longitude", "latitude"}
+# Coordinates arrive as numbers or numeric strings; bronze keeps them as text and
+# silver converts them with try_cast, so a dirty value becomes null there.
+BREWERY_CASTS = {"longitude": "DOUBLE", "latitude": "DOUBLE"}
 
 BREWERY_SCHEMA = T.StructType(
     [T.StructField(f, T.StringType(), True) for f in BREWERY_FIELDS]
 )
 
-# Page envelope produced by the paged source (one row per fetched page).
-PAGE_ENVELOPE_SCHEMA = T.StructType(
-    [
-        T.StructField("page", T.IntegerType(), True),
-        T.StructField("url", T.StringType(), True),
-        T.StructField("status", T.IntegerType(), True),
-        T.StructField("body", T.StringType(), True),
-    ]
-)
-
 # JSON text options that make a bronze round trip lossless: microsecond
 # timestamps both for zoned and zone-less types (the default cuts to millis).
 JSON_TS_OPTIONS = {
@@ -37,16 +27,3 @@ JSON_TS_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "dateFormat": "yyyy-MM-dd",
 }
-
-
-def brewery_typed_columns():
-    """Select list that converts the string-typed record to declared types."""
-    from pyspark.sql import functions as F
-
-    cols = []
-    for f in BREWERY_FIELDS:
-        if f in _DOUBLE_FIELDS:
-            cols.append(F.expr(f"try_cast(`{f}` AS DOUBLE)").alias(f))
-        else:
-            cols.append(F.col(f))
-    return cols

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.flatten import explode_records
+from strata.functions.flatten import explode_records, flat_schema
 
 OK, HTTP_ERROR, UNPARSABLE, EMPTY = "ok", "http_error", "unparsable", "empty"
 
@@ -28,17 +28,13 @@ def outcome_column(record_schema: T.StructType, body: str = "body",
              .otherwise(by_size))
 
 
-def with_outcome(envelopes: DataFrame, record_schema: T.StructType,
-                 body: str = "body", status: str = "status",
-                 outcome_col: str = "outcome") -> DataFrame:
-    return envelopes.withColumn(outcome_col, outcome_column(record_schema, body, status))
-
-
 def sentinel_rows(failed: DataFrame, record_schema: T.StructType,
-                  id_field: str = "id", url_col: str = "url") -> DataFrame:
-    """One row per failed page: ``id_field`` = the request URL, every other field null."""
+                  id_field: str = "id", url_col: str = "url",
+                  sep: str = ".") -> DataFrame:
+    """One row per failed page: ``id_field`` = the request URL, every other field null.
+    The columns are those of flattened records."""
     cols = []
-    for f in record_schema.fields:
+    for f in flat_schema(record_schema, sep).fields:
         if f.name == id_field:
             cols.append(F.col(url_col).cast(f.dataType).alias(f.name))
         else:
@@ -66,4 +62,4 @@ def route_pages(envelopes: DataFrame, record_schema: T.StructType,
     records = explode_records(envelopes.withColumn("body", good_body), "body", record_schema,
                               keep=keep, position=position, sep=sep, rescue_col=rescue_col)
     failed = envelopes.filter(outcome_column(record_schema) != OK)
-    return records, sentinel_rows(failed, record_schema, id_field)
+    return records, sentinel_rows(failed, record_schema, id_field, sep=sep)

@@ -28,17 +28,17 @@ def with_sequence(df: DataFrame, order: list[Column], seq_col: str = "seq",
 
     The range partitions feed a sort and cannot be split by adaptive
     execution, so their number must follow the data: pass ``num_partitions``,
-    or ``rows_per_partition`` to derive it from a row count (one extra,
+    or ``rows_per_partition`` to raise it by a row count (one extra,
     column-free job).  The default, ``spark.sql.shuffle.partitions``, suits
     inputs up to that many times a few million rows.
     """
     spark = df.sparkSession
     if num_partitions:
         n = num_partitions
-    elif rows_per_partition:
-        n = max(1, -(-df.count() // int(rows_per_partition)))
     else:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if rows_per_partition:
+            n = max(n, -(-df.count() // int(rows_per_partition)))
     tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("__mid", F.monotonically_increasing_id()))

@@ -1,35 +1,91 @@
 """The whole job: crawl a paged JSON API into the medallion layers.
 
-crawl (S1, F3) -> materialise the page envelopes once -> route (P4) ->
-flatten (P1) -> typed records -> ``run_medallion`` (F1).  The reference walks
-the pages in a driver loop and concatenates pandas frames; here the pages are
-fetched by Spark tasks, the envelopes are stored once in the shared checkpoint
-folder (so records and failed-page rows never trigger a second fetch, and a
-lost executor does not re-crawl finished pages), and everything after the
-fetch is DataFrame expressions.
+crawl (S1, F3) -> store the page envelopes group by group -> route (P4) ->
+flatten (P1) -> ``run_medallion`` (F1).  Pages are fetched by Spark tasks and
+stored once in the shared checkpoint folder, so records and failed-page rows
+never trigger a second fetch; after the loss of an executor only the pages of
+the group in work are fetched again.  Everything after the fetch is DataFrame
+expressions.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.schemas import BREWERY_SCHEMA, brewery_typed_columns
+from strata.functions.flatten import flat_schema
+from strata.functions.names import quoted
+from strata.functions.schemas import BREWERY_CASTS, BREWERY_SCHEMA
 from strata.operators.routing import HTTP_ERROR, UNPARSABLE, outcome_column, route_pages
 from strata.operators.union import union_by_name
-from strata.plans.lineage import cut_lineage
 from strata.plans.medallion import MedallionParams, MedallionResult, run_medallion
+from strata.session import scratch_path
 from strata.sinks.files import write_json
-from strata.sources.paged_json import read_pages
+from strata.sources.paged_json import SCHEMA, read_pages
+
+#: Pages that a task fetches before they are stored.
+PAGES_PER_TASK = 500
 
 
 def crawl_pages(spark: SparkSession, url: str, first: int, last: int, per_page: int = 200,
-                pause_seconds: float = 0.0, concurrency: int = 1) -> DataFrame:
-    """Fetch pages ``first..last`` once and store their envelopes."""
-    env = read_pages(spark, url, first, last, per_page=per_page, pause_seconds=pause_seconds,
-                     concurrency=concurrency)
-    return cut_lineage(env, "crawl-pages")
+                pause_seconds: float = 0.0, concurrency: int = 1,
+                pages_per_task: int = PAGES_PER_TASK, store: str | None = None) -> DataFrame:
+    """Fetch pages ``first..last`` once and store their envelopes.
+
+    A group of ``concurrency * pages_per_task`` pages is one job with its own
+    output folder.  With a ``store`` that outlives the run, a later call takes
+    up the crawl: groups that are stored there are not fetched again.
+    """
+    root = (store or scratch_path(spark, "crawl-pages")).rstrip("/")
+    step = 1 if last >= first else -1
+    size = max(1, concurrency) * max(1, pages_per_task)
+    stored, folders = _stored_groups(spark, root), []
+    for begin in range(first, last + step, step * size):
+        end = min(begin + size - 1, last) if step > 0 else max(begin - size + 1, last)
+        name = f"pages-{begin}-to-{end}"
+        folders.append(f"{root}/{name}")
+        if name not in stored:
+            (read_pages(spark, url, begin, end, per_page=per_page, pause_seconds=pause_seconds,
+                        concurrency=concurrency)
+             .write.mode("overwrite").parquet(folders[-1]))
+    return spark.read.schema(SCHEMA).parquet(*folders)
+
+
+def _stored_groups(spark: SparkSession, root: str) -> set[str]:
+    """Folders of ``root`` whose write was finished."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(path):
+        return set()
+    folders = [s.getPath() for s in fs.listStatus(path)]
+    return {p.getName() for p in folders
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))}
+
+
+def infer_record_schema(envelopes: DataFrame) -> T.StructType:
+    """The schema of the records of all good pages, by one aggregate in the JVM.
+
+    Fields whose values differ in kind, or that are always null, are strings.
+    """
+    body = F.when(F.col("status") == 200, F.col("body"))
+    elements = F.when(F.json_array_length(body).isNotNull(),
+                      F.from_json(body, T.ArrayType(T.StringType()))).otherwise(F.array(body))
+    records = envelopes.select(F.explode(elements).alias("rec"))
+    found = (records.select(F.try_parse_json("rec").alias("rec")).filter("schema_of_variant(rec) LIKE 'OBJECT<%'")
+             .agg(F.schema_of_variant_agg("rec").alias("s")).first()[0])
+    kinds = {"OBJECT<": "STRUCT<", "VARIANT": "STRING", "VOID": "STRING"}
+    ddl = re.sub(r"`(?:[^`]|``)*`|\b(?:OBJECT<|VARIANT\b|VOID\b)(?!:)",
+                 lambda m: kinds.get(m[0], m[0]), found or "VOID")
+    schema = T.DataType.fromDDL(ddl)
+    if not isinstance(schema, T.StructType):
+        raise RuntimeError("no page of the crawl holds a record; the stored layers are left as they are")
+    return schema
 
 
 def crawl_records(spark: SparkSession, url: str, first: int, last: int, per_page: int = 200,
@@ -46,10 +102,19 @@ def crawl_records(spark: SparkSession, url: str, first: int, last: int, per_page
 
 def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40, last: int = 1,
                       per_page: int = 200, pause_seconds: float = 1.0, concurrency: int = 1,
+                      record_schema: T.StructType | str | None = BREWERY_SCHEMA,
+                      id_field: str = "id", partition_by: list[str] | None = None,
+                      group_by: list[str] | None = None, casts: dict[str, str] | None = None,
                       failed_pages: str = "audit", table_format: str = "parquet",
                       jdbc: dict | None = None, rescue_col: str | None = None,
                       allow_incomplete: bool = False, **params) -> MedallionResult:
-    """Crawl, then bronze / silver (by ``state_province``) / gold (by state and type).
+    """Crawl, then bronze, silver (by ``partition_by``) and gold (by ``group_by``).
+
+    ``record_schema`` is a struct type or its DDL; ``None`` infers it from all
+    pages.  Nested objects become dotted columns, which ``partition_by``,
+    ``group_by`` and ``casts`` (column -> SQL type, applied at silver, where a
+    value that does not fit becomes null) name as such.  The defaults are those
+    of the brewery API.
 
     ``failed_pages``: ``"audit"`` writes sentinel rows to ``<root>/failed_pages``;
     ``"inline"`` unions them into the records (they then drop out at P3 unless
@@ -59,29 +124,49 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
 
     A page that could not be fetched or parsed ends the job before any layer is
     overwritten (the audit names it), unless ``allow_incomplete`` is set; empty
-    pages are no failures.  A crawl of which nothing is left always ends it.
+    pages are no failures.  A crawl of which nothing is left, or whose records
+    have none of the declared fields, always ends it.
     """
     if failed_pages not in ("audit", "inline", "drop"):
         raise ValueError("failed_pages must be 'audit', 'inline' or 'drop'")
+    brewery = record_schema is BREWERY_SCHEMA
+    if partition_by is None or group_by is None:
+        if not brewery:
+            raise ValueError("another record schema needs partition_by and group_by")
+        partition_by = ["state_province"] if partition_by is None else partition_by
+        group_by = ["state_province", "brewery_type"] if group_by is None else group_by
+    casts = (BREWERY_CASTS if brewery else {}) if casts is None else casts
     env = crawl_pages(spark, url, first, last, per_page, pause_seconds, concurrency)
-    crawled, sentinels = route_pages(env, BREWERY_SCHEMA, rescue_col=rescue_col)
-    lost = env.filter(outcome_column(BREWERY_SCHEMA).isin(HTTP_ERROR, UNPARSABLE)).count()
+    any_record = T.StructType([T.StructField(id_field, T.StringType())])
+    lost_pages = env.filter(outcome_column(any_record).isin(HTTP_ERROR, UNPARSABLE)).count()
+    failure = f"{lost_pages} pages of the crawl failed; the stored layers are left as they are"
+    if record_schema is None:
+        if env.filter("status = 200").isEmpty():
+            raise RuntimeError(failure)
+        record_schema = infer_record_schema(env)
+    elif isinstance(record_schema, str):
+        record_schema = T.DataType.fromDDL(record_schema)
+    crawled, sentinels = route_pages(env, record_schema, id_field=id_field, rescue_col=rescue_col)
     if failed_pages == "audit":
         write_json(sentinels.withColumn("logged_at", F.current_timestamp()),
                    f"{root.rstrip('/')}/failed_pages", mode="append")
-    if lost and (not allow_incomplete or crawled.isEmpty()):
-        raise RuntimeError(f"{lost} pages of the crawl failed; the stored layers are left as they are")
+    nothing = crawled.isEmpty()
+    if lost_pages and (not allow_incomplete or nothing):
+        raise RuntimeError(failure)
+    fields = flat_schema(record_schema).fieldNames()
+    known = reduce(or_, [F.col(quoted(c)).isNotNull() for c in fields])
+    if not nothing and crawled.filter(known).isEmpty():
+        raise RuntimeError("no record has any of the declared fields; the stored layers are left as they are")
     records = crawled.drop("page", "position")
     if failed_pages == "inline":
         records = union_by_name([records, sentinels])
-    typed = records.select(*brewery_typed_columns(), *([rescue_col] if rescue_col else []))
     if rescue_col:
-        params.setdefault("drop_subset", BREWERY_SCHEMA.fieldNames())
+        params.setdefault("drop_subset", fields)
     params.setdefault("rebalance_bronze", True)      # a crawl has few partitions
-    p = MedallionParams(root=root, partition_by=["state_province"],
-                        group_by=["state_province", "brewery_type"], schema=typed.schema,
-                        table_format=table_format, jdbc=jdbc, **params)
-    res = run_medallion(spark, typed, p)
+    p = MedallionParams(root=root, partition_by=partition_by, group_by=group_by,
+                        schema=records.schema, casts=casts, table_format=table_format, jdbc=jdbc,
+                        **params)
+    res = run_medallion(spark, records, p)
     res.records = crawled
     return res
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from strata.functions.names import quoted
 from strata.functions.schemas import JSON_TS_OPTIONS
-from strata.operators.aggregates import COUNT, gold_counts, order_by_count
+from strata.operators.aggregates import COUNT, group_count, order_by_count
 from strata.operators.cleansing import drop_incomplete
 from strata.plans.report import RunReport
 from strata.sinks.files import write_json, write_table
@@ -58,6 +58,9 @@ class MedallionParams:
     drop_incomplete_at: str | None = "bronze"
     drop_subset: list[str] | None = None
     schema: T.StructType | None = None
+    # Silver types of columns that bronze holds as text (column -> SQL type); a
+    # value that does not fit becomes null, after incomplete rows were dropped.
+    casts: dict[str, str] = field(default_factory=dict)
     jdbc: dict | None = None
     jdbc_mode: str = "overwrite"
     # Many distinct partition values mean many small silver folders and files.
@@ -69,7 +72,6 @@ class MedallionParams:
     # should get when silver is large).
     serving_layer: str = "silver"
     count_col: str = COUNT
-    extra: dict = field(default_factory=dict)
 
     @property
     def bronze_path(self) -> str:
@@ -110,6 +112,15 @@ def read_gold(spark: SparkSession, p: MedallionParams, schema: T.StructType) ->
     return order_by_count(g, p.group_by, p.count_col)
 
 
+def cast_columns(df: DataFrame, casts: dict[str, str]) -> DataFrame:
+    """The columns of ``casts`` converted to their SQL types, null where a value does not fit."""
+    unknown = set(casts) - set(df.columns)
+    if unknown:
+        raise ValueError(f"casts name no column of the records: {sorted(unknown)}")
+    return df.select(*[F.col(quoted(c)).try_cast(casts[c]).alias(c) if c in casts else F.col(quoted(c))
+                       for c in df.columns])
+
+
 def _check_partition_values(estimate, p: MedallionParams) -> None:
     if estimate is None or not p.max_partition_values or estimate <= p.max_partition_values:
         return
@@ -150,14 +161,17 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     bronze = read_json(spark, p.bronze_path, schema)
     if p.drop_incomplete_at == "silver":
         bronze = drop_incomplete(bronze, subset=p.drop_subset)
+    if p.casts:
+        bronze = cast_columns(bronze, p.casts)
+        schema = bronze.schema
     write_table(bronze, p.silver_path, p.table_format, partition_by=p.partition_by,
                 mode=p.silver_mode, dynamic_overwrite=p.dynamic_silver,
                 rebalance=p.optimize_writes,
                 observe=report.tap("silver", _stored(spark, p.silver_path, p.table_format, schema)))
 
-    # Gold: grouped count over silver, sorted by count.
+    # Gold: grouped count over silver, sorted when it is read (stored order is no promise).
     silver = read_silver(spark, p, schema)
-    gold = gold_counts(silver, p.group_by, p.count_col)
+    gold = group_count(silver, p.group_by, p.count_col)
     gsch = gold_schema(schema, p.group_by, p.count_col)
     write_table(gold, p.gold_path, p.table_format, mode=p.gold_mode,
                 observe=report.tap("gold", _stored(spark, p.gold_path, p.table_format, gsch)))
@@ -179,11 +193,12 @@ def register_layers(spark: SparkSession, p: MedallionParams, schema: T.StructTyp
     """Expose the layers as external catalog tables (metadata only; the
     data stays where the flow wrote it).  Returns the table names."""
     db = f"`{database}`." if database else ""
+    stored = cast_columns(spark.createDataFrame([], schema), p.casts).schema
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     layers = [("bronze", p.bronze_path, "json", schema),
-              ("silver", p.silver_path, p.table_format, schema),
-              ("gold", p.gold_path, p.table_format, gold_schema(schema, p.group_by, p.count_col))]
+              ("silver", p.silver_path, p.table_format, stored),
+              ("gold", p.gold_path, p.table_format, gold_schema(stored, p.group_by, p.count_col))]
     names = []
     for layer, path, fmt, sch in layers:
         name = f"{db}`{prefix}{layer}`"

@@ -101,7 +101,7 @@ def q_crawl_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0-based crawl position of every record (distributed sequence)."""
     c = _t(spark, sf_dir, "customer").select("c_custkey")
     order = [page_of("c_custkey", PER_PAGE).desc(), F.col("c_custkey").asc()]
-    # range partitions sized from the data: ~2M rows per sorted task
+    # the session's shuffle partitions, more where a task would sort over ~2M rows
     return with_sequence(c, order, "seq", rows_per_partition=2_000_000).select("c_custkey", "seq")
 
 
@@ -232,22 +232,25 @@ def q_table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_table_append_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5 + K6 on a file table: create if absent (twice), append nation twice,
-    each row stamped with its write time."""
+    """K5 + K6 on a file table with a bounded string and a column default: create
+    if absent (twice), append nation by the default and by the stamping sink."""
     import uuid
 
     n = _t(spark, sf_dir, "nation")
     path = scratch_path(spark, "append-log")
     name = "strata_log_" + uuid.uuid4().hex[:12]
-    ddl = (f"CREATE TABLE IF NOT EXISTS {name} (n_nationkey INT, n_name STRING, "
-           f"n_regionkey INT, timestamp TIMESTAMP) USING parquet LOCATION '{path}'")
+    kinds = {f.name: f.dataType.simpleString() for f in n.schema.fields}
+    ddl = (f"CREATE TABLE IF NOT EXISTS {name} (n_nationkey {kinds['n_nationkey']}, n_name VARCHAR(255), "
+           f"n_regionkey {kinds['n_regionkey']}, timestamp TIMESTAMP DEFAULT current_timestamp()) "
+           f"USING parquet LOCATION '{path}'")
     spark.sql(ddl)
     spark.sql(ddl)
-    append_stamped(n, path)
-    append_stamped(n, path)
+    cols = ["n_nationkey", "n_name", "n_regionkey"]
+    spark.sql(f"INSERT INTO {name} ({', '.join(cols)}) SELECT {', '.join(cols)} FROM {{n}}", n=n)
     spark.sql(f"DROP TABLE {name}")          # external table: the data stays
+    append_stamped(n.select(cols), path)
     log = spark.read.parquet(path)
-    return log.agg(F.count(F.lit(1)).alias("n"), F.count("timestamp").alias("n_stamped"))
+    return log.groupBy(cols).agg(F.count(F.lit(1)).alias("n"), F.count("timestamp").alias("n_stamped"))
 
 
 # ---- F1 ------------------------------------------------------------------
@@ -282,17 +285,33 @@ def _write_customer_pages(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
 
 def q_crawl_medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + P4 + P1 + F1, the whole job: crawl once, route, flatten, bronze/silver/gold."""
-    from strata.plans.api_job import crawl_records
+    from strata.plans.api_job import run_api_medallion
 
     root, last_page = _write_customer_pages(spark, sf_dir)
-    records, _failed = crawl_records(spark, page_url(root), first=last_page,
-                                     last=1, per_page=PER_PAGE,
-                                     concurrency=min(last_page, default_parallelism(spark)),
-                                     record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
-    p = MedallionParams(root=scratch_path(spark, "crawl-medallion"), partition_by=["c_mktsegment"],
-                        group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA,
-                        rebalance_bronze=True)
-    return run_medallion(spark, records.drop("page", "position"), p).gold
+    return run_api_medallion(spark, page_url(root), scratch_path(spark, "crawl-medallion"),
+                             first=last_page, last=1, per_page=PER_PAGE, pause_seconds=0,
+                             concurrency=min(last_page, default_parallelism(spark)),
+                             record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey",
+                             partition_by=["c_mktsegment"], group_by=["c_mktsegment"],
+                             allow_incomplete=True).gold
+
+
+def q_nested_medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + P3 + F1 on nested records: orders as JSON objects that hold status and
+    priority in a struct, flattened to dotted columns, through bronze, silver
+    (partitioned on a dotted column) and gold (grouped on dotted keys)."""
+    o = _t(spark, sf_dir, "orders")
+    state = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    bodies = o.select(F.to_json(F.struct("o_orderkey", state.alias("state"))).alias("body"))
+    schema = T.StructType([
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("state", T.StructType([T.StructField("status", T.StringType()),
+                                             T.StructField("priority", T.StringType())])),
+    ])
+    records = explode_records(bodies, "body", schema)
+    p = MedallionParams(root=scratch_path(spark, "nested-medallion"), partition_by=["state.status"],
+                        group_by=["state.status", "state.priority"])
+    return run_medallion(spark, records, p).gold.toDF("o_orderstatus", "o_orderpriority", "count")
 
 
 def q_medallion_incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +321,7 @@ def q_medallion_incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _t(spark, sf_dir, "customer")
     p = MedallionParams(root=scratch_path(spark, "incremental"), partition_by=["c_mktsegment"],
                         group_by=GOLD_KEYS, schema=c.schema)
-    src = f"{sf_dir.rstrip('/')}/customer*.parquet"
+    src = f"{sf_dir.rstrip('/')}/{{customer.parquet}}"      # a glob of one name: a file or a folder
     return run_incremental_medallion(spark, src, "parquet", p).gold
 
 
@@ -323,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion_incremental_gold": q_medallion_incremental_gold,
     "medallion_layer_counts": q_medallion_layer_counts,
     "crawl_medallion_gold": q_crawl_medallion_gold,
+    "nested_medallion_gold": q_nested_medallion_gold,
     "gold_null_group": q_gold_null_group,
     "preview_top20": q_preview_top20,
     "preview_crawl_head15": q_preview_crawl_head15,
@@ -359,6 +379,9 @@ ORACLE_SQL: dict[str, str] = {
                                "UNION ALL SELECT 'gold', count(*) FROM "
                                "(SELECT DISTINCT c_nationkey, c_mktsegment FROM customer)"),
     "crawl_medallion_gold": 'SELECT c_mktsegment, count(*) AS "count" FROM customer GROUP BY 1',
+    "nested_medallion_gold": ('SELECT o_orderstatus, o_orderpriority, count(*) AS "count" '
+                              'FROM orders WHERE o_orderstatus IS NOT NULL AND '
+                              'o_orderpriority IS NOT NULL GROUP BY 1, 2'),
     "gold_null_group": ("SELECT c_nationkey, nullif(c_mktsegment, 'FURNITURE') AS c_mktsegment, "
                         'count(*) AS "count" FROM customer GROUP BY 1, 2'),
     "preview_top20": _GOLD_SQL + " ORDER BY 3 DESC, 1, 2 LIMIT 20",
@@ -389,6 +412,7 @@ ORACLE_SQL: dict[str, str] = {
                              "WHERE event_type <> 'error' OR event_id % 2 = 0 GROUP BY 1"),
     "single_object_publish": _GOLD_SQL,
     "table_replace": "SELECT * FROM customer",
-    "table_append_stamped": 'SELECT 2 * count(*) AS n, 2 * count(*) AS n_stamped FROM nation',
+    "table_append_stamped": ("SELECT n_nationkey, n_name, n_regionkey, CAST(2 AS BIGINT) AS n, "
+                             "CAST(2 AS BIGINT) AS n_stamped FROM nation"),
     "partition_counts": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_twice FROM lineitem",
 }

@@ -7,9 +7,7 @@ format whose jar is on the classpath is passed straight through.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,7 +95,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None, mode: str = "errorifexists",
                 dynamic_overwrite: bool = False, rebalance: bool = True,
-                max_records_per_file: int | None = None, observe: Tap | None = None) -> None:
+                observe: Tap | None = None) -> None:
     """K2/K3: write a table, optionally partitioned by columns.
 
     With ``partition_by`` the rows are first rebalanced on those columns
@@ -119,42 +117,26 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         w = w.partitionBy(*partition_by)
     if dynamic_overwrite:
         w = w.option("partitionOverwriteMode", "dynamic")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", int(max_records_per_file))
     if fmt == "json":
         w = w.options(**JSON_TS_OPTIONS)
     w.save(path)
 
 
-def _filesystem(path: str):
-    """(pyarrow file system, path inside it) for a local path or a file-system URI."""
-    from pyarrow import fs as pafs
-
-    u = urlparse(path)
-    if u.scheme in ("", "file"):
-        return pafs.LocalFileSystem(), os.path.abspath(u.path if u.scheme == "file" else path)
-    uri = "s3://" + path[len("s3a://"):] if u.scheme == "s3a" else path
-    return pafs.FileSystem.from_uri(uri)
-
-
-def name_single_part(path: str, object_name: str) -> str | None:
-    """Give the one ``part-*`` file of an output folder a stable name (with its
-    checksum file, if any).  Returns the new path, or None when the folder does
-    not hold exactly one part file."""
-    from pyarrow import fs as pafs
-
-    filesystem, root = _filesystem(path)
-    infos = filesystem.get_file_info(pafs.FileSelector(root))
-    parts = [i.path for i in infos
-             if i.type == pafs.FileType.File and i.base_name.startswith("part-")]
+def name_single_part(spark: SparkSession, path: str, object_name: str) -> str | None:
+    """Give the one ``part-*`` file of an output folder a stable name, through the
+    session's file systems (the store that the writer used).  Returns the new
+    path, or None when the folder does not hold exactly one part file."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    root = Path(path)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    parts = [s.getPath() for s in fs.listStatus(root)
+             if s.isFile() and s.getPath().getName().startswith("part-")]
     if len(parts) != 1:
         return None
-    target = f"{root.rstrip('/')}/{object_name}"
-    filesystem.move(parts[0], target)
-    crc = f"{root.rstrip('/')}/.{parts[0].rsplit('/', 1)[-1]}.crc"
-    if filesystem.get_file_info(crc).type == pafs.FileType.File:
-        filesystem.move(crc, f"{root.rstrip('/')}/.{object_name}.crc")
-    return target
+    target = Path(root, object_name)
+    if not fs.rename(parts[0], target):
+        raise OSError(f"could not rename {parts[0]} to {target}")
+    return target.toString()
 
 
 def publish_single_object(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite",
@@ -173,7 +155,7 @@ def publish_single_object(df: DataFrame, path: str, fmt: str = "json", mode: str
         w = w.options(**JSON_TS_OPTIONS)
     w.save(path)
     if object_name:
-        name_single_part(path, object_name)
+        name_single_part(df.sparkSession, path, object_name)
 
 
 def append_stamped(df: DataFrame, path: str, fmt: str = "parquet",

@@ -30,7 +30,7 @@ def _complex_to_json(df: DataFrame) -> DataFrame:
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  driver: str | None = None, user_env: str | None = None,
                  password_env: str | None = None, batch_size: int = 10_000,
-                 num_partitions: int | None = None, truncate: bool = False,
+                 num_partitions: int = 8, truncate: bool = False,
                  column_types: str | None = None) -> dict[str, str]:
     """Writer options.  ``num_partitions`` caps concurrent connections."""
     if user is None and user_env:
@@ -45,8 +45,7 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
         opts["password"] = password
     if driver:
         opts["driver"] = driver
-    if num_partitions:
-        opts["numPartitions"] = str(num_partitions)
+    opts["numPartitions"] = str(num_partitions)
     if column_types:
         opts["createTableColumnTypes"] = column_types
     return opts

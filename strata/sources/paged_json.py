@@ -30,6 +30,7 @@ installed.
 
 from __future__ import annotations
 
+import http.client
 import os
 import time
 import urllib.error
@@ -42,8 +43,10 @@ SCHEMA = "page INT, url STRING, status INT, body STRING"
 
 
 class PageGroup(InputPartition):
-    def __init__(self, pages: list[int]):
-        self.pages = pages
+    """``count`` pages from ``start`` in steps of ``step`` (1 or -1)."""
+
+    def __init__(self, start: int, step: int, count: int):
+        self.start, self.step, self.count = start, step, count
 
 
 def _is_data_file(name: str) -> bool:
@@ -51,6 +54,15 @@ def _is_data_file(name: str) -> bool:
     return not base.startswith((".", "_")) and not base.endswith(".crc")
 
 
+def _text(raw: bytes, strip: bool = False) -> str | None:
+    """The body as text, or None (an unparsable page) when it is not UTF-8."""
+    try:
+        text = raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    return text.rstrip("\n") if strip else text
+
+
 def _read_local(path: str) -> tuple[int | None, str | None]:
     if os.path.isdir(path):
         files = sorted(os.path.join(path, n) for n in os.listdir(path) if _is_data_file(n))
@@ -59,8 +71,8 @@ def _read_local(path: str) -> tuple[int | None, str | None]:
         path = files[0]
     if not os.path.isfile(path):
         return 404, None
-    with open(path, encoding="utf-8", errors="replace") as fh:
-        return 200, fh.read().rstrip("\n")
+    with open(path, "rb") as fh:
+        return 200, _text(fh.read(), strip=True)
 
 
 def _read_fs(url: str) -> tuple[int | None, str | None]:
@@ -81,8 +93,8 @@ def _read_fs(url: str) -> tuple[int | None, str | None]:
         elif info.type != pafs.FileType.File:
             return 404, None
         with filesystem.open_input_stream(path) as fh:
-            return 200, fh.read().decode("utf-8", errors="replace").rstrip("\n")
-    except Exception:
+            return 200, _text(fh.read(), strip=True)
+    except (OSError, ValueError, NotImplementedError):      # pyarrow's errors are among these
         return None, None
 
 
@@ -93,11 +105,10 @@ def fetch(url: str, timeout: float = 30.0) -> tuple[int | None, str | None]:
         req = urllib.request.Request(url, headers={"Accept": "application/json"})
         try:
             with urllib.request.urlopen(req, timeout=timeout) as resp:
-                return resp.status, resp.read().decode("utf-8", errors="replace")
+                return resp.status, _text(resp.read())
         except urllib.error.HTTPError as e:
-            body = e.read().decode("utf-8", errors="replace") if e.fp else None
-            return e.code, body
-        except (urllib.error.URLError, TimeoutError, OSError):
+            return e.code, None
+        except (urllib.error.URLError, http.client.HTTPException, TimeoutError, OSError):
             return None, None
     if u.scheme in ("", "file"):
         return _read_local(u.path if u.scheme == "file" else url)
@@ -134,15 +145,11 @@ def fetch_with_retries(url: str, timeout: float = 30.0, retries: int = 2,
     return status, body
 
 
-def _groups(pages: list[int], k: int) -> list[list[int]]:
-    k = max(1, min(k, len(pages)))
-    size, extra = divmod(len(pages), k)
-    out, i = [], 0
-    for g in range(k):
-        n = size + (1 if g < extra else 0)
-        out.append(pages[i:i + n])
-        i += n
-    return out
+def _groups(n: int, k: int) -> list[tuple[int, int]]:
+    """(offset, length) of ``n`` pages dealt to at most ``k`` groups of consecutive pages."""
+    k = max(1, min(k, n))
+    edges = [n * g // k for g in range(k + 1)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
 class PagedJsonReader(DataSourceReader):
@@ -159,13 +166,12 @@ class PagedJsonReader(DataSourceReader):
 
     def partitions(self):
         step = 1 if self.last >= self.first else -1
-        pages = list(range(self.first, self.last + step, step))
-        if not pages:
-            return [PageGroup([])]
-        return [PageGroup(g) for g in _groups(pages, self.concurrency)]
+        return [PageGroup(self.first + step * at, step, n)
+                for at, n in _groups(abs(self.last - self.first) + 1, self.concurrency)]
 
     def read(self, partition):
-        for page in partition.pages:
+        for i in range(partition.count):
+            page = partition.start + partition.step * i
             url = page_request_url(self.url, page, self.per_page)
             status, body = fetch_with_retries(url, self.timeout, self.retries, self.backoff)
             yield (page, url, status, body)

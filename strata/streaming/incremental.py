@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 
 from strata.functions.names import quoted
 from strata.functions.schemas import JSON_TS_OPTIONS
-from strata.operators.aggregates import group_count, order_by_count
+from strata.operators.aggregates import group_count
 from strata.operators.cleansing import drop_incomplete
-from strata.plans.medallion import MedallionParams, read_gold
+from strata.plans.medallion import MedallionParams, cast_columns, read_gold
 from strata.session import scratch_path
 from strata.sinks.files import write_table
 
@@ -89,6 +89,9 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
     silver_in = (spark.readStream.schema(schema).options(**JSON_TS_OPTIONS).json(p.bronze_path))
     if p.drop_incomplete_at == "silver":
         silver_in = drop_incomplete(silver_in, subset=p.drop_subset)
+    if p.casts:
+        silver_in = cast_columns(silver_in, p.casts)
+        schema = silver_in.schema
     qs = (_counted(silver_in).writeStream.format(p.table_format).partitionBy(*p.partition_by)
           .option("checkpointLocation", f"{ck}/silver")
           .trigger(availableNow=True).start(p.silver_path))
@@ -99,8 +102,7 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
     keys = p.group_by
 
     def publish(batch: DataFrame, _batch_id: int) -> None:
-        write_table(order_by_count(batch, keys, p.count_col), p.gold_path, p.table_format,
-                    mode="overwrite")
+        write_table(batch, p.gold_path, p.table_format, mode="overwrite")
 
     counts = group_count(spark.readStream.schema(schema).format(p.table_format).load(p.silver_path),
                          keys, p.count_col)

@@ -129,3 +129,72 @@ def test_api_job_rescues_unknown_keys(spark, tmp_path, pages):
     b6 = res.silver.filter("id = 'b6'").first()
     assert set(_json.loads(b6._rescued)) == {"geo", "tags"}
     assert res.silver.filter("_rescued IS NULL").count() == 4
+
+
+def _pages(tmp_path, bodies):
+    for n, body in bodies.items():
+        d = tmp_path / "own" / f"page={n}"
+        d.mkdir(parents=True, exist_ok=True)
+        (d / "part-00000.txt").write_text(json.dumps(body) + "\n")
+    return "file://" + str(tmp_path / "own") + "/page={page}"
+
+
+def test_dirty_coordinate_survives_to_bronze(spark, tmp_path):
+    url = _pages(tmp_path, {1: [_rec(1), _rec(2, longitude="n/a")]})
+    root = str(tmp_path / "lake")
+    res = run_api_medallion(spark, url, root, first=1, last=1, pause_seconds=0)
+    assert res.counts == {"bronze": 2, "silver": 2, "gold": 1}
+    assert {r.longitude for r in spark.read.json(root + "/bronze").collect()} == {"-1.5", "n/a"}
+    assert {r.longitude for r in res.silver.collect()} == {-1.5, None}
+
+
+NESTED = {2: [{"key": 1, "geo": {"state": "a", "lat": "1.5"}}, {"key": 2, "geo": {"state": "b", "lat": "x"}}],
+          1: {"key": 3, "geo": {"state": "a", "lat": "2"}}}
+
+
+@pytest.mark.parametrize("schema", [None, "key BIGINT, geo STRUCT<state: STRING, lat: STRING>"])
+def test_any_record_schema(spark, tmp_path, schema):
+    url = _pages(tmp_path, NESTED)
+    res = run_api_medallion(spark, url, str(tmp_path / "lake"), first=2, last=1, pause_seconds=0,
+                            record_schema=schema, id_field="key", partition_by=["geo.state"],
+                            group_by=["geo.state"], casts={"geo.lat": "DOUBLE"})
+    assert {tuple(r) for r in res.gold.collect()} == {("a", 2), ("b", 1)}
+    assert {tuple(r) for r in res.silver.select("key", "`geo.state`", "`geo.lat`").collect()} == {
+        (1, "a", 1.5), (2, "b", None), (3, "a", 2.0)}
+
+
+def test_inline_sentinels_of_nested_records(spark, tmp_path):
+    url = _pages(tmp_path, NESTED)
+    res = run_api_medallion(spark, url, str(tmp_path / "lake"), first=3, last=1, pause_seconds=0,
+                            record_schema="key STRING, geo STRUCT<state: STRING, lat: STRING>", id_field="key",
+                            partition_by=["geo.state"], group_by=["geo.state"], failed_pages="inline",
+                            allow_incomplete=True)
+    assert sorted(res.silver.columns) == ["geo.lat", "geo.state", "key"]
+    assert res.counts["bronze"] == 3
+
+
+def test_records_without_a_declared_field_stop_the_job(spark, tmp_path):
+    url = _pages(tmp_path, {1: [{"other": i} for i in range(50)]})
+    root = str(tmp_path / "lake")
+    with pytest.raises(RuntimeError, match="declared fields"):
+        run_api_medallion(spark, url, root, first=1, last=1, pause_seconds=0)
+    assert not os.path.exists(root + "/bronze")
+
+
+def test_stored_page_groups_are_not_fetched_again(spark, tmp_path):
+    from strata.plans.api_job import crawl_pages
+
+    url, store = _pages(tmp_path, {n: [{"id": "old"}] for n in range(6, 0, -1)}), str(tmp_path / "store")
+    crawl_pages(spark, url, 6, 4, pages_per_task=3, store=store)
+    _pages(tmp_path, {n: [{"id": "new"}] for n in range(6, 0, -1)})
+    env = crawl_pages(spark, url, 6, 1, pages_per_task=3, store=store)
+    assert {r.page: "old" in r.body for r in env.collect()} == {
+        6: True, 5: True, 4: True, 3: False, 2: False, 1: False}
+
+
+def test_text_that_is_not_utf8_is_a_failed_page(spark, tmp_path):
+    from strata.sources.paged_json import fetch
+
+    path = tmp_path / "page.json"
+    path.write_bytes(b'["\xff"]')
+    assert fetch(f"file://{path}") == (200, None)

@@ -33,10 +33,9 @@ def test_fetch_file_transport(tmp_path):
 
 
 def test_groups_cover_pages_in_order():
-    pages = list(range(40, 0, -1))
-    gs = _groups(pages, 6)
-    assert len(gs) == 6 and [p for g in gs for p in g] == pages
-    assert _groups([5], 8) == [[5]]
+    gs = _groups(40, 6)
+    assert len(gs) == 6 and [at + i for at, n in gs for i in range(n)] == list(range(40))
+    assert _groups(1, 8) == [(0, 1)]
 
 
 def test_crawl_routes_and_orders(spark, tmp_path):

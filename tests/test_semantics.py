@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-from strata.functions.schemas import BREWERY_SCHEMA, PAGE_ENVELOPE_SCHEMA
+from strata.functions.schemas import BREWERY_SCHEMA
 from strata.operators.aggregates import gold_counts
 from strata.operators.cleansing import drop_incomplete
 from strata.operators.routing import route_pages
@@ -49,7 +48,7 @@ def test_error_object_routed_to_sentinel(spark):
         (4, "u4", 200, "not json"),
         (5, "u5", None, None),
         (6, "u6", 200, '{"id": "c", "name": "C"}'),
-    ], PAGE_ENVELOPE_SCHEMA)
+    ], "page INT, url STRING, status INT, body STRING")
     records, sentinels = route_pages(env, schema)
     assert sorted((r.page, r.position, r.id) for r in records.collect()) == [
         (1, 0, "a"), (1, 1, "b"), (6, 0, "c")]
@@ -183,25 +182,30 @@ def test_jdbc_arrays_as_json(spark):
     assert _complex_to_json(df).dtypes == [("id", "int"), ("v", "string")]
     os.environ["STRATA_TEST_PW"] = "s3cret"
     o = jdbc_options("jdbc:x://h/db", "t", user="u", password_env="STRATA_TEST_PW",
-                     truncate=True, num_partitions=4, column_types="valor VARCHAR(255)")
+                     truncate=True, num_partitions=4, column_types="note VARCHAR(255)")
     assert o["password"] == "s3cret" and o["truncate"] == "true" and o["numPartitions"] == "4"
-    assert o["createTableColumnTypes"] == "valor VARCHAR(255)"
+    assert o["createTableColumnTypes"] == "note VARCHAR(255)"
 
 
 # 18: the page range is an option; crawl order walks down.
 def test_page_range():
-    from strata.functions.paging import page_range
+    from strata.sources.paged_json import PagedJsonReader
+
+    def pages(first, last):
+        groups = PagedJsonReader({"url": "u", "first": first, "last": last, "concurrency": 2}).partitions()
+        return [g.start + g.step * i for g in groups for i in range(g.count)]
 
-    assert page_range(40, 37) == [40, 39, 38, 37]
-    assert page_range(46, 46) == [46]
-    assert page_range(1, 3) == [1, 2, 3]
+    assert pages(40, 37) == [40, 39, 38, 37]
+    assert pages(46, 46) == [46]
+    assert pages(1, 3) == [1, 2, 3]
 
 
 def test_coordinates_try_cast(spark):
-    from strata.functions.schemas import brewery_typed_columns
+    from strata.functions.schemas import BREWERY_CASTS
+    from strata.plans.medallion import cast_columns
 
     df = _brew(spark, [_rec(1, longitude="-122.5", latitude="abc")])
-    r = df.select(*brewery_typed_columns()).collect()[0]
+    r = cast_columns(df, BREWERY_CASTS).collect()[0]
     assert r.longitude == -122.5 and r.latitude is None
 
 

@@ -34,16 +34,16 @@ def test_single_object_refuses_its_own_input(spark, tmp_path):
 
 def test_append_stamped_and_create_if_absent(spark, tmp_path):
     path = str(tmp_path / "log")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS dados_log (valor STRING, timestamp TIMESTAMP) "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS write_log (note STRING, timestamp TIMESTAMP) "
               f"USING parquet LOCATION '{path}'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS dados_log (valor STRING, timestamp TIMESTAMP) "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS write_log (note STRING, timestamp TIMESTAMP) "
               f"USING parquet LOCATION '{path}'")
-    row = spark.createDataFrame([("inserted",)], "valor string")
+    row = spark.createDataFrame([("inserted",)], "note string")
     append_stamped(row, path)
     append_stamped(row, path)
-    got = spark.table("dados_log").collect()
+    got = spark.table("write_log").collect()
     assert len(got) == 2 and all(r.timestamp is not None for r in got)
-    spark.sql("DROP TABLE dados_log")
+    spark.sql("DROP TABLE write_log")
 
 
 def test_preview_top_n(spark):
