@@ -150,12 +150,13 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
     if failed_pages == "audit":
         write_json(sentinels.withColumn("logged_at", F.current_timestamp()),
                    f"{root.rstrip('/')}/failed_pages", mode="append")
-    nothing = crawled.isEmpty()
-    if lost_pages and (not allow_incomplete or nothing):
-        raise RuntimeError(failure)
     fields = flat_schema(record_schema).fieldNames()
     known = reduce(or_, [F.col(quoted(c)).isNotNull() for c in fields])
-    if not nothing and crawled.filter(known).isEmpty():
+    unknown = crawled.filter(known).isEmpty()
+    nothing = unknown and crawled.isEmpty()
+    if lost_pages and (not allow_incomplete or nothing):
+        raise RuntimeError(failure)
+    if unknown and not nothing:
         raise RuntimeError("no record has any of the declared fields; the stored layers are left as they are")
     records = crawled.drop("page", "position")
     if failed_pages == "inline":
