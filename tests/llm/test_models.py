@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from strata.llm import toxicity
 from strata.llm.blob_ledger import BlobLedger, find_spans, joined_spans
 from strata.llm.bpe import Bpe, encode_documents
 from strata.llm.folds import held_out, may_learn
@@ -133,6 +134,24 @@ def test_toxicity_query(spark):
     assert ((got.score >= 0.7) == (got.predicted == 1)).all()
 
 
+def test_toxicity_tables_have_no_bound(spark, monkeypatch):
+    """More frequent expressions than the tasks get a copy of: scores stay the same."""
+    r = random.Random(7)
+    bad = [f"bad{i}" for i in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(["a fine day"] + [r.choice(bad) if i % 2 else "sun" for _ in range(6)]))
+                                  for i in range(1200)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+
+    def scores(most):
+        for name in ("HOT", "PAIRS", "WORDS"):
+            monkeypatch.setattr(toxicity, name, most, raising=False)
+        return {x.doc_id: x.score for x in score_toxicity(docs, fit_toxicity(docs, labels)).collect()}
+
+    few = scores(3)
+    assert few == scores(1 << 17)
+    assert all((s >= 0.7) == (i % 2 == 1) for i, s in few.items())
+
+
 def test_secret_rules():
     assert find_spans("a token: secret=abc123 PASSWORD = 'hunter22' x") == [("assign", 2, 22), ("assign", 23, 43)]
     assert find_spans("secret: token : abcdefgh") == []          # a short match is used up, then dropped
