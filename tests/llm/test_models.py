@@ -152,6 +152,21 @@ def test_toxicity_tables_have_no_bound(spark, monkeypatch):
     assert all((s >= 0.7) == (i % 2 == 1) for i, s in few.items())
 
 
+def test_toxicity_rare_expressions_held_out(spark):
+    """Toxic words that few training texts hold are found in held-out texts, ordinary ones pass."""
+    r = random.Random(9)
+    plain, bad = [f"word{i}" for i in range(40)], [f"bad{i}" for i in range(100)]
+    docs = spark.createDataFrame([(i, " ".join([r.choice(plain) for _ in range(20)]
+                                               + [r.choice(bad) for _ in range(4 * (i % 8 == 0))]))
+                                  for i in range(3200)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 8 == 0).cast("int").alias("toxic"))
+    got = (score_toxicity(docs, fit_toxicity(docs, labels)).filter(held_out())
+           .groupBy((F.col("doc_id") % 8 == 0).alias("toxic"), (F.col("score") >= 0.7).alias("found")).count().collect())
+    n = {(x.toxic, x.found): x["count"] for x in got}
+    assert n.get((True, True), 0) > 0.9 * (n.get((True, True), 0) + n.get((True, False), 0))
+    assert n.get((False, True), 0) < 0.01 * n[False, False]
+
+
 def test_secret_rules():
     assert find_spans("a token: secret=abc123 PASSWORD = 'hunter22' x") == [("assign", 2, 22), ("assign", 23, 43)]
     assert find_spans("secret: token : abcdefgh") == []          # a short match is used up, then dropped
