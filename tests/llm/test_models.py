@@ -167,6 +167,18 @@ def test_toxicity_rare_expressions_held_out(spark):
     assert n.get((False, True), 0) < 0.01 * n[False, False]
 
 
+def test_toxicity_counts_all_ordinary_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a fine day" if i % 10 else "you vile troll") for i in range(1000)],
+                                 "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
+    counted, model = [], toxicity._model
+    monkeypatch.setattr(toxicity, "_model", lambda c: counted.append(c) or model(c))
+    fit_toxicity(docs, labels)
+    aside = F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0
+    ordinary = docs.filter(may_learn() & ~aside & (F.col("doc_id") % 10 != 0)).count()
+    assert {x.n0 for x in counted[0].filter("n0 > 0").collect()} == {ordinary}
+
+
 def test_secret_rules():
     assert find_spans("a token: secret=abc123 PASSWORD = 'hunter22' x") == [("assign", 2, 22), ("assign", 23, 43)]
     assert find_spans("secret: token : abcdefgh") == []          # a short match is used up, then dropped
