@@ -2,18 +2,18 @@
 
 Each distinct shingle set has a signature of ``TREES`` times ``DEPTH`` minhash
 values.  A tree is the sorted order of one group of values; sets that share its
-first ``SHALLOW`` values lie next to each other.  Candidates are neighbours by
-longest common prefix: a run with one prefix is one leaf while it is short, and
-a region with more than ``LEAF`` sets is split by further values (adaptive
-depth).  Two rounds keep the number of comparisons near the number of sets
-however large a group of copies is:
+first ``SHALLOW`` values lie next to each other, and the further values put the
+likest ones side by side.  Candidates are all sets of a run with one prefix of
+``SHALLOW`` values, however long it is.  Two rounds keep the number of
+comparisons near the number of sets however large a group of copies is:
 
 1. every set is compared with its next neighbour in every order, and the links
    that hold form components;
-2. a leaf whose sets are in different components gets their full sets, and all
-   sets outside its largest component are compared with the rest; large leaves
+2. a run whose sets are in different components gets their full sets, and all
+   sets outside its largest component are compared with the rest; large runs
    are dealt to groups of bounded size.  Only links are written, one for each
-   set and component that it meets.
+   set and component that it meets.  A run of many components costs the square
+   of the number of sets outside its largest one.
 
 A comparison is exact, on the full shingle sets.  Equal sets are one node from
 the start.  A pair at the threshold 0.8 shares the first four values of at
@@ -40,7 +40,7 @@ from strata.llm.blocks import column_ids, cuts, limit_batches, stored, texts
 from strata.llm.components import components
 from strata.llm.textops import NULL_ID, SPACES, Rolling, Words, column_bytes, group_starts, table
 
-TREES, DEPTH, SHALLOW, LEAF, BLOCK = 16, 8, 4, 32, 512
+TREES, DEPTH, SHALLOW, BLOCK = 16, 8, 4, 512
 PIECE = 1 << 20
 _TABLE = table(SPACES, lower=True)
 _RNG = np.random.Generator(np.random.PCG64(11))
@@ -117,16 +117,6 @@ def _sorted_runs(batches):
         yield out()
 
 
-def leaves(keys: np.ndarray, lo: int, hi: int, depth: int):
-    """Row ranges of the leaves of a run whose rows share ``depth`` values."""
-    if hi - lo <= LEAF or depth == DEPTH:
-        yield lo, hi
-        return
-    edge = lo + np.concatenate([[0], np.flatnonzero(keys[lo + 1:hi, depth] != keys[lo:hi - 1, depth]) + 1, [hi - lo]])
-    for a, b in zip(edge[:-1], edge[1:]):
-        yield from leaves(keys, int(a), int(b), depth + 1)
-
-
 def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -136,26 +126,29 @@ def _neighbours(batches):
         yield _pair_batch(ids[:-1], ids[1:])
 
 
-def _mixed_leaves(batches):
-    """Members of the leaves that hold several components, dealt to groups of bounded size.
+def _mixed_runs(batches):
+    """Members of the runs that hold several components, dealt to groups of bounded size.
 
-    A leaf of up to ``BLOCK`` sets is one group; a larger one gives a group for
-    every two of its blocks, so that each pair of its sets meets in one.
+    Every ``BLOCK`` sets outside the run's largest component give a group with
+    each such block after them and with each block of the largest component, so
+    that every pair of sets of different components meets in one.
     """
     number = TaskContext.get().partitionId() << 33
-    for keys, ids, comp in _sorted_runs(batches):
-        if (comp == comp[0]).all():
+    for _, ids, comp in _sorted_runs(batches):
+        labels, place, count = np.unique(comp, return_inverse=True, return_counts=True)
+        if len(labels) == 1:
             continue
-        for lo, hi in leaves(keys, 0, len(ids), SHALLOW):
-            parts = [np.arange(x, min(x + BLOCK, hi)) for x in range(lo, hi, BLOCK)]
-            for i, part in enumerate(parts):
-                for more in parts[i + 1:] or parts[i:i + 1] * (len(parts) == 1):
-                    own = np.union1d(part, more)
-                    if (comp[own] != comp[own[0]]).any():
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(own), number)), pa.array(ids[own]), pa.array(comp[own])],
-                            ["leaf", "id", "comp"])
-                        number += 1
+        common = place == count.argmax()
+        others, most = ([x[i:i + BLOCK] for i in range(0, len(x), BLOCK)]
+                        for x in (np.flatnonzero(~common), np.flatnonzero(common)))
+        for i, part in enumerate(others):
+            for more in others[i + 1:] + most:
+                own = np.concatenate([part, more])
+                if (comp[own] != comp[own[0]]).any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(own), number)), pa.array(ids[own]), pa.array(comp[own])],
+                        ["leaf", "id", "comp"])
+                    number += 1
 
 
 def _bodies_sets(bodies: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +238,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     parts = components(links)
     again = (entries.join(owners.select("id"), "id", "left_semi").join(parts, "id", "left")
              .select("id", "tree", "key", F.coalesce("component_id", "id").alias("comp")))
-    mixed = stored(_orders(again).mapInArrow(_mixed_leaves, "leaf long, id long, comp long"), "forest-leaves")
+    mixed = stored(_orders(again).mapInArrow(_mixed_runs, "leaf long, id long, comp long"), "forest-leaves")
     more = stored(mixed.hint("merge").join(bodies, "id").groupBy("leaf")
                   .applyInArrow(_link_group(words, percent), "a long, b long"), "forest-links")
     if not more.isEmpty():

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from strata.llm import lsh_forest
 from strata.llm.bwt import long_prefix_classes
 from strata.llm.exact_dedup import exact_groups
 from strata.llm.lsh_forest import near_duplicates
@@ -135,6 +136,24 @@ def test_near_duplicates(spark, rows):
     assert got == want
 
 
+@pytest.mark.parametrize("size", [60, 1300])
+def test_runs_of_any_size_meet_across_components(spark, size):
+    """Sets that share the first four values are compared, whatever the other four are."""
+    r = random.Random(size)
+    head = bytes(2 * lsh_forest.SHALLOW)
+    entries = [(0, bytearray(head + r.randbytes(2 * (lsh_forest.DEPTH - lsh_forest.SHALLOW))), i, i if i % 40 == 7 else 0)
+               for i in range(size)]
+    of = getattr(lsh_forest, "_mixed_runs", None) or lsh_forest._mixed_leaves
+    got = (lsh_forest._orders(spark.createDataFrame(entries, "tree int, key binary, id long, comp long"))
+           .mapInArrow(of, "leaf long, id long, comp long").toPandas())
+    met = set()
+    for _, ids in got.groupby("leaf").id:
+        alone = [i for i in ids if i % 40 == 7]
+        met |= {(min(i, j), max(i, j)) for i in alone for j in ids if i != j}
+    alone = [i for i in range(size) if i % 40 == 7]
+    assert met == {(min(i, j), max(i, j)) for i in alone for j in range(size) if i != j}
+
+
 def test_empty_tables(spark):
     empty = frame(spark, [])
     for f in (dedup_substrings, dedup_suffixes, exact_groups, near_duplicates):
