@@ -4,8 +4,9 @@
 returns a DataFrame, which is written as Parquet and read again as the next
 one's ``docs``.  All but the last return the columns of ``docs``.
 
-Rows go by doc_id: a null doc_id is an id of its own, and rows that share an id
-share the decision of the near-dedup and decontamination stages.
+Near-dedup and decontamination decide by row: each row gets a stored number that
+stands for its doc_id there, so rows with a null or a repeated doc_id are
+documents of their own.
 """
 
 from __future__ import annotations
@@ -42,16 +43,28 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .select(*docs.columns))
 
 
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(docs with a stored number _row of each row, the operators' view of it: the number as doc_id)."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+    return rows, rows.select(F.col("_row").alias("doc_id"), "text")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of alike 5-word shingle sets."""
-    kept = near_duplicates(docs, words=5, percent=80).filter("kept").select(_id())
-    return docs.select("*", _id()).join(kept, "_id", "left_semi").select(*docs.columns)
+    """One row of each component of alike 5-word shingle sets: the smallest doc_id, then text hash."""
+    rows, view = _numbered(docs, "near-rows")
+    parts = near_duplicates(view, words=5, percent=80).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(_id(), F.sha2(F.col("text").cast("string"), 256).alias("_sha"), "_row")
+    kept = (rows.select("_row", order.alias("_order")).join(parts, "_row")
+            .groupBy("component_id").agg(F.min("_order")["_row"].alias("_row")).select("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not made up of benchmark passages to a twentieth or more."""
-    bad = contamination(docs, read_testdata(spark, sf_dir, "benchmark")).filter("contaminated").select(_id())
-    return docs.select("*", _id()).join(bad, "_id", "left_anti").select(*docs.columns)
+    rows, view = _numbered(docs, "contamination-rows")
+    bad = (contamination(view, read_testdata(spark, sf_dir, "benchmark")).filter("contaminated")
+           .select(F.col("doc_id").alias("_row")))
+    return rows.join(bad, "_row", "left_anti").select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,3 +72,21 @@ def test_stage_columns(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_SMALL).columns == docs.columns
+
+
+def test_rows_without_an_id_of_their_own(spark):
+    """A contaminated or repeated text takes no other row with its null or repeated id along."""
+    item = next(x.text for x in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()
+                if len(WORD.findall(lower(x.text))) >= 13)
+    base = [f"w{i}" for i in range(100)]
+    near = " ".join(base[:99] + ["end"])
+    clean = [(None, "quite another text"), (7, "one more text"), (None, "")]
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame([(None, item), (7, item), *clean], schema)
+    got = corpus_pipeline.decontamination(spark, docs, SF_SMALL).collect()
+    assert sorted(map(str, got)) == sorted(map(str, spark.createDataFrame(clean, schema).collect()))
+    docs = spark.createDataFrame([(None, " ".join(base)), (None, near), (7, "one more text"), (7, near + " x"), *clean[:1],
+                                  (9, "one more text")], schema)
+    got = [(x.doc_id, x.text) for x in corpus_pipeline.near_dedup(spark, docs, SF_SMALL).collect()]
+    assert len(got) == 3 and (None, "quite another text") in got and (7, "one more text") in got
+    assert sum(t.startswith("w0 ") and d is None for d, t in got) == 1
