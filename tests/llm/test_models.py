@@ -153,11 +153,11 @@ def test_toxicity_tables_have_no_bound(spark, monkeypatch):
 
 
 def test_toxicity_rare_expressions_held_out(spark):
-    """Toxic words that few training texts hold are found in held-out texts, ordinary ones pass."""
+    """Toxic words that few training texts hold are found in held-out texts, as rare ordinary ones pass."""
     r = random.Random(9)
-    plain, bad = [f"word{i}" for i in range(40)], [f"bad{i}" for i in range(100)]
+    plain, rare = [f"word{i}" for i in range(40)], [[f"odd{i}" for i in range(700)], [f"bad{i}" for i in range(100)]]
     docs = spark.createDataFrame([(i, " ".join([r.choice(plain) for _ in range(20)]
-                                               + [r.choice(bad) for _ in range(4 * (i % 8 == 0))]))
+                                               + [r.choice(rare[i % 8 == 0]) for _ in range(4)]))
                                   for i in range(3200)], "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("doc_id") % 8 == 0).cast("int").alias("toxic"))
     got = (score_toxicity(docs, fit_toxicity(docs, labels)).filter(held_out())
@@ -171,12 +171,15 @@ def test_toxicity_counts_all_ordinary_rows(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a fine day" if i % 10 else "you vile troll") for i in range(1000)],
                                  "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
-    counted, model = [], toxicity._model
-    monkeypatch.setattr(toxicity, "_model", lambda c: counted.append(c) or model(c))
+    kept, store = {}, toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
     fit_toxicity(docs, labels)
+    counts = kept["toxic-pairs"]
+    if "cls" in counts.columns:
+        counts = counts.filter("cls = 0").withColumnRenamed("n", "n0")
     aside = F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0
     ordinary = docs.filter(may_learn() & ~aside & (F.col("doc_id") % 10 != 0)).count()
-    assert {x.n0 for x in counted[0].filter("n0 > 0").collect()} == {ordinary}
+    assert {x.n0 for x in counts.filter("n0 > 0").collect()} == {ordinary}
 
 
 def test_secret_rules():
