@@ -45,6 +45,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--gold-mode", default="overwrite")
     ap.add_argument("--allow-incomplete", action="store_true",
                     help="go on although some pages could not be fetched or parsed")
+    ap.add_argument("--allow-empty", action="store_true", help="let a crawl without records empty existing layers")
+    ap.add_argument("--store", help="folder that keeps the fetched pages, so that a stopped crawl is taken up")
+    ap.add_argument("--requests-per-second", type=float, default=0.0, help="one request schedule for all tasks")
+    ap.add_argument("--publish-runs", action="store_true", help="write run folders and swap one pointer")
+    ap.add_argument("--on-drift", choices=["report", "refuse"], help="compare the records' fields with the last run")
     schema = ap.add_mutually_exclusive_group()
     schema.add_argument("--record-schema", help="record schema as DDL (default: the brewery record)")
     schema.add_argument("--infer-schema", action="store_true", help="infer the record schema from all pages")
@@ -114,7 +119,9 @@ def main(argv: list[str] | None = None):
             spark, a.url, a.root, first=a.first, last=a.last, per_page=a.per_page,
             pause_seconds=a.pause_seconds, concurrency=a.concurrency,
             failed_pages=a.failed_pages, table_format=a.format, jdbc=jdbc,
-            rescue_col=a.rescue_col, allow_incomplete=a.allow_incomplete, id_field=a.id_field,
+            rescue_col=a.rescue_col, allow_incomplete=a.allow_incomplete, allow_empty=a.allow_empty,
+            store=a.store, requests_per_second=a.requests_per_second, publish_runs=a.publish_runs,
+            on_drift=a.on_drift, id_field=a.id_field,
             partition_by=a.partition_by, group_by=a.group_by, serving_layer=a.serving_layer, **record,
             drop_incomplete_at=None if a.drop_incomplete_at == "none" else a.drop_incomplete_at,
             silver_mode=a.silver_mode, gold_mode=a.gold_mode)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,16 +11,16 @@ from strata.functions.flatten import explode_records, flat_schema
 OK, HTTP_ERROR, UNPARSABLE, EMPTY = "ok", "http_error", "unparsable", "empty"
 
 
-def outcome_column(record_schema: T.StructType, body: str = "body",
-                   status: str = "status"):
+def outcome_column(body: str = "body", status: str = "status") -> Column:
     """Classify a page: status first, then unparsable text, then an empty array.
 
-    The body is parsed once: ``n`` = element count, or -1 when the text is not
-    a JSON array/object; ``signum(n) + 2`` then indexes the three outcomes.
-    Written this way Catalyst cannot duplicate the parse when it pushes a
-    filter on the outcome below the projection.
+    The elements are counted by ``json_array_length``, which walks the text once
+    without building records, so a page whose records are parsed elsewhere is not
+    parsed into records a second time.  A lone object is one record.
     """
-    n = F.coalesce(F.size(F.from_json(F.col(body), T.ArrayType(record_schema))), F.lit(-1))
+    text = F.trim(F.col(body), F.lit(" \t\r\n"))
+    n = F.coalesce(F.json_array_length(body),
+                   F.when(text.startswith("{") & F.try_parse_json(body).isNotNull(), 1), F.lit(-1))
     by_size = F.element_at(F.array(F.lit(UNPARSABLE), F.lit(EMPTY), F.lit(OK)),
                            (F.signum(n) + 2).cast("int"))
     return (F.when(F.col(status).isNull() | (F.col(status) != 200), F.lit(HTTP_ERROR))
@@ -61,5 +61,5 @@ def route_pages(envelopes: DataFrame, record_schema: T.StructType,
     good_body = F.when(F.col("status") == 200, F.col("body"))
     records = explode_records(envelopes.withColumn("body", good_body), "body", record_schema,
                               keep=keep, position=position, sep=sep, rescue_col=rescue_col)
-    failed = envelopes.filter(outcome_column(record_schema) != OK)
+    failed = envelopes.filter(outcome_column() != OK)
     return records, sentinel_rows(failed, record_schema, id_field, sep=sep)

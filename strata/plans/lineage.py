@@ -11,22 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from strata.session import ensure_checkpoint_dir, scratch_path
+from strata.session import scratch_path
 
 
-def cut_lineage(df: DataFrame, name: str = "materialized", how: str = "table") -> DataFrame:
-    """Materialise ``df`` once and return a DataFrame that reads the stored copy.
-
-    ``how="table"`` writes Parquet (columnar, compressed, one job) and reads it
-    back; ``how="checkpoint"`` uses Spark's reliable ``checkpoint()``, which
-    keeps the physical partitioning of ``df``.
-    """
-    spark = df.sparkSession
-    if how == "checkpoint":
-        ensure_checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
-    if how != "table":
-        raise ValueError("how must be 'table' or 'checkpoint'")
-    path = scratch_path(spark, name)
+def cut_lineage(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once (Parquet, one job) and return a DataFrame that reads the stored copy."""
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

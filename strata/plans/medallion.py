@@ -26,6 +26,7 @@ from strata.operators.aggregates import COUNT, group_count, order_by_count
 from strata.operators.cleansing import drop_incomplete
 from strata.plans.report import RunReport
 from strata.sinks.files import write_json, write_table
+from strata.sinks.partition_codec import decode_sql, decoded, encoded
 from strata.sources.files import read_json, read_table
 
 log = logging.getLogger(__name__)
@@ -53,6 +54,9 @@ class MedallionParams:
     # Compressed JSON files are not splittable, but optimized writes keep each
     # file near the advisory partition size, so silver still reads in parallel.
     bronze_compression: str | None = None
+    # String partition values that come back as written ("" is not null): see
+    # strata.sinks.partition_codec.
+    reversible_partitions: bool = True
     # Where incomplete rows are dropped ("bronze" as in the reference,
     # "silver" to keep bronze raw, or None) and over which columns.
     drop_incomplete_at: str | None = "bronze"
@@ -73,6 +77,11 @@ class MedallionParams:
     serving_layer: str = "silver"
     count_col: str = COUNT
 
+    @property
+    def coded(self) -> list[str]:
+        """Partition columns whose values are encoded in folder names."""
+        return self.partition_by if self.reversible_partitions else []
+
     @property
     def bronze_path(self) -> str:
         return f"{self.root.rstrip('/')}/bronze"
@@ -103,7 +112,8 @@ def gold_schema(schema: T.StructType, keys: list[str], count_col: str = COUNT) -
 def read_silver(spark: SparkSession, p: MedallionParams, schema: T.StructType) -> DataFrame:
     # Declared schema keeps partition values typed as declared; the select puts
     # the partition columns back in record order.
-    return read_table(spark, p.silver_path, p.table_format, schema).select(*[quoted(c) for c in schema.fieldNames()])
+    stored = read_table(spark, p.silver_path, p.table_format, schema)
+    return decoded(stored, p.coded).select(*[quoted(c) for c in schema.fieldNames()])
 
 
 def read_gold(spark: SparkSession, p: MedallionParams, schema: T.StructType) -> DataFrame:
@@ -134,6 +144,13 @@ def _stored(spark: SparkSession, path: str, fmt: str, schema: T.StructType):
     return lambda: read_table(spark, path, fmt, schema).count()
 
 
+def serve(p: MedallionParams, silver: DataFrame, gold: DataFrame) -> None:
+    """Replace the serving table with the layer that ``p`` names."""
+    from strata.sinks.jdbc import write_jdbc
+
+    write_jdbc(silver if p.serving_layer == "silver" else gold, mode=p.jdbc_mode, **p.jdbc)
+
+
 def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) -> MedallionResult:
     """Run bronze -> silver -> gold (-> serving) and return counts and read-back frames."""
     if p.drop_incomplete_at not in (None, "bronze", "silver"):
@@ -164,7 +181,7 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     if p.casts:
         bronze = cast_columns(bronze, p.casts)
         schema = bronze.schema
-    write_table(bronze, p.silver_path, p.table_format, partition_by=p.partition_by,
+    write_table(encoded(bronze, p.coded), p.silver_path, p.table_format, partition_by=p.partition_by,
                 mode=p.silver_mode, dynamic_overwrite=p.dynamic_silver,
                 rebalance=p.optimize_writes,
                 observe=report.tap("silver", _stored(spark, p.silver_path, p.table_format, schema)))
@@ -179,15 +196,20 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     # Serving: a relational table, fed from the stored layer.
     gold_read = read_gold(spark, p, schema)
     if p.jdbc:
-        from strata.sinks.jdbc import write_jdbc
-
-        write_jdbc(silver if p.serving_layer == "silver" else gold_read, mode=p.jdbc_mode, **p.jdbc)
+        serve(p, silver, gold_read)
 
     counts = report.counts()
     log.info("medallion counts: %s", counts)
     return MedallionResult(p, counts, silver, gold_read)
 
 
+def _forget(spark: SparkSession, name: str) -> None:
+    """Drop a catalog table or view; layer tables are external, so only metadata goes."""
+    if spark.catalog.tableExists(name):
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {name}")
+
+
 def register_layers(spark: SparkSession, p: MedallionParams, schema: T.StructType,
                     prefix: str = "", database: str | None = None) -> list[str]:
     """Expose the layers as external catalog tables (metadata only; the
@@ -201,18 +223,25 @@ def register_layers(spark: SparkSession, p: MedallionParams, schema: T.StructTyp
               ("gold", p.gold_path, p.table_format, gold_schema(stored, p.group_by, p.count_col))]
     names = []
     for layer, path, fmt, sch in layers:
+        parts = p.partition_by if layer == "silver" else []
+        coded = [c for c in p.coded if isinstance(sch[c].dataType, T.StringType)] if parts else []
         name = f"{db}`{prefix}{layer}`"
+        table = f"{db}`{prefix}{layer}_stored`" if coded else name
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sch.fields)
-        parts = p.partition_by if layer == "silver" else []
         part_sql = ("PARTITIONED BY (" + ", ".join(f"`{c}`" for c in parts) + ") ") if parts else ""
-        spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: drops metadata only
+        _forget(spark, name)
+        _forget(spark, table)
         opts = ""
         if fmt == "json":   # same text formats the bronze writer used
             esc = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in JSON_TS_OPTIONS.items()}
             opts = "OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in esc.items()) + ") "
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING {fmt} {opts}{part_sql}LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {table} ({cols}) USING {fmt} {opts}{part_sql}LOCATION '{path}'")
         if parts:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        if coded:           # folder names hold encoded values: a view gives them as they were written
+            spark.sql(f"CREATE VIEW {name} AS SELECT " + ", ".join(
+                f"{decode_sql(f.name)} AS `{f.name}`" if f.name in coded else f"`{f.name}`" for f in sch.fields)
+                + f" FROM {table}")
         names.append(name.replace("`", ""))
     return names
 

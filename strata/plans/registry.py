@@ -9,6 +9,7 @@ Column names match the DuckDB statements in ``ORACLE_SQL``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +19,23 @@ from strata.functions.flatten import explode_records, parse_json_column
 from strata.functions.paging import on_page, page_of
 from strata.operators.aggregates import gold_counts, group_count, partition_counts, top_n
 from strata.operators.cleansing import drop_incomplete
+from strata.operators.layout import folder_layout
+from strata.operators.missing import emptying_columns, missing_costs
 from strata.operators.routing import route_pages
 from strata.operators.sequence import with_sequence
 from strata.operators.union import union_by_name
+from strata.operators.vector_topk import top_k
 from strata.plans.medallion import MedallionParams, gold_schema, run_medallion
 from strata.session import default_parallelism, scratch_path
-from strata.sinks.files import append_stamped, publish_single_object, write_json, write_table
+from strata.sinks.files import OnceLog, append_stamped, publish_single_object, write_json, write_table
+from strata.sinks.partition_codec import decoded, encoded
 from strata.sources.files import read_json, read_table, read_testdata
 from strata.sources.paged_json import page_url, read_pages
 
 PER_PAGE = 200
+PAGES_PER_FILE = 16
+#: Partition values that a folder name cannot hold as they are, and one that it can.
+ODD_VALUES = ["", None, "01", "a/b", "a:b", "~", "~~x", "é %=", "plain"]
 GOLD_KEYS = ["c_nationkey", "c_mktsegment"]
 CUSTOMER_PAGE_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()),
@@ -105,13 +113,16 @@ def q_crawl_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_sequence(c, order, "seq", rows_per_partition=2_000_000).select("c_custkey", "seq")
 
 
-def q_stray_column_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U1 + P3 (2.8 #1): a column only page 3 has empties every other page."""
+def _with_stray_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
     page3 = on_page("c_custkey", 3, PER_PAGE)
     stray = base.filter(page3).withColumn("extra", F.lit("x"))
-    rest = base.filter(~page3)
-    return drop_incomplete(union_by_name([rest, stray]))
+    return union_by_name([base.filter(~page3), stray])
+
+
+def q_stray_column_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 + P3 (2.8 #1): a column only page 3 has empties every other page."""
+    return drop_incomplete(_with_stray_column(spark, sf_dir))
 
 
 def q_page_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,16 +164,42 @@ def q_page_bodies_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + F3: page bodies written as files, crawled back with the paged source."""
-    root, last_page = _write_customer_pages(spark, sf_dir)
+    url, last_page, per_file = _write_customer_pages(spark, sf_dir)
     # File transport: one task per core is enough (an HTTP crawl would size
     # concurrency by the API's allowed request rate instead).
     tasks = min(last_page, default_parallelism(spark))
-    env = read_pages(spark, page_url(root), first=last_page, last=1,
-                     per_page=PER_PAGE, concurrency=tasks)
+    env = read_pages(spark, url, first=last_page, last=1,
+                     per_page=PER_PAGE, concurrency=tasks, pages_per_file=per_file)
+    records, _failed = route_pages(env, CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
+    return group_count(records, ["page"])
+
+
+def q_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S5: the same pages read by Spark's own file systems (its endpoint and keys)."""
+    from strata.sources.page_files import read_page_files
+
+    url, last_page, per_file = _write_customer_pages(spark, sf_dir)
+    env = read_page_files(spark, url, first=last_page, last=1, per_page=PER_PAGE, pages_per_file=per_file)
     records, _failed = route_pages(env, CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
     return group_count(records, ["page"])
 
 
+def q_crawl_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 as a checkpointed stream: a crawl that is stopped after its first pages and taken up
+    over the whole range, in which every page is asked for once."""
+    from strata.streaming.crawl_stream import CrawlStore
+
+    url, last_page, per_file = _write_customer_pages(spark, sf_dir)
+    crawl = CrawlStore(spark, scratch_path(spark, "crawl-store"), url, PER_PAGE, per_file)
+    tasks = min(last_page, default_parallelism(spark))
+    batch = max(per_file * tasks, -(-last_page // 2))
+    crawl.run(last_page, last_page // 2 + 1, batch, concurrency=tasks)
+    crawl.run(last_page, 1, batch, concurrency=tasks)
+    records, _failed = route_pages(crawl.pages(last_page, 1), CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
+    asked = group_count(crawl.requests(), ["page"], "n_requests")
+    return group_count(records, ["page"], "n_records").join(asked, "page")
+
+
 def q_failed_page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed pages (status 500) become sentinel rows with id = url."""
     pages = _customer_pages(spark, sf_dir)
@@ -273,27 +310,131 @@ def q_medallion_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "layer string, rows bigint")
 
 
-def _write_customer_pages(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+def _write_customer_pages(spark: SparkSession, sf_dir: str) -> tuple[str, int, int]:
+    """(URL template, last page, pages per file): bodies stored grouped, one line per page."""
     pages = _customer_pages(spark, sf_dir)
     root = scratch_path(spark, "pages")
-    pages.write.partitionBy("page").text(root)
+    chunk = F.floor(F.col("page") / PAGES_PER_FILE).cast("int")
+    (pages.select(chunk.alias("chunk"), F.to_json(F.struct("page", "body")).alias("value"))
+     .repartition("chunk").write.partitionBy("chunk").text(root))
     # Page count from the key range: a one-column aggregate, not a second pass
     # over the page bodies.
     max_key = _t(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
-    return root, 1 if max_key is None else int(max_key) // PER_PAGE + 1
+    last = 1 if max_key is None else int(max_key) // PER_PAGE + 1
+    return page_url(root, "chunk"), last, PAGES_PER_FILE
 
 
 def q_crawl_medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + P4 + P1 + F1, the whole job: crawl once, route, flatten, bronze/silver/gold."""
     from strata.plans.api_job import run_api_medallion
 
-    root, last_page = _write_customer_pages(spark, sf_dir)
-    return run_api_medallion(spark, page_url(root), scratch_path(spark, "crawl-medallion"),
-                             first=last_page, last=1, per_page=PER_PAGE, pause_seconds=0,
+    url, last_page, per_file = _write_customer_pages(spark, sf_dir)
+    first_page = _t(spark, sf_dir, "customer").agg(F.min(page_of("c_custkey", PER_PAGE))).first()[0] or 1
+    return run_api_medallion(spark, url, scratch_path(spark, "crawl-medallion"),
+                             first=last_page, last=int(first_page), per_page=PER_PAGE, pause_seconds=0,
                              concurrency=min(last_page, default_parallelism(spark)),
                              record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey",
                              partition_by=["c_mktsegment"], group_by=["c_mktsegment"],
-                             allow_incomplete=True).gold
+                             pages_per_file=per_file).gold
+
+
+def q_published_rerun_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + F2, published at once: a run, then one that fails after its bronze; readers still see the first."""
+    from strata.plans.publish import open_layers, run_published
+
+    c = _t(spark, sf_dir, "customer")
+    p = MedallionParams(root=scratch_path(spark, "published"), partition_by=["c_mktsegment"], group_by=GOLD_KEYS)
+    run_published(spark, c, p)
+    broken = replace(p, casts={"no_such_column": "int"})         # found out at silver
+    try:
+        run_published(spark, c.filter(F.col("c_custkey") % 2 == 0), broken)
+    except ValueError:
+        return open_layers(spark, p, c.schema)["gold"]
+    raise AssertionError("the second run was meant to fail")
+
+
+def q_maintained_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + A1: gold kept by signed counts over three batches: a load whose FURNITURE rows have the
+    wrong nation, the same batch again, and a correction of that one partition."""
+    from strata.plans.maintained_gold import MaintainedGold
+
+    c = _t(spark, sf_dir, "customer")
+    gold = MaintainedGold(spark, scratch_path(spark, "maintained"), c.schema, ["c_mktsegment"], GOLD_KEYS)
+    furniture = F.col("c_mktsegment") == "FURNITURE"
+    wrong = c.withColumn("c_nationkey", F.when(furniture, F.lit(-1)).otherwise(F.col("c_nationkey")).cast("int"))
+    gold.apply("load", wrong)
+    gold.apply("load", wrong)
+    gold.apply("correct-furniture", c.filter(furniture))
+    return gold.gold()
+
+
+def q_partition_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 with values that folder names cannot hold as they are (2.8 #9-#10): events by an empty,
+    a missing, a zero-led and a special text, written partitioned and read back by a pruned filter."""
+    e = _odd_events(spark, sf_dir)
+    path = scratch_path(spark, "odd-partitions")
+    write_table(encoded(e, ["kind"]), path, partition_by=["kind"], mode="overwrite")
+    back = decoded(read_table(spark, path, schema=e.schema), ["kind"])
+    return back.filter((F.col("kind") != "plain") | F.col("kind").isNull()).select("event_id", "kind")
+
+
+def _odd_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = F.element_at(F.array(*[F.lit(v) for v in ODD_VALUES]), (F.col("event_id") % len(ODD_VALUES) + 1).cast("int"))
+    return _t(spark, sf_dir, "events").select("event_id", odd.alias("kind"))
+
+
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 + P1 between runs (2.8 #1, #6-#7): fields of the event records that were added, dropped,
+    widened or came into conflict since the run before, from the stored profile."""
+    from strata.plans.drift import SchemaHistory, drift, profile
+
+    e = _t(spark, sf_dir, "events")
+    before = e.select(F.to_json(F.struct("event_id", "user_id", F.floor("value").alias("value"), "event_type"))
+                      .alias("record"))
+    after = e.select(F.to_json(F.struct("event_id", F.concat(F.lit("u"), "user_id").alias("user_id"),
+                                        (F.floor("value") + 0.5).cast("double").alias("value"),
+                                        F.struct(F.col("event_type").alias("kind")).alias("detail"))).alias("record"))
+    history = SchemaHistory(spark, scratch_path(spark, "drift"))
+    history.accept(profile(before), "run-1")
+    return drift(history.last(), profile(after)).select("path", "change", "old_kind", "new_kind")
+
+
+def q_missing_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 explained (2.8 #1): what each column of events costs in rows."""
+    return missing_costs(_events_with_missing(spark, sf_dir))
+
+
+def q_stray_column_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 explained: the column that empties the union of ``stray_column_drop`` is named."""
+    return emptying_columns(_with_stray_column(spark, sf_dir)).select("column", "n_alone", "n_lost", "n_rows")
+
+
+def q_silver_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + K2: rows per folder of a written silver, from the files that hold them."""
+    e = _t(spark, sf_dir, "events")
+    path = scratch_path(spark, "silver-layout")
+    write_table(e, path, partition_by=["event_type"], mode="overwrite")
+    layout = folder_layout(read_table(spark, path, schema=e.schema))
+    return layout.select(F.substring_index("folder", "=", -1).alias("event_type"), "rows",
+                         (F.col("files") > 0).alias("has_files"))
+
+
+def q_log_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + F4: a stamped append by batch name; one batch is sent twice, one was cut short before its commit."""
+    n = _t(spark, sf_dir, "nation")
+    log = OnceLog(spark, scratch_path(spark, "once-log"))
+    log.append(n, "first")
+    log.append(n, "first")
+    log.write(n.filter("n_nationkey < 3"), "second")             # cut short: rows without a commit
+    log.append(n, "second")
+    return (log.read(n.schema).groupBy("n_nationkey", "n_name", "batch")
+            .agg(F.count(F.lit(1)).alias("n"), F.count("timestamp").alias("n_stamped")))
+
+
+def q_vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five likest vectors of every vector, exactly."""
+    v = _t(spark, sf_dir, "embeddings")
+    return top_k(v, v, 5).select("query", "rank", "id")
 
 
 def q_nested_medallion_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,11 +469,9 @@ def q_medallion_incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- S4 / P2 / A2 --------------------------------------------------------
 
 def q_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P2 + A2 on lineitem's physical partitions: facts that hold for any split
-    (all rows are counted, no partition is counted twice)."""
-    counts = partition_counts(_t(spark, sf_dir, "lineitem"))
-    return counts.agg(F.sum("count").alias("n_rows"),
-                      (F.count(F.lit(1)) - F.count_distinct("partition")).alias("n_twice"))
+    """P2 + A2: lineitem dealt to partitions by a known rule, and its rows per physical partition."""
+    dealt = _t(spark, sf_dir, "lineitem").repartitionById(7, (F.col("l_orderkey") % 7).cast("int"))
+    return partition_counts(dealt)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -363,6 +502,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_replace": q_table_replace,
     "table_append_stamped": q_table_append_stamped,
     "partition_counts": q_partition_counts,
+    "published_rerun_gold": q_published_rerun_gold,
+    "maintained_gold": q_maintained_gold,
+    "crawl_resumed": q_crawl_resumed,
+    "page_files": q_page_files,
+    "partition_values": q_partition_values,
+    "schema_drift": q_schema_drift,
+    "missing_costs": q_missing_costs,
+    "stray_column_named": q_stray_column_named,
+    "silver_layout": q_silver_layout,
+    "log_append_once": q_log_append_once,
+    "vector_top_k": q_vector_top_k,
 }
 
 _GOLD_SQL = ('SELECT c_nationkey, c_mktsegment, count(*) AS "count" '
@@ -414,5 +564,40 @@ ORACLE_SQL: dict[str, str] = {
     "table_replace": "SELECT * FROM customer",
     "table_append_stamped": ("SELECT n_nationkey, n_name, n_regionkey, CAST(2 AS BIGINT) AS n, "
                              "CAST(2 AS BIGINT) AS n_stamped FROM nation"),
-    "partition_counts": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_twice FROM lineitem",
+    "partition_counts": ('SELECT CAST(l_orderkey % 7 AS INTEGER) AS partition, count(*) AS "count" '
+                         "FROM lineitem GROUP BY 1"),
+    "published_rerun_gold": _GOLD_SQL,
+    "maintained_gold": _GOLD_SQL,
+    "crawl_resumed": ("SELECT CAST(c_custkey // 200 + 1 AS INTEGER) AS page, count(*) AS n_records, "
+                      "CAST(1 AS BIGINT) AS n_requests FROM customer GROUP BY 1"),
+    "page_files": ('SELECT CAST(c_custkey // 200 + 1 AS INTEGER) AS page, count(*) AS "count" '
+                   "FROM customer GROUP BY 1"),
+    "partition_values": ("SELECT event_id, kind FROM (SELECT event_id, list_extract(['', NULL, '01', 'a/b', "
+                         "'a:b', '~', '~~x', 'é %=', 'plain'], event_id % 9 + 1) AS kind FROM events) "
+                         "WHERE kind IS DISTINCT FROM 'plain'"),
+    "schema_drift": ("SELECT * FROM (VALUES ('detail', 'added', NULL, 'object'), ('detail.kind', 'added', NULL, "
+                     "'string'), ('event_type', 'dropped', 'string', NULL), ('user_id', 'conflict', 'long', 'string'), "
+                     "('value', 'widened', 'long', 'decimal')) t(path, change, old_kind, new_kind) "
+                     "WHERE EXISTS (SELECT 1 FROM events)"),
+    "missing_costs": """
+        WITH t AS (SELECT event_id IS NULL AS a, event_type IS NULL OR event_type = 'error' AS b, value < 10 AS c
+                   FROM events)
+        SELECT 'event_id' AS "column", count(*) FILTER (a) AS n_missing, count(*) FILTER (a AND NOT b AND NOT c) AS n_alone,
+               count(*) FILTER (a OR b OR c) AS n_lost, count(*) AS n_rows FROM t
+        UNION ALL SELECT 'event_type', count(*) FILTER (b), count(*) FILTER (b AND NOT a AND NOT c),
+               count(*) FILTER (a OR b OR c), count(*) FROM t
+        UNION ALL SELECT 'value', count(*) FILTER (c), count(*) FILTER (c AND NOT a AND NOT b),
+               count(*) FILTER (a OR b OR c), count(*) FROM t""",
+    "stray_column_named": ("SELECT 'extra' AS \"column\", count(*) FILTER (c_custkey // 200 + 1 <> 3) AS n_alone, "
+                           "count(*) FILTER (c_custkey // 200 + 1 <> 3) AS n_lost, count(*) AS n_rows FROM customer"),
+    "silver_layout": ('SELECT event_type, count(*) AS "rows", true AS has_files FROM events GROUP BY 1'),
+    "log_append_once": ("SELECT n_nationkey, n_name, batch, CAST(1 AS BIGINT) AS n, CAST(1 AS BIGINT) AS n_stamped "
+                        "FROM nation, (VALUES ('first'), ('second')) b(batch)"),
+    "vector_top_k": """
+        WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        s AS (SELECT a.vec_id AS query, b.vec_id AS id, round(list_cosine_similarity(a.e, b.e), 9) AS score
+              FROM v a, v b WHERE a.vec_id <> b.vec_id),
+        r AS (SELECT query, id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS INTEGER) AS rank
+              FROM s)
+        SELECT query, rank, id FROM r WHERE rank <= 5""",
 }

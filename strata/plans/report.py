@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -36,18 +37,27 @@ class RunReport:
 
     def metric(self, layer: str, name: str):
         """An extra metric of a layer, or None when no metrics arrived."""
+        return (self._metrics(layer) or {}).get(name)
+
+    def _metrics(self, layer: str) -> dict | None:
+        """The metrics of a layer, or None where the observed node was optimised away:
+        the row that arrives then has no schema.  Any other error is raised."""
         try:
-            return self._obs[layer][0].get.get(name)
-        except Exception:
-            return None
+            return self._obs[layer][0].get
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getName() == "java.lang.AssertionError":
+                return None
+            raise
 
     def counts(self) -> dict[str, int]:
+        """Rows per layer.  Only metrics that never arrived are replaced by a recount;
+        an error while they are fetched is an error."""
         out = {}
-        for layer, (obs, fallback) in self._obs.items():
-            try:
-                out[layer] = int(obs.get["rows"])
-            except Exception:
+        for layer, (_, fallback) in self._obs.items():
+            rows = (self._metrics(layer) or {}).get("rows")
+            if rows is None:
                 if fallback is None:
-                    raise
-                out[layer] = int(fallback())
+                    raise RuntimeError(f"no metrics arrived for layer {layer}")
+                rows = fallback()
+            out[layer] = int(rows)
         return out

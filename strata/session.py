@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import glob
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -153,12 +152,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def _is_local(spark: SparkSession) -> bool:
-    sc = _context(spark)
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    return (master or "").startswith("local")
-
-
 def default_parallelism(spark: SparkSession) -> int:
     """Tasks the cluster runs at once (falls back to the shuffle partition count)."""
     sc = _context(spark)
@@ -169,12 +162,12 @@ def default_parallelism(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, configuring it if needed.
+    """Return the shared folder for checkpoints and intermediate tables.
 
-    Order: a directory already set on the context; then the cluster's
-    ``spark.checkpoint.dir`` setting; then, in local mode only, a fresh temp
-    folder.  On a cluster with neither set this raises, since a machine-local
-    folder would not survive the loss of an executor.
+    Order: a directory already set on the context, then the ``spark.checkpoint.dir``
+    setting.  With neither this raises, whatever the master: a folder that only one
+    machine sees would not survive the loss of an executor, so the library never
+    makes one up.
     """
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
@@ -183,12 +176,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not _is_local(spark):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3) "
-                "so checkpoints survive executor loss"
-            )
-        configured = tempfile.mkdtemp(prefix="strata-ckpt-")
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; point it at a folder that the driver and all executors share "
+            "(HDFS, S3; any folder for a local session)"
+        )
     if sc is None:
         # Spark Connect: the server applies the setting to checkpoint().
         spark.conf.set("spark.checkpoint.dir", configured)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from strata.functions.names import quoted
 from strata.functions.schemas import JSON_TS_OPTIONS
+from strata.sinks.store import Store, scan_roots
 
 # A function applied to the frame right before it is written (after any
 # rebalance), e.g. to attach an Observation.  Placed there, the observed
@@ -23,25 +24,17 @@ from strata.functions.schemas import JSON_TS_OPTIONS
 Tap = Callable[[DataFrame], DataFrame]
 
 
-def _qualified(spark: SparkSession, path: str, encoded: bool = False) -> str:
-    """Full path with scheme and authority, as the session's file systems resolve it.
-    ``encoded``: the path is a URL-encoded URI, as Spark lists input files."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if encoded else jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return p.getFileSystem(conf).makeQualified(p).toString().rstrip("/")
-
-
 def assert_not_reading(df: DataFrame, path: str) -> None:
     """Refuse an overwrite of a folder that ``df`` itself reads (data loss, 2.8 #12).
 
-    Input files are compared by their folders, each of which is resolved once.
+    The roots of the scans are compared, not their files: one path per reader,
+    whatever the number of files below it.
     """
-    spark = df.sparkSession
-    target = _qualified(spark, path)
-    for folder in {f.rsplit("/", 1)[0] + "/" for f in df.inputFiles()}:
-        src = _qualified(spark, folder, encoded=True)
-        if src == target or src.startswith(target + "/"):
+    store = Store(df.sparkSession)
+    target = store.qualified(path)
+    for root in scan_roots(df):
+        src = store.qualified(root)
+        if src == target or src.startswith(target + "/") or target.startswith(src + "/"):
             raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
 
 
@@ -154,11 +147,61 @@ def publish_single_object(df: DataFrame, path: str, fmt: str = "json", mode: str
     if fmt in ("json", "csv"):
         w = w.options(**JSON_TS_OPTIONS)
     w.save(path)
-    if object_name:
-        name_single_part(df.sparkSession, path, object_name)
+    if object_name and name_single_part(df.sparkSession, path, object_name) is None:
+        raise OSError(f"{path} does not hold exactly one part file to name {object_name}")
 
 
 def append_stamped(df: DataFrame, path: str, fmt: str = "parquet",
                    ts_col: str = "timestamp") -> None:
     """K6 on files: append rows stamped with the write time (a column default)."""
     df.withColumn(ts_col, F.current_timestamp()).write.format(fmt).mode("append").save(path)
+
+
+class OnceLog:
+    """K6 with batch names: a stamped append that a retried job cannot repeat.
+
+    The rows of a batch go to a folder of their own, ``<path>/rows/batch=<name>``,
+    written whole or replaced whole.  Then one small object, ``<path>/commits/<name>``,
+    is created; the batch belongs to the table from that moment.  A retry after the
+    commit does nothing; a retry of a batch that was cut short before it replaces the
+    folder, so its rows are there once, with the stamp of the attempt that counted.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet", ts_col: str = "timestamp"):
+        self.spark, self.path, self.fmt, self.ts_col = spark, path.rstrip("/"), fmt, ts_col
+        self.store = Store(spark)
+
+    def _rows(self, batch: str) -> str:
+        if not batch or not batch.replace("-", "").replace("_", "").isalnum():
+            raise ValueError("a batch name has letters, digits, hyphens and underscores only")
+        return f"{self.path}/rows/batch={batch}"
+
+    def batches(self) -> list[str]:
+        """Names of the committed batches."""
+        return self.store.names(f"{self.path}/commits")
+
+    def write(self, df: DataFrame, batch: str) -> None:
+        """Store the rows of a batch without committing them."""
+        write_table(df.withColumn(self.ts_col, F.current_timestamp()), self._rows(batch), self.fmt, mode="overwrite")
+
+    def commit(self, batch: str) -> None:
+        self.store.create(f"{self.path}/commits/{batch}")
+
+    def append(self, df: DataFrame, batch: str) -> bool:
+        """Add a batch; False if it was added before."""
+        self._rows(batch)
+        if self.store.exists(f"{self.path}/commits/{batch}"):
+            return False
+        self.write(df, batch)
+        self.commit(batch)
+        return True
+
+    def read(self, schema: T.StructType) -> DataFrame:
+        """Rows of the committed batches with their ``batch``; others are not scanned."""
+        names = self.batches()
+        full = T.StructType([*schema.fields, T.StructField(self.ts_col, T.TimestampType()),
+                             T.StructField("batch", T.StringType())])
+        if not names:
+            return self.spark.createDataFrame([], full)
+        return (self.spark.read.format(self.fmt).schema(full).option("basePath", f"{self.path}/rows")
+                .load([self._rows(n) for n in names]))

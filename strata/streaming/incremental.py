@@ -33,6 +33,7 @@ from strata.operators.cleansing import drop_incomplete
 from strata.plans.medallion import MedallionParams, cast_columns, read_gold
 from strata.session import scratch_path
 from strata.sinks.files import write_table
+from strata.sinks.partition_codec import decoded, encoded
 
 
 @dataclass
@@ -79,24 +80,26 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
         bronze_in = drop_incomplete(bronze_in, subset=p.drop_subset)
     kept = spark.conf.get(PROGRESS[0])
     spark.conf.set(*PROGRESS)
-    qb = (_counted(bronze_in).writeStream.format("json").options(**JSON_TS_OPTIONS)
-          .option("ignoreNullFields", "false")
-          .option("checkpointLocation", f"{ck}/bronze")
-          .trigger(availableNow=True).start(p.bronze_path))
-    qb.awaitTermination()
-
-    # Silver
-    silver_in = (spark.readStream.schema(schema).options(**JSON_TS_OPTIONS).json(p.bronze_path))
-    if p.drop_incomplete_at == "silver":
-        silver_in = drop_incomplete(silver_in, subset=p.drop_subset)
-    if p.casts:
-        silver_in = cast_columns(silver_in, p.casts)
-        schema = silver_in.schema
-    qs = (_counted(silver_in).writeStream.format(p.table_format).partitionBy(*p.partition_by)
-          .option("checkpointLocation", f"{ck}/silver")
-          .trigger(availableNow=True).start(p.silver_path))
-    qs.awaitTermination()
-    spark.conf.set(PROGRESS[0], kept)
+    try:
+        qb = (_counted(bronze_in).writeStream.format("json").options(**JSON_TS_OPTIONS)
+              .option("ignoreNullFields", "false")
+              .option("checkpointLocation", f"{ck}/bronze")
+              .trigger(availableNow=True).start(p.bronze_path))
+        qb.awaitTermination()
+
+        # Silver
+        silver_in = (spark.readStream.schema(schema).options(**JSON_TS_OPTIONS).json(p.bronze_path))
+        if p.drop_incomplete_at == "silver":
+            silver_in = drop_incomplete(silver_in, subset=p.drop_subset)
+        if p.casts:
+            silver_in = cast_columns(silver_in, p.casts)
+            schema = silver_in.schema
+        qs = (_counted(encoded(silver_in, p.coded)).writeStream.format(p.table_format).partitionBy(*p.partition_by)
+              .option("checkpointLocation", f"{ck}/silver")
+              .trigger(availableNow=True).start(p.silver_path))
+        qs.awaitTermination()
+    finally:
+        spark.conf.set(PROGRESS[0], kept)
 
     # Gold
     keys = p.group_by
@@ -104,8 +107,8 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
     def publish(batch: DataFrame, _batch_id: int) -> None:
         write_table(batch, p.gold_path, p.table_format, mode="overwrite")
 
-    counts = group_count(spark.readStream.schema(schema).format(p.table_format).load(p.silver_path),
-                         keys, p.count_col)
+    silver = spark.readStream.schema(schema).format(p.table_format).load(p.silver_path)
+    counts = group_count(decoded(silver, p.coded), keys, p.count_col)
     qg = (counts.writeStream.outputMode("complete").foreachBatch(publish)
           .option("checkpointLocation", f"{ck}/gold")
           .trigger(availableNow=True).start())

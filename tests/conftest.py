@@ -11,7 +11,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     s = (SparkSession.builder.master("local[*]")
@@ -19,6 +19,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
