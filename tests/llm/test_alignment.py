@@ -17,7 +17,7 @@ SCHEMA = "doc_id long, text string, block string, key int, keys int, at string,
 ROWS = [(1, "The quick brown fox jumps."), (2, "The quick brown fox jumps."), (None, "null id: the fox"), (None, None),
         (3, None), (4, ""), (5, " "), (6, "  two  spaces\n\n\tand tabs "), (7, "naïve café — 漢字仮名 👩‍👩‍👧 ž\x00z"),
         (8, "a▁b"), (9, "<s> </s> <unk> <0x41> <|endoftext|>"), (10, "ﬁ ﻿x é"), (11, "aaaaaaaaaa" * 400),
-        (12, "fox " * 3000), (13, "".join(chr(0x4E00 + 7 * i) for i in range(900))), (1, "repeated id, other text")]
+        (12, "fox " * 3000), (14, "end "), (15, "end  \n"), (16, "x  y   "), (17, "two words ▁"), (18, "words again"), (13, "".join(chr(0x4E00 + 7 * i) for i in range(900))), (1, "repeated id, other text")]
 
 
 def frame(spark, rows):
@@ -94,6 +94,22 @@ def test_pair_counts_are_documents(spark):
     assert {r.docs for r in pairs.collect()} == {2}
 
 
+@pytest.mark.parametrize("known,slice_", [(1 << 24, 1 << 18), (50, 8)])
+def test_runs_side_by_side_are_encoded_as_alone(spark, monkeypatch, known, slice_):
+    from strata.llm import alignment as module
+
+    monkeypatch.setattr(module, "KNOWN_CHARS", known)
+    monkeypatch.setattr(module, "SLICE_CHARS", slice_)
+    pair = Pair(*tokenizer_files())
+    rows = [(i, t) for i, (_, t) in enumerate(ROWS)]
+    want = {r[0]: r[1:5] + r[7:] for r in plain(rows)}
+    for i, t in rows:                                    # a block of its own each: the table of runs is begun anew
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        row = module._block(pair, 0, np.array([i]), data, np.array([0, len(data)]))
+        stats = np.frombuffer(module.zstandard.ZstdDecompressor().decompress(row[3]), np.int64)
+        assert (*stats.tolist(), row[4].decode()) == want[i]
+
+
 @pytest.mark.parametrize("text", ["ab 👩‍👩‍👧 ž", "naïve", "\x00\x01", "漢字"])
 def test_spans_are_refined_to_bytes(text):
     pair = Pair(*tokenizer_files())
@@ -102,4 +118,4 @@ def test_spans_are_refined_to_bytes(text):
     offset = np.append([i for i, c in enumerate(body) if c & 0xC0 != 0x80], len(body))
     for side, entries in ((left, pair.a_bytes), (right, pair.b_bytes)):
         assert byte_ends(side, entries, offset).tolist() == np.cumsum(entries.size[side[0]]).tolist()
-    assert aligned_text(pair, text, left, right)[4] >= 1
+    assert len(aligned_text(pair, text, left, right).ends) >= 1
