@@ -158,3 +158,16 @@ def test_empty_tables(spark):
     empty = frame(spark, [])
     for f in (dedup_substrings, dedup_suffixes, exact_groups, near_duplicates):
         assert f(empty).collect() == []
+
+
+@pytest.mark.parametrize("from_files", [False, True])
+def test_exact_groups_keep_one_row_each(spark, tmp_path, from_files):
+    docs = spark.createDataFrame([(1, "ab"), (1, "a b"), (1, "a b"), (2, "a b"), (None, "q"), (None, "q"), (3, "z")],
+                                 "doc_id long, text string")
+    if from_files:
+        docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    got = exact_groups(docs).collect()
+    kept = Counter((r.doc_id, r.group_size) for r in got if r.kept)
+    assert kept == {(1, 4): 1, (None, 2): 1, (3, 1): 1} and len(got) == 7
+    assert {(r.keep_id, r.group_size) for r in got} == {(1, 4), (None, 2), (3, 1)}
