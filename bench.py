@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import sys
 import time
 
@@ -47,7 +48,8 @@ def main() -> None:
 
     # The engine's single-node profile, with shuffle partitions = cores.
     conf = session_conf("local", with_delta=False)
-    conf.update({"spark.sql.shuffle.partitions": str(CPUS), "spark.driver.memory": "16g"})
+    conf.update({"spark.sql.shuffle.partitions": str(CPUS), "spark.driver.memory": "16g",
+                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="strata-bench-")})
     builder = SparkSession.builder.master(f"local[{CPUS}]").appName("strata-bench")
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -66,7 +68,7 @@ def main() -> None:
     # flow's default modes make reruns safe), so disk use does not grow with
     # the number of runs.
     roots = {name: scratch_path(spark, f"bench-{name}")
-             for name in ("bronze", "silver", "medallion", "pages", "crawl")}
+             for name in ("bronze", "silver", "medallion", "crawl")}
     li_schema = spark.read.parquet(li_path).schema
     keys = ["l_returnflag", "l_linestatus"]
     state: dict[str, str] = {}
@@ -98,16 +100,13 @@ def main() -> None:
         # paged source (file transport, no pacing), routed, flattened, then the
         # medallion flow.  Not part of the headline total.
         from strata.plans.api_job import crawl_records
-        from strata.sources.paged_json import page_url
-        from strata.plans.registry import CUSTOMER_PAGE_SCHEMA, PER_PAGE, _customer_pages
+        from strata.plans.registry import CUSTOMER_PAGE_SCHEMA, PER_PAGE, _write_customer_pages
 
         if "pages" not in state:
-            state["pages"] = roots["pages"]
-            _customer_pages(spark, SF_DIR).write.partitionBy("page").text(state["pages"])
-        max_key = spark.read.parquet(f"{SF_DIR}/customer.parquet").agg({"c_custkey": "max"}).first()[0]
-        records, _ = crawl_records(spark, page_url(state["pages"]),
-                                   first=int(max_key) // PER_PAGE + 1, last=1, per_page=PER_PAGE,
-                                   concurrency=default_parallelism(spark),
+            state["pages"] = _write_customer_pages(spark, SF_DIR)
+        url, last_page, per_file = state["pages"]
+        records, _ = crawl_records(spark, url, first=last_page, last=1, per_page=PER_PAGE,
+                                   concurrency=default_parallelism(spark), pages_per_file=per_file,
                                    record_schema=CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
         p = MedallionParams(root=roots["crawl"], partition_by=["c_mktsegment"],
                             group_by=["c_mktsegment"], schema=CUSTOMER_PAGE_SCHEMA,

@@ -86,12 +86,12 @@ def infer_record_schema(envelopes: DataFrame) -> T.StructType:
 def crawl_records(spark: SparkSession, url: str, first: int, last: int, per_page: int = 200,
                   pause_seconds: float = 0.0, concurrency: int = 1,
                   record_schema: T.StructType = BREWERY_SCHEMA, id_field: str = "id",
-                  rescue_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+                  rescue_col: str | None = None, pages_per_file: int = 1) -> tuple[DataFrame, DataFrame]:
     """Fetch pages ``first..last`` once; return (records, failed-page sentinel rows).
 
     Records carry ``page`` and ``position`` so the crawl order is explicit.
     """
-    env = crawl_pages(spark, url, first, last, per_page, pause_seconds, concurrency)
+    env = crawl_pages(spark, url, first, last, per_page, pause_seconds, concurrency, pages_per_file=pages_per_file)
     return route_pages(env, record_schema, id_field=id_field, rescue_col=rescue_col)
 
 

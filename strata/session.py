@@ -10,6 +10,8 @@ from __future__ import annotations
 import glob
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -192,4 +194,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     # getCheckpointDir() returns a per-application sub-folder; keep tables beside it.
-    return f"{root}/strata-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/strata-tables/{name}-{uuid.uuid4().hex[:12]}"
+    for owner in _open.get(id(spark), []):
+        _scratch.setdefault((id(spark), owner), []).append(path)
+    return path
+
+
+# Scratch folders by session and owner, while the owner records them.
+_open: dict[int, list[str]] = {}
+_scratch: dict[tuple[int, str], list[str]] = {}
+
+
+@contextmanager
+def scratch_in_use(spark: SparkSession, owner: str) -> Iterator[None]:
+    """Record the scratch folders that are made inside the block under ``owner``."""
+    _open.setdefault(id(spark), []).append(owner)
+    try:
+        yield
+    finally:
+        _open[id(spark)].remove(owner)
+
+
+def release_scratch(spark: SparkSession, owner: str, keep: list[str] | None = None) -> list[str]:
+    """Delete the scratch folders recorded under ``owner``, but for those that hold a path of ``keep``
+    (they stay recorded).  Call it when everything read from them has been written.  Returns the deleted paths."""
+    from strata.sinks.store import Store
+
+    store, left, gone = Store(spark), [], []
+    held = [k.rstrip("/") + "/" for k in keep or []]
+    for path in _scratch.get((id(spark), owner), []):
+        if any(k.startswith(store.qualified(path) + "/") for k in held):
+            left.append(path)
+        else:
+            store.delete(path)
+            gone.append(path)
+    _scratch[(id(spark), owner)] = left
+    return gone
