@@ -3,21 +3,22 @@
 One context tree per language, contexts of zero to three bytes, escape method
 C: a context seen T times with D different next bytes gives a seen byte the
 share n / (T + D) and the step to the next shorter context D / (T + D); below
-the empty context all symbols are alike.  The statistics are frozen after
+the empty context all 256 bytes are alike.  The statistics are frozen after
 training, so the code length of a byte depends on it and the three bytes before
-it only, and the exact lengths of all trees are kept in tables: one complete
-table for the contexts of two bytes, and a sorted list of the four-byte strings
-that some language has seen.  A text gets the language with the shortest code.
+it only; each order keeps the strings that some language has seen, sorted, with
+their exact code lengths in every language, and nothing for the others: a byte not
+found there pays its context's escape and is looked up one order lower.  ASCII
+letters count in lower case.  A text gets the language with the shortest code.
 
 ``DOCS_PER_LANGUAGE`` bounds the training sample (about that many documents of
-each language, taken by a hash of the id); ``SYMBOLS`` bounds the byte values
-that are told apart (the most frequent of the sample; ASCII letters in lower
-case; all others are one symbol).  Everything else covers all documents.
+each language, taken by a hash of the id), and with it the trees that go to the
+tasks.  Everything else covers all documents.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0;
 so is everything where no language was learned; ties go to the first language
-by name; every input row gives a row; extra columns are kept or ignored as the
-function says.
+by name; texts are scored whole, piece by piece, whatever their length; every input
+row gives a row, an empty table none; extra columns are kept or ignored as the
+function says, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,12 +28,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.blocks import limit_batches, texts
+from strata.llm.rows import free_name
 from strata.llm.textops import column_bytes, ramp
 
 DOCS_PER_LANGUAGE = 2000
-SYMBOLS = 96
+SYMBOLS = 256
+ORDER = 3
 PIECE = 1 << 20
 _LOWER = np.arange(256, dtype=np.int64)
 _LOWER[65:91] += 32
@@ -48,69 +52,62 @@ def _grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ((wide[at - 3] << 24) | (wide[at - 2] << 16) | (wide[at - 1] << 8) | wide[at]), doc
 
 
-class Trees:
-    """Frozen code lengths (bits) of all languages."""
+class Level:
+    """Frozen code lengths of the bytes that some language has seen after contexts of ``order`` bytes."""
 
-    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, count: np.ndarray):
-        self.langs, n = langs, len(langs)
-        parts = np.stack([(gram >> s) & 255 for s in (24, 16, 8, 0)])
-        total = np.bincount(parts[3], weights=count, minlength=256)
-        common = np.argsort(-total, kind="stable")[:SYMBOLS - 1]
-        self.symbol = np.full(256, SYMBOLS - 1, np.int64)
-        self.symbol[common] = np.arange(len(common))
-        s = self.symbol[parts]
-        bits = np.full((SYMBOLS, n), np.log2(SYMBOLS))                 # no context: all alike
-        for order in range(3):                                         # complete tables
-            seen = np.zeros((SYMBOLS ** (order + 1), n))
-            key = np.zeros(len(gram), np.int64)
-            for part in s[3 - order:]:
-                key = key * SYMBOLS + part
-            np.add.at(seen, (key, lang), count)
-            bits = self._order(seen.reshape(-1, SYMBOLS, n), bits, order)
-        self.two = bits.astype(np.float32)                             # [three symbols, language]
-        key = ((s[0] * SYMBOLS + s[1]) * SYMBOLS + s[2]) * SYMBOLS + s[3]
-        self.keys, at = np.unique(key, return_inverse=True)
+    def __init__(self, order: int, lang: np.ndarray, gram: np.ndarray, count: np.ndarray, n: int, lower):
+        self.mask = (1 << 8 * (order + 1)) - 1
+        self.keys, at = np.unique(gram & self.mask, return_inverse=True)
         seen = np.zeros((len(self.keys), n))
         np.add.at(seen, (at, lang), count)
-        context = self.keys // SYMBOLS
-        whole, ctx = np.unique(context, return_inverse=True)
-        t, d = np.zeros((len(whole), n)), np.zeros((len(whole), n))
+        self.contexts, ctx = np.unique(self.keys >> 8, return_inverse=True)
+        t, d = np.zeros((len(self.contexts), n)), np.zeros((len(self.contexts), n))
         np.add.at(t, ctx, seen)
         np.add.at(d, ctx, seen > 0)
         escape = np.log2(np.where(t > 0, (t + d) / np.maximum(d, 1), 1))
-        self.escape = np.zeros((SYMBOLS ** 3, n), np.float32)
-        self.escape[whole] = escape
-        with np.errstate(divide="ignore"):
-            self.three = np.where(seen > 0, np.log2((t + d)[ctx] / np.maximum(seen, 1e-9)),
-                                  escape[ctx] + self.two[self.keys % SYMBOLS ** 3]).astype(np.float32)
-
-    @staticmethod
-    def _order(seen: np.ndarray, lower: np.ndarray, order: int) -> np.ndarray:
-        """Code lengths [contexts * symbols, language] from those of the next shorter context."""
-        t, d = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
-        less = np.tile(lower.reshape(-1, SYMBOLS, lower.shape[-1]), (SYMBOLS if order else 1, 1, 1))
-        escape = np.log2(np.where(t > 0, (t + d) / np.maximum(d, 1), 1))
-        out = np.where(seen > 0, np.log2((t + d) / np.maximum(seen, 1e-9)), escape + less)
-        return out.reshape(-1, out.shape[-1])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bits = np.where(seen > 0, np.log2((t + d)[ctx] / seen), escape[ctx] + lower(self.keys))
+        self.escape, self.bits = escape.astype(np.float32), bits.astype(np.float32)
+
+
+def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted ``keys``, whether it is there)."""
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return at, keys[at] == asked
+
+
+class Trees:
+    """Frozen code lengths (bits) of all languages."""
+
+    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, count: np.ndarray):
+        self.langs, self.levels = langs, []
+        for order in range(ORDER + 1):
+            self.levels.append(Level(order, lang, gram, count, len(langs), lambda k, o=order: self._bits(k, o - 1)))
+
+    def _bits(self, gram: np.ndarray, order: int) -> np.ndarray:
+        """Code lengths [strings, language] of the last byte of each string after up to ``order`` bytes."""
+        if order < 0:
+            return np.full((len(gram), len(self.langs)), np.log2(SYMBOLS), np.float32)
+        level = self.levels[order]
+        key = gram & level.mask
+        at, there = _found(level.keys, key)
+        out = level.bits[at]
+        miss = np.flatnonzero(~there)
+        if len(miss):
+            at, there = _found(level.contexts, key[miss] >> 8)
+            out[miss] = np.where(there[:, None], level.escape[at], 0) + self._bits(gram[miss], order - 1)
+        return out
 
     def lengths(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Code length of every text in every language, in bits."""
         out = np.zeros((len(offs) - 1, len(self.langs)))
         for lo in range(0, len(data), PIECE):
             hi = min(lo + PIECE, len(data))
-            first = max(lo - 3, 0)                                     # context from before the piece
+            first = max(lo - ORDER, 0)                                 # context from before the piece
             part = np.clip(offs, first, hi) - first
             gram, doc = _grams(data[first:hi], part)
             gram, doc = gram[lo - first:], doc[lo - first:]
-            s = [self.symbol[(gram >> k) & 255] for k in (24, 16, 8, 0)]
-            three = (s[1] * SYMBOLS + s[2]) * SYMBOLS + s[3]
-            context = (s[0] * SYMBOLS + s[1]) * SYMBOLS + s[2]
-            key = context * SYMBOLS + s[3]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            seen = self.keys[at] == key
-            bits = self.three[at]
-            miss = np.flatnonzero(~seen)
-            bits[miss] = self.escape[context[miss]] + self.two[three[miss]]
+            bits = self._bits(gram, ORDER)
             edge = np.flatnonzero(np.diff(doc, prepend=-1))
             if len(edge):
                 out[doc[edge]] += np.add.reduceat(bits, edge, axis=0, dtype=np.float64)
@@ -193,4 +190,9 @@ def keep_identified(docs: DataFrame, trees: Trees | None, least: float = 0.5) ->
             yield pa.RecordBatch.from_arrays(b.columns[:-1], schema=pa.schema(list(b.schema)[:-1])).filter(good)
 
     limit_batches(docs.sparkSession, 512)
-    return docs.select("*", _letters().alias("_letters")).mapInArrow(run, docs.schema)
+    # plain names on the way through Python, which takes no dots in them
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    kinds = T.StructType([T.StructField(n, f.dataType, f.nullable, f.metadata)
+                          for n, f in zip(plain, docs.schema.fields)])
+    marked = docs.select("*", _letters().alias(free_name(docs, "letters"))).toDF(*plain, "letters")
+    return marked.mapInArrow(run, kinds).toDF(*docs.columns)

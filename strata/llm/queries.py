@@ -88,7 +88,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     revised to the counts, a second tokenizer is loaded, documents without a
     token are deleted again, and one batch is sent twice."""
     docs = table(spark, sf_dir, "documents").select(
-        "*", count_tokens("words-1").alias("words"), count_tokens("alnum-1").alias("alnums"),
+        "doc_id", "source", "lang", count_tokens("words-1").alias("words"), count_tokens("alnum-1").alias("alnums"),
         F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("size"))
     size, guess = F.col("size"), F.floor(F.col("size") / 5)
     rollup = TokenRollup(spark, scratch_path(spark, "token-rollup"))
