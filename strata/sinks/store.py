@@ -55,6 +55,10 @@ class Store:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def make_folder(self, path: str) -> None:
+        fs, p = self._at(path)
+        fs.mkdirs(p)
+
     def delete(self, path: str) -> bool:
         fs, p = self._at(path)
         return fs.delete(p, True)

@@ -30,10 +30,11 @@ from strata.functions.names import quoted
 from strata.functions.schemas import JSON_TS_OPTIONS
 from strata.operators.aggregates import group_count
 from strata.operators.cleansing import drop_incomplete
-from strata.plans.medallion import MedallionParams, cast_columns, read_gold
+from strata.plans.medallion import MedallionParams, cast_columns, gold_schema, read_gold
 from strata.session import scratch_path
 from strata.sinks.files import write_table
 from strata.sinks.partition_codec import decoded, encoded
+from strata.sinks.store import Store
 
 
 @dataclass
@@ -87,7 +88,9 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
               .trigger(availableNow=True).start(p.bronze_path))
         qb.awaitTermination()
 
-        # Silver
+        # Silver (a run that found nothing to land yet has no bronze folder)
+        store = Store(spark)
+        store.make_folder(p.bronze_path)
         silver_in = (spark.readStream.schema(schema).options(**JSON_TS_OPTIONS).json(p.bronze_path))
         if p.drop_incomplete_at == "silver":
             silver_in = drop_incomplete(silver_in, subset=p.drop_subset)
@@ -102,6 +105,7 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
         spark.conf.set(PROGRESS[0], kept)
 
     # Gold
+    store.make_folder(p.silver_path)
     keys = p.group_by
 
     def publish(batch: DataFrame, _batch_id: int) -> None:
@@ -113,5 +117,7 @@ def run_incremental_medallion(spark: SparkSession, source_path: str, source_form
           .option("checkpointLocation", f"{ck}/gold")
           .trigger(availableNow=True).start())
     qg.awaitTermination()
+    if not store.exists(p.gold_path):                    # no batch so far: gold is an empty table
+        publish(spark.createDataFrame([], gold_schema(schema, keys, p.count_col)), 0)
 
     return IncrementalRun(_rows(qb), _rows(qs), read_gold(spark, p, schema))

@@ -58,3 +58,18 @@ def test_every_batch_is_counted(spark, tmp_path):
     finally:
         spark.conf.unset(name)
     assert r.bronze_rows == 240 and r.silver_rows == 240
+
+
+def test_a_run_over_an_empty_landing_folder_gives_an_empty_gold(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    df = spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "id long, g string")
+    p = MedallionParams(root=str(tmp_path / "m"), partition_by=["g"], group_by=["g"], schema=df.schema,
+                        drop_incomplete_at=None)
+    ck = str(tmp_path / "ck")
+    r = run_incremental_medallion(spark, str(landing), "parquet", p, checkpoint_root=ck)
+    assert (r.bronze_rows, r.silver_rows, r.gold.collect()) == (0, 0, [])
+    df.coalesce(1).write.mode("append").parquet(str(landing))
+    r = run_incremental_medallion(spark, str(landing), "parquet", p, checkpoint_root=ck)
+    assert (r.bronze_rows, r.silver_rows) == (3, 3)
+    assert {(x.g, x["count"]) for x in r.gold.collect()} == {("a", 1), ("", 1), (None, 1)}
