@@ -7,10 +7,14 @@ findings are joined back to all rows that carry the blob.  A scan appends in
 one committed write, so a failed one leaves the ledger as it was and is simply
 repeated.
 
-Rules: the patterns below, leftmost and non-overlapping per kind, matches that
-are too short dropped.  Offsets are code points, end exclusive.  Defined cases:
-null text is the empty blob; every input row gives a row, copies and null ids
-included; extra columns are ignored.
+A ledger is opened with a rule set and its version; under another version the same
+blobs are unseen, and the older findings stay as they are.
+
+Rules: patterns, leftmost and non-overlapping per kind, matches that are too short
+dropped.  Offsets are code points, end exclusive.  Defined cases: null text is the
+empty blob; every input row gives a row, copies and null ids included; texts are
+scanned whole, whatever their length; an empty table scans nothing and has no
+findings; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -46,19 +50,19 @@ LEDGER = T.StructType([T.StructField("blob", T.StringType()), T.StructField("rul
                        T.StructField("spans", T.ArrayType(_SPAN))])
 
 
-def _patterns() -> list[tuple[str, re.Pattern, int, int]]:
+def _patterns(rules: dict = RULES) -> list[tuple[str, re.Pattern, int, int]]:
     out = []
-    for kind, (pattern, group, least, any_case) in RULES.items():
+    for kind, (pattern, group, least, any_case) in rules.items():
         # a run of [0-9a-f] below the least length fails as a whole, so it need not be visited
-        text = f"[0-9a-f]{{{least},}}" if kind == "hex" else pattern
+        text = f"[0-9a-f]{{{least},}}" if pattern == "[0-9a-f]+" else pattern
         out.append((kind, re.compile(text, re.ASCII | (re.IGNORECASE if any_case else 0)), group, least))
     return out
 
 
-def find_spans(text: str, kinds: set[str] | None = None) -> list[tuple[str, int, int]]:
+def find_spans(text: str, kinds: set[str] | None = None, rules: dict = RULES) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all findings, by start and then kind as listed."""
     found = []
-    for rank, (kind, pattern, group, least) in enumerate(_patterns()):
+    for rank, (kind, pattern, group, least) in enumerate(_patterns(rules)):
         if kinds is None or kind in kinds:
             found += [(m.start(), rank, kind, m.end()) for m in pattern.finditer(text)
                       if m.end(group) - m.start(group) >= least]
@@ -72,19 +76,26 @@ def _compress(batches):
         yield pa.RecordBatch.from_arrays([b.column("blob"), pa.array(body, pa.binary())], ["blob", "body"])
 
 
-def _scan(batches):
-    z = zstandard.ZstdDecompressor()
-    arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    for b in batches:
-        text = pa.array([z.decompress(x) for x in b.column("body").to_pylist()], pa.binary()).cast(pa.string())
-        spans: list[list[tuple]] = [[] for _ in range(b.num_rows)]
-        hits = {k: pc.match_substring_regex(text, h).to_numpy(zero_copy_only=False) for k, h in HINTS.items()}
-        for i in set().union(*(x.nonzero()[0].tolist() for x in hits.values())):
-            spans[i] = find_spans(text[i].as_py(), {k for k in hits if hits[k][i]})
-        cells = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("blob"), pa.array([RULE_VERSION] * b.num_rows, pa.int32()), pa.array(cells, arrow)],
-            ["blob", "rules", "spans"])
+def _scan(rules: dict, version: int):
+    """Scan decompressed blobs; kinds of the built-in rules are searched only where their hint is."""
+    hints = {k: HINTS[k] for k in rules if rules[k] == RULES.get(k)}
+    others = set(rules) - set(hints)
+
+    def run(batches):
+        z = zstandard.ZstdDecompressor()
+        arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+        for b in batches:
+            text = pa.array([z.decompress(x) for x in b.column("body").to_pylist()], pa.binary()).cast(pa.string())
+            spans: list[list[tuple]] = [[] for _ in range(b.num_rows)]
+            hits = {k: pc.match_substring_regex(text, h).to_numpy(zero_copy_only=False) for k, h in hints.items()}
+            todo = range(b.num_rows) if others else set().union(*(x.nonzero()[0].tolist() for x in hits.values()))
+            for i in todo:
+                spans[i] = find_spans(text[i].as_py(), others | {k for k in hits if hits[k][i]}, rules)
+            cells = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("blob"), pa.array([version] * b.num_rows, pa.int32()), pa.array(cells, arrow)],
+                ["blob", "rules", "spans"])
+    return run
 
 
 def blobs(docs: DataFrame) -> DataFrame:
@@ -94,10 +105,12 @@ def blobs(docs: DataFrame) -> DataFrame:
 
 
 class BlobLedger:
-    """A ledger table at ``path`` (a shared folder)."""
+    """A ledger table at ``path`` (a shared folder), read and written under one rule version."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, rules: dict = RULES, version: int = RULE_VERSION):
+        if rules != RULES and version == RULE_VERSION:
+            raise ValueError(f"version {RULE_VERSION} names the built-in rules; give other rules another version")
+        self.spark, self.path, self.rules, self.version = spark, path, rules, version
         spark.createDataFrame([], LEDGER).write.mode("append").parquet(path)
 
     def read(self) -> DataFrame:
@@ -105,11 +118,11 @@ class BlobLedger:
 
     def scan(self, docs: DataFrame) -> None:
         """Scan the blobs of ``docs`` that are new under the current rules."""
-        known = self.read().filter(F.col("rules") == RULE_VERSION).select("blob")
+        known = self.read().filter(F.col("rules") == self.version).select("blob")
         limit_batches(self.spark, 512)
         bodies = blobs(docs).select("blob", "text").mapInArrow(_compress, "blob string, body binary")
         new = bodies.dropDuplicates(["blob"]).join(known, "blob", "left_anti")
-        new.mapInArrow(_scan, LEDGER).write.mode("append").parquet(self.path)
+        new.mapInArrow(_scan(self.rules, self.version), LEDGER).write.mode("append").parquet(self.path)
 
     def findings(self, docs: DataFrame) -> DataFrame:
         """doc_id, blob and spans of every row of ``docs``, under the current rules.
@@ -119,7 +132,7 @@ class BlobLedger:
         """
         rows = stored(blobs(docs).select("doc_id", "blob", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")),
                       "ledger-paths")
-        found = (self.read().filter(F.col("rules") == RULE_VERSION)
+        found = (self.read().filter(F.col("rules") == self.version)
                  .groupBy("blob").agg(F.any_value("spans").alias("spans")))       # two runs may have raced
         return (rows.join(rows.select("blob", "salt").distinct().join(found, "blob"), ["blob", "salt"])
                 .select("doc_id", "blob", "spans"))

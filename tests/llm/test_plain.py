@@ -60,6 +60,25 @@ def test_secrets_query_equals_a_plain_version(spark):
                                  hashlib.sha256(",".join(spans).encode()).hexdigest())
 
 
+def test_a_new_rule_version_scans_all_blobs_again(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef mail@x.org"), (2, "plain"), (3, "plain")], "doc_id long, text string")
+    path = scratch_path(spark, "versions")
+    first = BlobLedger(spark, path)
+    first.scan(docs)
+    first.scan(docs.unionByName(spark.createDataFrame([(4, "secret=ghijklm")], docs.schema)))
+    assert first.read().groupBy("rules").count().collect() == [(1, 3)]
+    mail = {**first.rules, "mail": (r"[a-z]+@[a-z]+[.]org", 0, 5, False)}
+    with pytest.raises(ValueError):
+        BlobLedger(spark, path, mail)
+    second = BlobLedger(spark, path, mail, version=2)
+    second.scan(docs)
+    assert {tuple(r) for r in second.read().groupBy("rules").count().collect()} == {(1, 3), (2, 2)}
+    spans = {r.doc_id: r.s for r in second.findings(docs).select("doc_id", joined_spans().alias("s")).collect()}
+    assert spans == {1: "assign:0:12,mail:13:23", 2: "", 3: ""}
+    old = {r.doc_id: r.s for r in first.findings(docs).select("doc_id", joined_spans().alias("s")).collect()}
+    assert old == {1: "assign:0:12", 2: "", 3: ""}
+
+
 # ---- language ------------------------------------------------------------
 
 def plain_lengths(samples, text):
