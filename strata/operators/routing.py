@@ -30,22 +30,26 @@ def outcome_column(body: str = "body", status: str = "status") -> Column:
 
 def sentinel_rows(failed: DataFrame, record_schema: T.StructType,
                   id_field: str = "id", url_col: str = "url",
-                  sep: str = ".") -> DataFrame:
+                  sep: str = ".", keep_url: str | None = None) -> DataFrame:
     """One row per failed page: ``id_field`` = the request URL, every other field null.
-    The columns are those of flattened records."""
+    The columns are those of flattened records.  An id that is no text cannot hold the
+    URL and is null; ``keep_url`` adds the URL in a column of that name."""
     cols = []
     for f in flat_schema(record_schema, sep).fields:
         if f.name == id_field:
-            cols.append(F.col(url_col).cast(f.dataType).alias(f.name))
+            cols.append(F.col(url_col).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    if keep_url:
+        cols.append(F.col(url_col).alias(keep_url))
     return failed.select(*cols)
 
 
 def route_pages(envelopes: DataFrame, record_schema: T.StructType,
                 id_field: str = "id", keep: list[str] | None = None,
                 position: str | None = "position", sep: str = ".",
-                rescue_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+                rescue_col: str | None = None,
+                keep_url: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Split page envelopes into (records, sentinels).
 
     Records are the flattened elements of good pages, with ``keep`` columns of
@@ -62,4 +66,4 @@ def route_pages(envelopes: DataFrame, record_schema: T.StructType,
     records = explode_records(envelopes.withColumn("body", good_body), "body", record_schema,
                               keep=keep, position=position, sep=sep, rescue_col=rescue_col)
     failed = envelopes.filter(outcome_column() != OK)
-    return records, sentinel_rows(failed, record_schema, id_field, sep=sep)
+    return records, sentinel_rows(failed, record_schema, id_field, sep=sep, keep_url=keep_url)

@@ -153,11 +153,14 @@ def run_api_medallion(spark: SparkSession, url: str, root: str, first: int = 40,
         record_schema = infer_record_schema(env)
     elif isinstance(record_schema, str):
         record_schema = T.DataType.fromDDL(record_schema)
-    crawled, sentinels = route_pages(env, record_schema, id_field=id_field, rescue_col=rescue_col)
+    flat = flat_schema(record_schema)
+    holds_url = id_field in flat.fieldNames() and isinstance(flat[id_field].dataType, T.StringType)
+    crawled, sentinels = route_pages(env, record_schema, id_field=id_field, rescue_col=rescue_col,
+                                     keep_url=None if holds_url or failed_pages == "inline" else "page_url")
     if failed_pages == "audit":
         write_json(sentinels.withColumn("logged_at", F.current_timestamp()),
                    f"{root.rstrip('/')}/failed_pages", mode="append")
-    fields = flat_schema(record_schema).fieldNames()
+    fields = flat.fieldNames()
     known = reduce(or_, [F.col(quoted(c)).isNotNull() for c in fields])
     unknown = crawled.filter(known).isEmpty()
     nothing = unknown and crawled.isEmpty()

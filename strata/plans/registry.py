@@ -174,6 +174,41 @@ def q_paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_count(records, ["page"])
 
 
+def q_single_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page fetched by its number, the last one; its records."""
+    url, last_page, per_file = _write_customer_pages(spark, sf_dir)
+    env = read_pages(spark, url, first=last_page, last=last_page, per_page=PER_PAGE, pages_per_file=per_file)
+    records, _failed = route_pages(env, CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
+    return records.select("c_custkey", "c_name", "c_mktsegment")
+
+
+def q_paced_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the crawl under one request schedule for all its tasks; records per page."""
+    url, last_page, per_file = _write_customer_pages(spark, sf_dir)
+    env = read_pages(spark, url, first=1, last=last_page, per_page=PER_PAGE, concurrency=min(4, last_page),
+                     requests_per_second=500, pages_per_file=per_file)
+    records, _failed = route_pages(env, CUSTOMER_PAGE_SCHEMA, id_field="c_custkey")
+    return group_count(records, ["page"])
+
+
+def q_refused_crawl_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a crawl with a lost page ends loud and leaves the layers of the run before as they were."""
+    from strata.plans.api_job import run_api_medallion
+
+    url, last_page, per_file = _write_customer_pages(spark, sf_dir)
+    first_page = int(_t(spark, sf_dir, "customer").agg(F.min(page_of("c_custkey", PER_PAGE))).first()[0] or 1)
+    job = dict(last=first_page, per_page=PER_PAGE, pause_seconds=0, record_schema=CUSTOMER_PAGE_SCHEMA,
+               id_field="c_custkey", partition_by=["c_mktsegment"], group_by=["c_mktsegment"], pages_per_file=per_file,
+               concurrency=min(last_page, default_parallelism(spark)))
+    root = scratch_path(spark, "refused-crawl")
+    good = run_api_medallion(spark, url, root, first=last_page, **job)
+    try:
+        run_api_medallion(spark, url, root, first=last_page + PAGES_PER_FILE, **job)      # pages that are not there
+    except RuntimeError:
+        return good.gold
+    raise AssertionError("the second crawl was meant to fail")
+
+
 def q_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S5: the same pages read by Spark's own file systems (its endpoint and keys)."""
     from strata.sources.page_files import read_page_files
@@ -506,6 +541,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "maintained_gold": q_maintained_gold,
     "crawl_resumed": q_crawl_resumed,
     "page_files": q_page_files,
+    "single_page": q_single_page,
+    "paced_crawl": q_paced_crawl,
+    "refused_crawl_gold": q_refused_crawl_gold,
     "partition_values": q_partition_values,
     "schema_drift": q_schema_drift,
     "missing_costs": q_missing_costs,
@@ -572,6 +610,11 @@ ORACLE_SQL: dict[str, str] = {
                       "CAST(1 AS BIGINT) AS n_requests FROM customer GROUP BY 1"),
     "page_files": ('SELECT CAST(c_custkey // 200 + 1 AS INTEGER) AS page, count(*) AS "count" '
                    "FROM customer GROUP BY 1"),
+    "single_page": ("SELECT c_custkey, c_name, c_mktsegment FROM customer "
+                    "WHERE c_custkey // 200 = (SELECT max(c_custkey) // 200 FROM customer)"),
+    "paced_crawl": ('SELECT CAST(c_custkey // 200 + 1 AS INTEGER) AS page, count(*) AS "count" '
+                    "FROM customer GROUP BY 1"),
+    "refused_crawl_gold": 'SELECT c_mktsegment, count(*) AS "count" FROM customer GROUP BY 1',
     "partition_values": ("SELECT event_id, kind FROM (SELECT event_id, list_extract(['', NULL, '01', 'a/b', "
                          "'a:b', '~', '~~x', 'é %=', 'plain'], event_id % 9 + 1) AS kind FROM events) "
                          "WHERE kind IS DISTINCT FROM 'plain'"),

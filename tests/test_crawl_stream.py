@@ -139,6 +139,15 @@ def test_an_all_empty_crawl_does_not_empty_a_good_lake(spark, tmp_path, site):
     assert run_api_medallion(spark, page_url(empty), lake, allow_empty=True, **args).counts["silver"] == 0
 
 
+def test_a_lost_page_is_named_where_the_id_is_a_number(spark, tmp_path, site):
+    os.remove(os.path.join(site, "page=2", "part-0.txt"))
+    lake = str(tmp_path / "lake")
+    with pytest.raises(RuntimeError, match="1 pages of the crawl failed"):
+        run_api_medallion(spark, page_url(site), lake, first=3, last=1, pause_seconds=0, record_schema="id long, kind string",
+                          partition_by=["kind"], group_by=["kind"])
+    assert [r.page_url for r in spark.read.json(f"{lake}/failed_pages").collect()] == [page_url(site).format(page=2)]
+
+
 def test_api_job_publishes_and_refuses_drift(spark, tmp_path, site):
     from strata.plans.drift import DriftError
 
