@@ -1,5 +1,6 @@
 """Index, encoder, models, ledger and rollup on small tables with awkward rows."""
 
+import math
 import random
 import re
 import zlib
@@ -110,8 +111,11 @@ def test_language_trees_are_probabilities(spark):
 
     docs = spark.createDataFrame([(2, "abracadabra", "x"), (3, "banana", "y")], "doc_id long, text string, lang string")
     trees = fit_languages(docs)
-    two = np.exp2(-trees.two.astype(float)).reshape(-1, 96, 2).sum(1)
-    assert (two <= 1 + 1e-4).all() and (two > 0).all()
+    for context in [b"abr", b"ban", b"ana", b"xbr", b"zzz", b"   ", bytes([200, 97, 98])]:
+        gram = (int.from_bytes(context, "big") << 8) + np.arange(256)
+        for order in (3, 2, 1, 0):
+            shares = np.exp2(-trees._bits(gram, order).astype(float)).sum(0)
+            assert (shares <= 1 + 1e-4).all() and (shares > 0).all()
 
 
 def test_toxicity_cases(spark):
@@ -134,22 +138,103 @@ def test_toxicity_query(spark):
     assert ((got.score >= 0.7) == (got.predicted == 1)).all()
 
 
-def test_toxicity_tables_have_no_bound(spark, monkeypatch):
-    """More frequent expressions than the tasks get a copy of: scores stay the same."""
-    r = random.Random(7)
-    bad = [f"bad{i}" for i in range(30)]
-    docs = spark.createDataFrame([(i, " ".join(["a fine day"] + [r.choice(bad) if i % 2 else "sun" for _ in range(6)]))
-                                  for i in range(1200)], "doc_id long, text string")
-    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+def plain_toxicity(rows, curve_rows):
+    """Score of every text by dictionaries: rows are (doc_id, text, toxic or None if not learned from)."""
+    D, Ds, top = 2.0, 0.75, 3
+    before, c = {}, [Counter(), Counter()]
+    for d, t, y in rows:
+        if y is not None and d not in curve_rows:
+            w = words(t)
+            c[y].update(set(w))
+            for v, x in zip([None] + w[:-1], w):
+                before.setdefault(x, set()).add(v)
+    ca = {x: len(v) for x, v in before.items()}
+
+    def shared(x):
+        return (max(ca.get(x, 0) - Ds, 0) + sum(min(n, Ds) for n in ca.values()) / (len(ca) + 1)) / sum(ca.values())
+
+    def share(i, x):
+        left = sum(min(n, D) for n in c[i].values())
+        return (max(c[i].get(x, 0) - D, 0) + left * shared(x)) / sum(c[i].values())
+
+    known = {x: math.log(share(1, x) / share(0, x)) for x in ca}
+    unknown = math.log(share(1, None) / share(0, None))
+    for i in (0, 1):                                     # both models are distributions over the words and the unknown one
+        assert abs(sum(share(i, x) for x in ca) + share(i, None) - 1) < 1e-9
+
+    def value(t):
+        w = words(t)
+        best = sorted((max(known.get(x, unknown), unknown) for x in w), reverse=True)[:top]
+        return sum(best) / len(best) if best else unknown
+    return value
+
+
+def toxic_rows(n=900, seed=7):
+    r = random.Random(seed)
+    bad, plain = [f"bad{i}" for i in range(12)], [f"word{i}" for i in range(300)]
+    out = []
+    for i in range(n):
+        y = int(i % 6 == 0)
+        w = [r.choice(plain) for _ in range(r.randint(1, 60))] + [r.choice(bad) for _ in range(r.randint(1, 5) if y else r.random() < 0.05)]
+        r.shuffle(w)
+        out.append((i, " ".join(w).upper() if i % 7 == 0 else " ".join(w), y))
+    return out
+
+
+def learned(spark, rows):
+    """(rows that are learned from, ids of the curve's rows), by the operator's rules."""
+    docs = spark.createDataFrame([(d, t, "s", 1) for d, t, _ in rows], "doc_id long, text string, value string, key int")
+    labels = spark.createDataFrame([(d, y, 9) for d, _, y in rows], "doc_id long, toxic int, text int")
+    share = min(0.2, toxicity.CALIBRATION / labels.filter(may_learn()).count())
+    aside = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 30)) < int((1 << 30) * share)
+    learn = {x.doc_id for x in docs.filter(may_learn()).collect()}
+    return docs, labels, learn, {x.doc_id for x in docs.filter(may_learn() & aside).collect()}
+
+
+def test_toxicity_equals_a_dictionary_model(spark):
+    rows = toxic_rows()
+    docs, labels, learn, curve = learned(spark, rows)
+    model = fit_toxicity(docs, labels)
+    value = plain_toxicity([(d, t, y if d in learn else None) for d, t, y in rows], curve)
+    more = [(5000, None), (5001, ""), (5002, "never seen words"), (5003, "BAD1 bad1 bad1 bad1"), (None, "bad2"),
+            (5003, "word1"), (5004, "word1 bad3 " * 20_000)]
+    asked = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    got = Counter((x.doc_id, round(x.value, 4), x.n) for x in toxicity.values(
+        asked.withColumn("tag", F.lit(None).cast("int")), model).collect())
+    assert got == Counter((d, round(value(t), 4), len(words(t))) for d, t in [r[:2] for r in rows] + more)
+
+
+@pytest.mark.parametrize("bits,table", [(64, 4), (1 << 25, 1 << 18)])
+def test_toxicity_does_not_depend_on_filter_or_buckets(spark, monkeypatch, bits, table):
+    from strata.llm import lookups
+
+    rows = toxic_rows(400)
+    docs, labels, learn, curve = learned(spark, rows)
+    monkeypatch.setattr(lookups, "TABLE_KEYS", table)
+    monkeypatch.setattr(lookups, "ASKED_KEYS", table)
+    model = fit_toxicity(docs, labels, bits)
+    value = plain_toxicity([(d, t, y if d in learn else None) for d, t, y in rows], curve)
+    got = toxicity.values(docs.select("doc_id", "text", F.lit(None).cast("int").alias("tag")), model).collect()
+    assert {x.doc_id: round(x.value, 4) for x in got} == {d: round(value(t), 4) for d, t, _ in rows}
+
+
+def test_toxicity_counts_every_labelled_row_but_the_curve_sample(spark, monkeypatch):
+    rows = [(i, f"only{i} only{i}", i % 2) for i in range(600)]
+    docs, labels, learn, curve = learned(spark, rows)
+    seen, store = {}, toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: seen.setdefault(name, store(df, name)))
+    fit_toxicity(docs, labels)
+    assert len(curve) < 0.3 * len(learn)
+    assert seen["toxic-counts"].count() == len(learn - curve)          # each row has a word of its own
 
-    def scores(most):
-        for name in ("HOT", "PAIRS", "WORDS"):
-            monkeypatch.setattr(toxicity, name, most, raising=False)
-        return {x.doc_id: x.score for x in score_toxicity(docs, fit_toxicity(docs, labels)).collect()}
 
-    few = scores(3)
-    assert few == scores(1 << 17)
-    assert all((s >= 0.7) == (i % 2 == 1) for i, s in few.items())
+def test_toxicity_held_out_recall(spark):
+    """Figures of the README on a small scale: held-out toxic rows caught, ordinary ones left alone."""
+    got = op3_toxicity(spark, SF_CHECK).filter("held_out").join(
+        spark.read.parquet(f"{SF_CHECK}/labels.parquet"), "doc_id").groupBy("toxic", "predicted").count().collect()
+    n = {(x.toxic, x.predicted): x["count"] for x in got}
+    assert n.get((1, 1), 0) >= 0.7 * (n.get((1, 1), 0) + n.get((1, 0), 0))
+    assert n.get((0, 1), 0) <= 0.02 * n[0, 0]
 
 
 def test_toxicity_rare_expressions_held_out(spark):
@@ -167,21 +252,6 @@ def test_toxicity_rare_expressions_held_out(spark):
     assert n.get((False, True), 0) < 0.01 * n[False, False]
 
 
-def test_toxicity_counts_all_ordinary_rows(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, "a fine day" if i % 10 else "you vile troll") for i in range(1000)],
-                                 "doc_id long, text string")
-    labels = docs.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
-    kept, store = {}, toxicity.stored
-    monkeypatch.setattr(toxicity, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
-    fit_toxicity(docs, labels)
-    counts = kept["toxic-pairs"]
-    if "cls" in counts.columns:
-        counts = counts.filter("cls = 0").withColumnRenamed("n", "n0")
-    aside = F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0
-    ordinary = docs.filter(may_learn() & ~aside & (F.col("doc_id") % 10 != 0)).count()
-    assert {x.n0 for x in counts.filter("n0 > 0").collect()} == {ordinary}
-
-
 def test_secret_rules():
     assert find_spans("a token: secret=abc123 PASSWORD = 'hunter22' x") == [("assign", 2, 22), ("assign", 23, 43)]
     assert find_spans("secret: token : abcdefgh") == []          # a short match is used up, then dropped
