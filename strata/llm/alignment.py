@@ -56,8 +56,8 @@ from strata.llm.lookups import ASK_SCHEMA, Shape, answers, ask, ask_table, recei
 from strata.llm.textops import column_bytes, column_ids, group_starts, ids_out, ramp
 
 BLOCK_BYTES = 1 << 20
-SLICE_CHARS = 1 << 18            # characters encoded at a time, or one longer run
-KNOWN_CHARS = 3 << 23            # characters of runs whose alignment a worker keeps
+SLICE_CHARS = 1 << 16            # characters encoded at a time, or one longer run
+KNOWN_CHARS = 3 << 22            # characters of runs whose alignment a worker keeps
 RUNS = re.compile(r" *[^ ]+(?: +\Z)?| +")
 INSIDE = re.compile("[^▁]▁")
 STATS = ("n_a", "n_b", "n_groups", "n_links")
