@@ -203,17 +203,11 @@ def run_medallion(spark: SparkSession, source: DataFrame, p: MedallionParams) ->
     return MedallionResult(p, counts, silver, gold_read)
 
 
-def _forget(spark: SparkSession, name: str) -> None:
-    """Drop a catalog table or view; layer tables are external, so only metadata goes."""
-    if spark.catalog.tableExists(name):
-        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
-        spark.sql(f"DROP {kind} {name}")
-
-
 def register_layers(spark: SparkSession, p: MedallionParams, schema: T.StructType,
                     prefix: str = "", database: str | None = None) -> list[str]:
     """Expose the layers as external catalog tables (metadata only; the
-    data stays where the flow wrote it).  Returns the table names."""
+    data stays where the flow wrote it).  Returns the table names.  Where silver's
+    partition values are encoded, the view ``<prefix>silver_values`` gives them as they were written."""
     db = f"`{database}`." if database else ""
     stored = cast_columns(spark.createDataFrame([], schema), p.casts).schema
     if database:
@@ -226,22 +220,22 @@ def register_layers(spark: SparkSession, p: MedallionParams, schema: T.StructTyp
         parts = p.partition_by if layer == "silver" else []
         coded = [c for c in p.coded if isinstance(sch[c].dataType, T.StringType)] if parts else []
         name = f"{db}`{prefix}{layer}`"
-        table = f"{db}`{prefix}{layer}_stored`" if coded else name
+        values = f"{db}`{prefix}{layer}_values`"
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sch.fields)
         part_sql = ("PARTITIONED BY (" + ", ".join(f"`{c}`" for c in parts) + ") ") if parts else ""
-        _forget(spark, name)
-        _forget(spark, table)
+        spark.sql(f"DROP VIEW IF EXISTS {values}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: drops metadata only
         opts = ""
         if fmt == "json":   # same text formats the bronze writer used
             esc = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in JSON_TS_OPTIONS.items()}
             opts = "OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in esc.items()) + ") "
-        spark.sql(f"CREATE TABLE {table} ({cols}) USING {fmt} {opts}{part_sql}LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING {fmt} {opts}{part_sql}LOCATION '{path}'")
         if parts:
-            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         if coded:           # folder names hold encoded values: a view gives them as they were written
-            spark.sql(f"CREATE VIEW {name} AS SELECT " + ", ".join(
+            spark.sql(f"CREATE VIEW {values} AS SELECT " + ", ".join(
                 f"{decode_sql(f.name)} AS `{f.name}`" if f.name in coded else f"`{f.name}`" for f in sch.fields)
-                + f" FROM {table}")
+                + f" FROM {name}")
         names.append(name.replace("`", ""))
     return names
 
