@@ -9,23 +9,26 @@ words alike, the unknown one included.  The shares of either model sum to one.
 expression that a class has in up to ``DISCOUNT`` texts is known through the shared
 counts alone, as an unknown one is.
 
-The two models are compared by log-likelihood per word over the passage that tells
-most: the mean of log P1 - log P0 over the ``EXPRESSIONS`` words of the text that
-are the most toxic by it, an expression that is more ordinary than an unknown word
-counting as one.  (Taken over whole texts, the noise of some hundred ordinary words
-outweighs a few toxic ones; README has the figures.)  A logistic curve on this value
-and the text's length gives the score.
+The two models are compared by log-likelihood per word, log P1 - log P0 divided by
+the number of words, twice: over every word of the whole text, toxic, ordinary or
+unknown, each as often as it stands there, and over the passage that tells most, the
+``EXPRESSIONS`` words of the text that are the most toxic by it (an expression that is
+more ordinary than an unknown word counts as one there).  A logistic curve on both and
+the text's length gives the score.  (The whole text alone misses most texts with a few
+toxic words among some hundred ordinary ones; README has the figures.)
 
 All labelled rows of the training fold are counted, but those that fit the curve: at
 most about ``CALIBRATION`` of them, and a fifth where there are fewer.
 
 Counting is two aggregates, over distinct word pairs and then over words, without a
-bound.  Scoring takes one pass over the texts: it keeps, per block, the words that
-may lean to the toxic side, asks for the evidence of the block's distinct words
-(see ``lookups``), and takes each text's strongest.  A Bloom filter of fixed size
-spares asking for most other words; results do not depend on it.
-
-Defined cases: a null or empty text has the value of an unknown word; without rows
+bound.  Scoring takes one pass over the texts: it keeps, per block, which words that
+may differ from an unknown one are in which text, asks once for the evidence of the
+block's distinct words (see ``lookups``), adds it up over each text and takes the
+strongest.  Blocks are large (``BLOCK``), so that common words are asked for seldom.  A
+Bloom filter of fixed size spares asking for most words that are like an unknown one;
+results do not depend on it.
+
+Defined cases: a null or empty text has the values of an unknown word; without rows
 of both classes all scores are 0; a document with several label rows counts once
 per row, null labels are not learned from; repeated ids are documents of their own;
 texts are scored whole, whatever their length; every input row gives a row, an empty
@@ -53,13 +56,17 @@ DISCOUNT = 2.0
 SHARED_DISCOUNT = 0.75
 EXPRESSIONS = 3
 CALIBRATION = 20_000
-FILTER_BITS = 1 << 25            # Bloom filter of the toxic-leaning words: 4 MiB whatever the vocabulary
+FILTER_BITS = 1 << 25            # Bloom filter of the words with evidence: 4 MiB whatever the vocabulary
 UNIT = 1 << 20                   # evidence is kept in whole units, so that sums have no order
-PIECE = 1 << 20
+PIECE = 1 << 20                  # bytes of text hashed at a time
+PAIRS_PIECE = 1 << 23            # bytes of text whose word pairs are sent once
+BLOCK = 1 << 25                  # bytes of text whose words are asked for once
+ROW_BYTES = 16                   # what a row adds to a block besides its text
 _TABLE = table(NON_WORD, lower=True)
 _SIGN = np.uint64((1 << 63) - 1)
-KEPT = "block long, n_keys long, ids binary, tag binary, n binary, keys binary, doc binary, at binary, times binary"
-VALUES = "doc_id long, tag int, value double, n long"
+KEPT = ("block long, n_keys long, ids binary, tag binary, n binary, keys binary, bucket binary, "
+        "held binary, step binary, times binary")
+VALUES = "doc_id long, tag int, value double, n long, mean double"
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,10 +91,20 @@ def _zipped(sent):
     return run
 
 
+def _distinct_pairs(before: np.ndarray, w: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> pa.RecordBatch:
+    pair = mix(before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ w.view(np.uint64)).view(np.int64)
+    order = np.lexsort((w, pair))
+    one = group_starts(pair[order], w[order])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(pair[order][one]), pa.array(w[order][one]),
+         *[pa.array(np.add.reduceat((first & side)[order].astype(np.int32), one), pa.int32()) for side in (~toxic, toxic)]],
+        ["pair", "word", "n0", "n1"])
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct (pair, word) of a piece of texts, 0 before a text's first word.  n0 and n1: texts of each
     class that have the word, entered at the pair of its first place in the text."""
-    z = zstandard.ZstdDecompressor()
+    z, parts, held = zstandard.ZstdDecompressor(), [], 0
     for b in batches:
         label = b.column("toxic").to_numpy(zero_copy_only=False)
         data, offs = column_bytes(pa.array([z.decompress(x) for x in b.column("body").to_pylist()], pa.binary()))
@@ -97,17 +114,16 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             before = np.concatenate([[0], w[:-1]])
             before[np.diff(doc, prepend=-1) != 0] = 0
-            pair = mix(before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ w.view(np.uint64)).view(np.int64)
-            toxic = (label[lo:hi] == 1)[doc]
             by_word = np.lexsort((w, doc))                            # stable: places in order
             first = np.zeros(len(w), bool)
             first[by_word[group_starts(doc[by_word], w[by_word])]] = True
-            order = np.lexsort((w, pair))
-            one = group_starts(pair[order], w[order])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pair[order][one]), pa.array(w[order][one]),
-                 *[pa.array(np.add.reduceat((first & side)[order].astype(np.int32), one), pa.int32()) for side in (~toxic, toxic)]],
-                ["pair", "word", "n0", "n1"])
+            parts.append((before, w, first, (label[lo:hi] == 1)[doc]))
+            held += int(offs[hi] - offs[lo])
+            if held >= PAIRS_PIECE:
+                yield _distinct_pairs(*map(np.concatenate, zip(*parts)))
+                parts, held = [], 0
+    if parts:
+        yield _distinct_pairs(*map(np.concatenate, zip(*parts)))
 
 
 def word_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -165,13 +181,14 @@ def shares(counts: DataFrame) -> Shares | None:
 
 
 def _evidence(s: Shares):
-    """key and units (beyond an unknown word) of the words that lean to the toxic side."""
+    """key and units (log P1 - log P0 beyond an unknown word's) of all words that differ from an unknown one.
+    The rest, in up to ``DISCOUNT`` texts of either class, has an unknown word's evidence exactly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n0, n1, c = (b.column(x).to_numpy().astype(np.float64) for x in ("n0", "n1", "c"))
             units = np.rint(s.difference(n0, n1, c) * UNIT).astype(np.int64) - s.unknown
-            lean = units > 0
-            yield pa.RecordBatch.from_arrays([b.column("key").filter(pa.array(lean)), pa.array(units[lean])], ["key", "units"])
+            differs = units != 0
+            yield pa.RecordBatch.from_arrays([b.column("key").filter(pa.array(differs)), pa.array(units[differs])], ["key", "units"])
     return run
 
 
@@ -209,13 +226,13 @@ def bloom_filter(evidence: DataFrame, size: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Stored evidence of toxic-leaning words, its filter, and the curve from value to score."""
+    """Stored evidence of all words that differ from an unknown one, its filter, and the curve from values to score."""
 
     shares: Shares
     evidence: DataFrame          # key, units
     words: int                   # rows of evidence
     bits: np.ndarray
-    curve: tuple[float, float, float] = (0.0, 1.0, 0.0)
+    curve: tuple[float, float, float, float] = (0.0, 1.0, 1.0, 0.0)
 
 
 # ---- scoring -------------------------------------------------------------
@@ -228,34 +245,74 @@ def _unpacked(cell, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(cell.as_py()), dtype)
 
 
-def _kept(sent):
-    """Per block the texts' word numbers, and their words that pass the filter, ``EXPRESSIONS`` times at most."""
+def _planes(x: np.ndarray) -> bytes:
+    """int32 numbers, first all low bytes: small ones pack well."""
+    return _packed(x.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+
+
+def _numbers(cell) -> np.ndarray:
+    return _unpacked(cell, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel().astype(np.int64)
+
+
+def _words_of(data: np.ndarray, offs: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Word numbers of the texts, and every (text, word, times) of words that pass the filter."""
+    w, doc = word_hashes(data, offs)
+    n = np.bincount(doc, minlength=len(offs) - 1).astype(np.int64)
+    one, two = _places(w, len(bits))
+    keep = np.flatnonzero(bits[one])
+    keep = keep[bits[two[keep]]]
+    w, doc = w[keep], doc[keep]
+    order = np.lexsort((w, doc))
+    w, doc = w[order], doc[order]
+    start = group_starts(doc, w)
+    return n, doc[start], w[start], np.diff(np.append(start, len(w)))
+
+
+def _block_row(number: int, shape: Shape, parts: list[tuple]) -> pa.RecordBatch:
+    base = np.cumsum([0] + [len(p[0]) for p in parts])
+    ids, tag, n, doc, w, times = map(np.concatenate, zip(*parts))
+    doc = doc + np.repeat(base[:-1], [len(p[3]) for p in parts])
+    keys, at, texts_with = np.unique(w, return_inverse=True, return_counts=True)
+    common = np.argsort(-texts_with, kind="stable")           # common words get small numbers
+    rank = np.empty(len(keys), np.int64)
+    rank[common] = np.arange(len(keys))
+    keys, at = keys[common], rank[at]
+    order = np.lexsort((at, doc))
+    doc, at, times = doc[order], at[order], times[order]
+    step = np.diff(at, prepend=0)
+    first = group_starts(doc)
+    step[first] = at[first]
+    row = (number, len(keys), _packed(ids), _packed(tag), _packed(n), _packed(keys),
+           _packed(shape.bucket(keys).astype(np.int32)), _packed(np.bincount(doc, minlength=len(ids)).astype(np.int64)),
+           _planes(step), _planes(times))
+    return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, _KINDS)], _NAMES)
+
+
+def _kept(sent, shape: Shape):
+    """Per block the texts' word numbers, the distinct words that pass the filter, and each text's: numbers among
+    them, as steps from one to the next, and times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, size = sent.value
         bits, number = np.unpackbits(packed, count=size).astype(bool), TaskContext.get().partitionId() << 33
+        parts, held = [], 0
         for b in batches:
             data, offs = column_bytes(b.column("text"))
             ids = column_ids(b.column("doc_id"))
             tag = b.column("tag").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
             for lo, hi in cuts(np.diff(offs), PIECE):
-                w, doc = word_hashes(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                n = np.bincount(doc, minlength=hi - lo).astype(np.int64)
-                one, two = _places(w, size)
-                keep = np.flatnonzero(bits[one])
-                keep = keep[bits[two[keep]]]
-                w, doc = w[keep], doc[keep]
-                keys, at = np.unique(w, return_inverse=True)
-                both, times = np.unique(doc.astype(np.int64) << 32 | at, return_counts=True)
-                row = (number, len(keys), _packed(ids[lo:hi]), _packed(tag[lo:hi]), _packed(n), _packed(keys),
-                       _packed((both >> 32).astype(np.int32)), _packed((both & 0xFFFFFFFF).astype(np.int32)),
-                       _packed(np.minimum(times, EXPRESSIONS).astype(np.int8)))
-                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, _KINDS)], _NAMES)
-                number += 1
+                parts.append((ids[lo:hi], tag[lo:hi],
+                              *_words_of(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], bits)))
+                held += int(offs[hi] - offs[lo]) + ROW_BYTES * (hi - lo)
+                if held >= BLOCK:
+                    yield _block_row(number, shape, parts)
+                    number, parts, held = number + 1, [], 0
+        if parts:
+            yield _block_row(number, shape, parts)
     return run
 
 
 _NAMES = [c.split()[0] for c in KEPT.split(", ")]
-_KINDS = [pa.int64(), pa.int64(), *[pa.binary()] * 7]
+_KINDS = [pa.int64(), pa.int64(), *[pa.binary()] * 8]
 
 
 def _asks(shape: Shape):
@@ -268,7 +325,9 @@ def _asks(shape: Shape):
 
 
 def strongest(doc: np.ndarray, units: np.ndarray, times: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sum of the ``EXPRESSIONS`` largest units of every text; words beside the listed ones have 0."""
+    """Sum of the ``EXPRESSIONS`` largest units of every text; those below 0 and words beside the listed ones have 0."""
+    up = units > 0
+    doc, units, times = doc[up], units[up], np.minimum(times[up], EXPRESSIONS)
     doc, units = np.repeat(doc, times), np.repeat(units, times)
     order = np.lexsort((-units, doc))
     doc, units = doc[order], units[order]
@@ -280,32 +339,42 @@ def strongest(doc: np.ndarray, units: np.ndarray, times: np.ndarray, n: np.ndarr
 
 def _text_values(shape: Shape, unknown: int):
     names = [c.split()[0] for c in VALUES.split(", ")]
-    kinds = (pa.int64(), pa.int32(), pa.float64(), pa.int64())
+    kinds = (pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.float64())
 
     def run(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         out = [pa.table([pa.array([], k) for k in kinds], names)]
         for i in range(blocks.num_rows):
-            cell = {c: blocks.column(c)[i] for c in _NAMES}
-            keys, n, ids = (_unpacked(cell[c], np.int64) for c in ("keys", "n", "ids"))
-            units = received(shape, keys, replies, 1)[0]
-            doc, at = (_unpacked(cell[c], np.int32).astype(np.int64) for c in ("doc", "at"))
-            best = strongest(doc, units[at], _unpacked(cell["times"], np.int8).astype(np.int64), n)
+            cell = {c: blocks.column(c)[i] for c in blocks.column_names}
+            n, ids, held = (_unpacked(cell[c], np.int64) for c in ("n", "ids", "held"))
+            # a bucket's number falls into that bucket itself, so it stands for the key
+            evidence = received(shape, _unpacked(cell["bucket"], np.int32).astype(np.int64), replies, 1)[0]
+            step, times = _numbers(cell["step"]), _numbers(cell["times"])
+            ends = np.cumsum(held)
+            run_sum = np.concatenate([[0], np.cumsum(step)])
+            at = run_sum[1:] - np.repeat(run_sum[ends - held], held)
+            units = evidence[at]
+            run_sum = np.concatenate([[0], np.cumsum(units * times)])
+            whole = run_sum[ends] - run_sum[ends - held]
+            best = strongest(np.repeat(np.arange(len(n)), held), units, times, n)
             tag = _unpacked(cell["tag"], np.int32)
             value = (best / np.clip(n, 1, EXPRESSIONS) + unknown) / UNIT
-            out.append(pa.table([ids_out(ids), pa.array(tag, pa.int32(), mask=tag < 0), pa.array(value), pa.array(n)], names))
+            mean = (whole / np.maximum(n, 1) + unknown) / UNIT
+            out.append(pa.table([ids_out(ids), pa.array(tag, pa.int32(), mask=tag < 0), pa.array(value), pa.array(n),
+                                 pa.array(mean)], names))
         return pa.concat_tables(out)
     return run
 
 
 def values(rows: DataFrame, model: Model) -> DataFrame:
-    """doc_id, tag, value (mean evidence of the strongest words) and n (words) of every row (doc_id, text, tag)."""
+    """doc_id, tag, n (words), mean (log P1 - log P0 per word of the whole text) and value (of its strongest words)
+    of every row (doc_id, text, tag)."""
     limit_batches(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast((np.packbits(model.bits), len(model.bits)))
-    kept = stored(rows.mapInArrow(_kept(sent), KEPT), "toxic-words")
+    kept = stored(rows.mapInArrow(_kept(sent, Shape(model.words, 0)), KEPT), "toxic-words")
     shape = Shape(model.words, kept.agg(F.sum("n_keys")).first()[0] or 0)
     asks = kept.select("block", "keys").mapInArrow(_asks(shape), ASK_SCHEMA)
     replies = answers(shape, asks, model.evidence, ["units"])
-    return (kept.groupBy("block").cogroup(replies.groupBy("block"))
+    return (kept.drop("n_keys", "keys").groupBy("block").cogroup(replies.groupBy("block"))
             .applyInArrow(_text_values(shape, model.shares.unknown), VALUES))
 
 
@@ -324,21 +393,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, filter_bits: int = FILTER_B
     model = Model(s, evidence, evidence.count(), bloom_filter(evidence, filter_bits))
     rows = (base.filter(curve_row).hint("merge").join(label.filter(curve_row), "doc_id")
             .select("doc_id", "text", F.col("toxic").alias("tag")))
-    found = values(rows, model).orderBy("doc_id", "tag", "value", "n").toArrow()       # the bounded sample
-    model.curve = fit_curve(*[found.column(c).to_numpy().astype(np.float64) for c in ("value", "n", "tag")])
+    found = values(rows, model).orderBy("doc_id", "tag", "value", "mean", "n").toArrow()       # the bounded sample
+    model.curve = fit_curve(*[found.column(c).to_numpy().astype(np.float64) for c in ("value", "mean", "n", "tag")])
     return model
 
 
-def fit_curve(value: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
-    """Shift, slope on the value and slope on log(1 + words): penalised logistic regression, Newton steps."""
+def fit_curve(value: np.ndarray, mean: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float, float]:
+    """Shift, slopes on the strongest words, on the whole text and on log(1 + words): penalised logistic regression,
+    Newton steps."""
     if not len(value):
-        return 0.0, 1.0, 0.0
-    x = np.stack([np.ones_like(value), value, np.log1p(n)])
-    beta = np.zeros(3)
+        return 0.0, 1.0, 1.0, 0.0
+    x = np.stack([np.ones_like(value), value, mean, np.log1p(n)])
+    beta = np.zeros(4)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(beta @ x, -30, 30)))
         grad = x @ (toxic - p) - 1e-3 * beta
-        step = np.linalg.solve((x * (p * (1 - p))) @ x.T + 1e-3 * np.eye(3), grad)
+        step = np.linalg.solve((x * (p * (1 - p))) @ x.T + 1e-3 * np.eye(4), grad)
         size = np.abs(step).max()
         beta += step / max(1.0, size)
         if size < 1e-8:
@@ -350,8 +420,8 @@ def score_toxicity(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, score and n_words of every row."""
     if model is None:
         return texts(docs).select("doc_id", F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("n_words"))
-    shift, slope, length = model.curve
-    z = shift + slope * F.col("value") + length * F.log1p("n")
+    shift, slope, whole, length = model.curve
+    z = shift + slope * F.col("value") + whole * F.col("mean") + length * F.log1p("n")
     score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(50.0)), F.lit(-50.0))))
     return (values(texts(docs).withColumn("tag", F.lit(None).cast("int")), model)
             .select("doc_id", score.alias("score"), F.col("n").alias("n_words")))

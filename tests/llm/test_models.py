@@ -204,6 +204,84 @@ def test_toxicity_equals_a_dictionary_model(spark):
     assert got == Counter((d, round(value(t), 4), len(words(t))) for d, t in [r[:2] for r in rows] + more)
 
 
+def plain_mean(rows, curve_rows):
+    """log P1 - log P0 per word over all words of a text, by dictionaries, as in ``plain_toxicity``."""
+    D, Ds = 2.0, 0.75
+    before, c = {}, [Counter(), Counter()]
+    for d, t, y in rows:
+        if y is not None and d not in curve_rows:
+            w = words(t)
+            c[y].update(set(w))
+            for v, x in zip([None] + w[:-1], w):
+                before.setdefault(x, set()).add(v)
+    ca, total = {x: len(v) for x, v in before.items()}, [sum(c[i].values()) for i in (0, 1)]
+    low = sum(min(n, Ds) for n in ca.values()) / (len(ca) + 1)
+
+    def log_share(i, x):
+        left = sum(min(n, D) for n in c[i].values())
+        return math.log((max(c[i].get(x, 0) - D, 0) + left * (max(ca.get(x, 0) - Ds, 0) + low) / sum(ca.values())) / total[i])
+
+    def value(t):
+        w = words(t) or [None]
+        return sum(log_share(1, x) - log_share(0, x) for x in w) / len(w)
+    return value
+
+
+@pytest.mark.parametrize("block,piece", [(1 << 25, 1 << 20), (300, 100)])
+def test_toxicity_compares_the_models_over_whole_texts(spark, monkeypatch, block, piece):
+    """Every word counts, ordinary ones too, as often as it stands in the text, whatever the blocks."""
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    monkeypatch.setattr(toxicity, "PIECE", piece)
+    rows = toxic_rows(300)
+    docs, labels, learn, curve = learned(spark, rows)
+    model = fit_toxicity(docs, labels)
+    mean = plain_mean([(d, t, y if d in learn else None) for d, t, y in rows], curve)
+    more = [(5000, None), (5001, ""), (5002, "never seen words"), (5003, "BAD1 bad1 word1"), (None, "word2 word2 word3"),
+            (5003, "word1"), (5004, "word1 bad3 " * 20_000)]
+    asked = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    got = Counter((x.doc_id, round(x["mean"], 4), x.n) for x in toxicity.values(
+        asked.withColumn("tag", F.lit(None).cast("int")), model).collect())
+    assert got == Counter((d, round(mean(t), 4), len(words(t))) for d, t in [r[:2] for r in rows] + more)
+
+
+def test_toxicity_pairs_do_not_depend_on_pieces(monkeypatch):
+    import pyarrow as pa
+    import zstandard
+
+    rows = toxic_rows(60)
+    z = zstandard.ZstdCompressor()
+    batch = pa.RecordBatch.from_arrays([pa.array([z.compress(t.encode()) for _, t, _ in rows], pa.binary()),
+                                        pa.array([y for *_, y in rows], pa.int32())], ["body", "toxic"])
+    found = []
+    for piece, joined in ((1 << 20, 1 << 23), (1 << 20, 1), (300, 2000), (300, 1)):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        monkeypatch.setattr(toxicity, "PAIRS_PIECE", joined)
+        n = Counter()
+        for b in toxicity._pairs(iter([batch.slice(0, 25), batch.slice(25)])):
+            for pair, word, n0, n1 in zip(*(c.to_pylist() for c in b.columns)):
+                n.update({(pair, word, 0): n0, (pair, word, 1): n1, (pair, word, 2): 0})
+        found.append(dict(n))
+    assert found[0] == found[1] == found[2] == found[3]
+    assert sum(v for (*_, y), v in found[0].items() if y == 1) == sum(len(set(words(t))) for _, t, y in rows if y)
+
+
+def test_toxicity_ordinary_words_speak_for_a_text(spark):
+    """The whole text's likelihoods enter the score: of texts with the same strongest words the one whose other words
+    are common in ordinary texts only is the less toxic."""
+    r = random.Random(4)
+    kind, both, bad = [f"kind{i}" for i in range(8)], [f"both{i}" for i in range(30)], [f"bad{i}" for i in range(4)]
+
+    def text(toxic):
+        w = [r.choice(both) for _ in range(12)] + [r.choice(both if toxic else kind) for _ in range(8)]
+        return " ".join(w + [r.choice(bad) for _ in range(r.randint(1, 4) if toxic else r.randint(0, 2))])
+
+    docs = spark.createDataFrame([(i, text(i % 2 == 0)) for i in range(900)], "doc_id long, text string")
+    model = fit_toxicity(docs, docs.select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("toxic")))
+    pair = [(1, "both1 both2 both3 both4 both5 bad1 bad2 bad3"), (2, "kind1 kind2 kind3 kind4 kind5 bad1 bad2 bad3")]
+    got = {x.doc_id: x.score for x in score_toxicity(spark.createDataFrame(pair, "doc_id long, text string"), model).collect()}
+    assert got[2] < got[1]
+
+
 @pytest.mark.parametrize("bits,table", [(64, 4), (1 << 25, 1 << 18)])
 def test_toxicity_does_not_depend_on_filter_or_buckets(spark, monkeypatch, bits, table):
     from strata.llm import lookups
