@@ -210,3 +210,69 @@ def test_top_k_against_brute_force(spark):
     own = top_k(df, df.filter("vec_id = 101"), 2, with_self=True).collect()
     assert [(x.query, x.rank, x.id) for x in own] == [(101, 1, 101)]
     assert top_k(df, df.limit(0), 3).collect() == [] and top_k(df.limit(0), df, 3).collect() == []
+
+
+def brute_top_k(ids, m, k):
+    size = np.sqrt((m * m).sum(1, keepdims=True))
+    unit = m / np.where(size > 0, size, 1)
+    score = np.round(unit @ unit.T, 9) + 0.0
+    score[~np.isfinite(score)] = -np.inf
+    out = {}
+    for i, q in enumerate(ids):
+        order = sorted((j for j in range(len(ids)) if ids[j] != q and score[i, j] > -np.inf), key=lambda j: (-score[i, j], ids[j]))
+        out[q] = [(r + 1, ids[j]) for r, j in enumerate(order[:k])]
+    return {q: v for q, v in out.items() if v}
+
+
+def test_top_k_of_many_copies_and_odd_numbers(spark):
+    r = np.random.default_rng(8)
+    m = r.normal(size=(400, 6))
+    m[50:250] = m[50]                                        # a large group of copies
+    m[300:310] = 0
+    m[320, 2] = np.inf                                       # no similarity to anything
+    ids = r.permutation(400) * 3
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, m)],
+                               "vec_id long, embedding array<double>").repartition(5)
+    with np.errstate(all="ignore"):
+        want = brute_top_k(ids.tolist(), m, 5)
+    for block in (2048, 16):
+        got = {}
+        for x in top_k(df, df, 5, block_rows=block).collect():
+            got.setdefault(x.query, []).append((x.rank, x.id))
+        assert {q: sorted(v) for q, v in got.items()} == want
+
+
+def test_top_k_sends_vectors_once_per_group_of_queries(spark, monkeypatch):
+    """What is sent grows with groups, not with query blocks, and small Arrow batches don't make small blocks."""
+    from strata.operators import vector_topk
+
+    r = np.random.default_rng(5)
+    m = r.normal(size=(640, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>").coalesce(1)
+    sent, packed = [], vector_topk.packed
+    monkeypatch.setattr(vector_topk, "packed", lambda *a: sent.append(packed(*a)) or sent[-1])
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        got = top_k(df, df, 2, block_rows=16)
+        assert [x.count() for x in sent] == [40, 40]
+        seen = spark.sparkContext.accumulator(0)
+        best = vector_topk._best
+
+        def counted(k, with_self):
+            run = best(k, with_self)
+
+            def count(queries, blocks):
+                seen.add(blocks.num_rows)
+                return run(queries, blocks)
+            return count
+        monkeypatch.setattr(vector_topk, "_best", counted)
+        rows = {}
+        for x in top_k(df, df, 2, block_rows=16).collect():
+            rows.setdefault(x.query, []).append((x.rank, x.id))
+        assert seen.value == 40 * 8                          # once per group; once per query block is 40 * 40
+        assert {q: sorted(v) for q, v in rows.items()} == brute_top_k(list(range(640)), m, 2)
+        assert got.count() == 640 * 2
+    finally:
+        spark.conf.set(key, before)
