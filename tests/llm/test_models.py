@@ -273,13 +273,16 @@ def test_toxicity_ordinary_words_speak_for_a_text(spark):
 
     def text(toxic):
         w = [r.choice(both) for _ in range(12)] + [r.choice(both if toxic else kind) for _ in range(8)]
-        return " ".join(w + [r.choice(bad) for _ in range(r.randint(1, 4) if toxic else r.randint(0, 2))])
+        r.shuffle(w)
+        return " ".join(w + r.sample(bad if toxic or r.random() < 0.4 else both, 3))
 
     docs = spark.createDataFrame([(i, text(i % 2 == 0)) for i in range(900)], "doc_id long, text string")
     model = fit_toxicity(docs, docs.select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("toxic")))
-    pair = [(1, "both1 both2 both3 both4 both5 bad1 bad2 bad3"), (2, "kind1 kind2 kind3 kind4 kind5 bad1 bad2 bad3")]
-    got = {x.doc_id: x.score for x in score_toxicity(spark.createDataFrame(pair, "doc_id long, text string"), model).collect()}
-    assert got[2] < got[1]
+    pair = spark.createDataFrame([(1, "both1 both2 both3 both4 both5 bad1 bad2 bad3"),
+                                  (2, "kind1 kind2 kind3 kind4 kind5 bad1 bad2 bad3")], "doc_id long, text string")
+    assert len({x.value for x in toxicity.values(pair.withColumn("tag", F.lit(None).cast("int")), model).collect()}) == 1
+    got = {x.doc_id: x.score for x in score_toxicity(pair, model).collect()}
+    assert got[2] < 0.1 < 0.9 < got[1]
 
 
 @pytest.mark.parametrize("bits,table", [(64, 4), (1 << 25, 1 << 18)])
