@@ -28,6 +28,11 @@ strongest.  Blocks are large (``BLOCK``), so that common words are asked for sel
 Bloom filter of fixed size spares asking for most words that are like an unknown one;
 results do not depend on it.
 
+A task holds, per text and distinct word of its block, a place among the words of a piece
+of ``PIECE`` bytes and a count, four bytes each; whatever needs more is done piece by piece,
+and what it sends goes in batches of ``SENT_ROWS``.  So its memory follows ``BLOCK`` and not
+the number of words with evidence.
+
 Defined cases: a null or empty text has the values of an unknown word; without rows
 of both classes all scores are 0; a document with several label rows counts once
 per row, null labels are not learned from; repeated ids are documents of their own;
@@ -58,11 +63,14 @@ EXPRESSIONS = 3
 CALIBRATION = 20_000
 FILTER_BITS = 1 << 25            # Bloom filter of the words with evidence: 4 MiB whatever the vocabulary
 UNIT = 1 << 20                   # evidence is kept in whole units, so that sums have no order
-PIECE = 1 << 20                  # bytes of text hashed at a time
+PIECE = 1 << 18                  # bytes of text hashed at a time
 PAIRS_PIECE = 1 << 23            # bytes of text whose word pairs are sent once
+SENT_ROWS = 1 << 16              # rows of word pairs sent at a time
 BLOCK = 1 << 25                  # bytes of text whose words are asked for once
+ENTRIES = 1 << 18                # words of texts whose evidence is added up at a time
 ROW_BYTES = 16                   # what a row adds to a block besides its text
 _TABLE = table(NON_WORD, lower=True)
+_BIT = np.packbits(np.eye(8, dtype=bool), axis=1).ravel()
 _SIGN = np.uint64((1 << 63) - 1)
 KEPT = ("block long, n_keys long, ids binary, tag binary, n binary, keys binary, bucket binary, "
         "held binary, step binary, times binary")
@@ -82,17 +90,19 @@ def _zipped(sent):
     """doc_id and compressed text of the rows whose id may have a label."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, size = sent.value
-        bits, z = np.unpackbits(packed, count=size).astype(bool), zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=3)
         for b in batches:
             one, two = _places(column_ids(b.column("doc_id")), size)
-            b = b.filter(pa.array(bits[one] & bits[two]))
+            b = b.filter(pa.array(_bit_set(packed, one) & _bit_set(packed, two)))
             body = [z.compress(x or b"") for x in b.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(body, pa.binary())], ["doc_id", "body"])
     return run
 
 
-def _distinct_pairs(before: np.ndarray, w: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> pa.RecordBatch:
-    pair = mix(before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ w.view(np.uint64)).view(np.int64)
+def _distinct_pairs(parts: list[tuple]) -> pa.RecordBatch:
+    """Of the pieces (pair, word, first, toxic), which leave the list."""
+    pair, w, first, toxic = map(np.concatenate, zip(*parts))
+    parts.clear()
     order = np.lexsort((w, pair))
     one = group_starts(pair[order], w[order])
     return pa.RecordBatch.from_arrays(
@@ -101,6 +111,10 @@ def _distinct_pairs(before: np.ndarray, w: np.ndarray, first: np.ndarray, toxic:
         ["pair", "word", "n0", "n1"])
 
 
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (b.slice(i, SENT_ROWS) for i in range(0, b.num_rows, SENT_ROWS))
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct (pair, word) of a piece of texts, 0 before a text's first word.  n0 and n1: texts of each
     class that have the word, entered at the pair of its first place in the text."""
@@ -117,13 +131,14 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             by_word = np.lexsort((w, doc))                            # stable: places in order
             first = np.zeros(len(w), bool)
             first[by_word[group_starts(doc[by_word], w[by_word])]] = True
-            parts.append((before, w, first, (label[lo:hi] == 1)[doc]))
+            pair = mix(before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ w.view(np.uint64)).view(np.int64)
+            parts.append((pair, w, first, (label[lo:hi] == 1)[doc]))
             held += int(offs[hi] - offs[lo])
             if held >= PAIRS_PIECE:
-                yield _distinct_pairs(*map(np.concatenate, zip(*parts)))
-                parts, held = [], 0
+                yield from _slices(_distinct_pairs(parts))
+                held = 0
     if parts:
-        yield _distinct_pairs(*map(np.concatenate, zip(*parts)))
+        yield from _slices(_distinct_pairs(parts))
 
 
 def word_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -196,6 +211,11 @@ def _places(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return key % size, (key >> 31) % size
 
 
+def _bit_set(packed: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether the bits are set at these places; the bits stay packed (see ``np.packbits``)."""
+    return packed[place >> 3] & _BIT[place & 7] != 0
+
+
 def _filter_part(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(size, bool)
@@ -238,7 +258,7 @@ class Model:
 # ---- scoring -------------------------------------------------------------
 
 def _packed(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).data.cast("B") if x.size else b"")
 
 
 def _unpacked(cell, dtype) -> np.ndarray:
@@ -251,40 +271,50 @@ def _planes(x: np.ndarray) -> bytes:
 
 
 def _numbers(cell) -> np.ndarray:
-    return _unpacked(cell, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel().astype(np.int64)
+    return _unpacked(cell, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
 
 
-def _words_of(data: np.ndarray, offs: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Word numbers of the texts, and every (text, word, times) of words that pass the filter."""
+def _words_of(data: np.ndarray, offs: np.ndarray, packed: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Of the texts: number of words, and of different words that pass the filter; these words; and every text's:
+    places among them and times."""
     w, doc = word_hashes(data, offs)
-    n = np.bincount(doc, minlength=len(offs) - 1).astype(np.int64)
-    one, two = _places(w, len(bits))
-    keep = np.flatnonzero(bits[one])
-    keep = keep[bits[two[keep]]]
-    w, doc = w[keep], doc[keep]
-    order = np.lexsort((w, doc))
-    w, doc = w[order], doc[order]
-    start = group_starts(doc, w)
-    return n, doc[start], w[start], np.diff(np.append(start, len(w)))
+    n_texts = len(offs) - 1
+    n = np.bincount(doc, minlength=n_texts).astype(np.int64)
+    one, two = _places(w, size)
+    keep = np.flatnonzero(_bit_set(packed, one))
+    keep = keep[_bit_set(packed, two[keep])]
+    keys, at = np.unique(w[keep], return_inverse=True)
+    # one number for text and word
+    held, times = np.unique(doc[keep] * max(len(keys), 1) + at, return_counts=True)
+    doc, at = np.divmod(held, max(len(keys), 1))
+    return n, np.bincount(doc, minlength=n_texts).astype(np.int64), keys, at.astype(np.int32), times.astype(np.int32)
 
 
 def _block_row(number: int, shape: Shape, parts: list[tuple]) -> pa.RecordBatch:
-    base = np.cumsum([0] + [len(p[0]) for p in parts])
-    ids, tag, n, doc, w, times = map(np.concatenate, zip(*parts))
-    doc = doc + np.repeat(base[:-1], [len(p[3]) for p in parts])
-    keys, at, texts_with = np.unique(w, return_inverse=True, return_counts=True)
+    """The block of the pieces, which leave the list."""
+    ids, tag, n, held = (np.concatenate(x) for x in list(zip(*parts))[:4])
+    keys = np.unique(np.concatenate([p[4] for p in parts]))
+    texts_with = np.zeros(len(keys), np.int64)
+    for *_, words, at, _ in parts:
+        texts_with[np.searchsorted(keys, words)] += np.bincount(at, minlength=len(words))
     common = np.argsort(-texts_with, kind="stable")           # common words get small numbers
     rank = np.empty(len(keys), np.int64)
     rank[common] = np.arange(len(keys))
-    keys, at = keys[common], rank[at]
-    order = np.lexsort((at, doc))
-    doc, at, times = doc[order], at[order], times[order]
-    step = np.diff(at, prepend=0)
-    first = group_starts(doc)
-    step[first] = at[first]
+    step, times = (np.empty(int(held.sum()), np.int32) for _ in range(2))
+    done = 0
+    for *_, of_text, words, at, many in parts:
+        doc, at = np.repeat(np.arange(len(of_text)), of_text), rank[np.searchsorted(keys, words)][at]
+        order = np.lexsort((at, doc))
+        at = at[order]
+        some = slice(done, done + len(at))
+        step[some], times[some] = np.diff(at, prepend=0), many[order]
+        first = group_starts(doc)
+        step[some][first] = at[first]
+        done += len(at)
+    parts.clear()
+    keys = keys[common]
     row = (number, len(keys), _packed(ids), _packed(tag), _packed(n), _packed(keys),
-           _packed(shape.bucket(keys).astype(np.int32)), _packed(np.bincount(doc, minlength=len(ids)).astype(np.int64)),
-           _planes(step), _planes(times))
+           _packed(shape.bucket(keys).astype(np.int32)), _packed(held), _planes(step), _planes(times))
     return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, _KINDS)], _NAMES)
 
 
@@ -293,7 +323,7 @@ def _kept(sent, shape: Shape):
     them, as steps from one to the next, and times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, size = sent.value
-        bits, number = np.unpackbits(packed, count=size).astype(bool), TaskContext.get().partitionId() << 33
+        number = TaskContext.get().partitionId() << 33
         parts, held = [], 0
         for b in batches:
             data, offs = column_bytes(b.column("text"))
@@ -301,11 +331,11 @@ def _kept(sent, shape: Shape):
             tag = b.column("tag").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
             for lo, hi in cuts(np.diff(offs), PIECE):
                 parts.append((ids[lo:hi], tag[lo:hi],
-                              *_words_of(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], bits)))
+                              *_words_of(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], packed, size)))
                 held += int(offs[hi] - offs[lo]) + ROW_BYTES * (hi - lo)
                 if held >= BLOCK:
                     yield _block_row(number, shape, parts)
-                    number, parts, held = number + 1, [], 0
+                    number, held = number + 1, 0
         if parts:
             yield _block_row(number, shape, parts)
     return run
@@ -337,6 +367,15 @@ def strongest(doc: np.ndarray, units: np.ndarray, times: np.ndarray, n: np.ndarr
     return out
 
 
+def _sums(evidence: np.ndarray, step: np.ndarray, times: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Units of all listed words of every text, and of its strongest."""
+    ends = np.cumsum(held)
+    run_sum = np.concatenate([[0], np.cumsum(step, dtype=np.int64)])
+    units = evidence[run_sum[1:] - np.repeat(run_sum[ends - held], held)]
+    run_sum = np.concatenate([[0], np.cumsum(units * times)])
+    return run_sum[ends] - run_sum[ends - held], strongest(np.repeat(np.arange(len(held)), held), units, times, held)
+
+
 def _text_values(shape: Shape, unknown: int):
     names = [c.split()[0] for c in VALUES.split(", ")]
     kinds = (pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.float64())
@@ -350,12 +389,10 @@ def _text_values(shape: Shape, unknown: int):
             evidence = received(shape, _unpacked(cell["bucket"], np.int32).astype(np.int64), replies, 1)[0]
             step, times = _numbers(cell["step"]), _numbers(cell["times"])
             ends = np.cumsum(held)
-            run_sum = np.concatenate([[0], np.cumsum(step)])
-            at = run_sum[1:] - np.repeat(run_sum[ends - held], held)
-            units = evidence[at]
-            run_sum = np.concatenate([[0], np.cumsum(units * times)])
-            whole = run_sum[ends] - run_sum[ends - held]
-            best = strongest(np.repeat(np.arange(len(n)), held), units, times, n)
+            whole, best = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
+            for lo, hi in cuts(held, ENTRIES):
+                whole[lo:hi], best[lo:hi] = _sums(evidence, step[ends[lo] - held[lo]:ends[hi - 1]],
+                                                  times[ends[lo] - held[lo]:ends[hi - 1]], held[lo:hi])
             tag = _unpacked(cell["tag"], np.int32)
             value = (best / np.clip(n, 1, EXPRESSIONS) + unknown) / UNIT
             mean = (whole / np.maximum(n, 1) + unknown) / UNIT

@@ -6,6 +6,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from strata.llm import toxicity
 from strata.llm.blob_ledger import BlobLedger, find_spans, joined_spans
 from strata.llm.bpe import Bpe, encode_documents
 from strata.llm.folds import held_out, may_learn
+from strata.llm.lookups import Shape, ask
 from strata.llm.phrase_index import build_index, contamination, phrase_matches
 from strata.llm.ppm_language import fit_languages, identify, keep_identified
 from strata.llm.queries import op3_toxicity, op6_language, vocabulary
@@ -265,6 +268,64 @@ def test_toxicity_pairs_do_not_depend_on_pieces(monkeypatch):
     assert sum(v for (*_, y), v in found[0].items() if y == 1) == sum(len(set(words(t))) for _, t, y in rows if y)
 
 
+class OneTask:
+    """Stands for Spark's task and broadcast outside a session: a filter that every word passes."""
+    value = np.full(1 << 13, 255, np.uint8), 1 << 16
+
+    @staticmethod
+    def get():
+        return OneTask
+
+    @staticmethod
+    def partitionId():
+        return 0
+
+
+def test_toxicity_memory_of_a_block(monkeypatch):
+    """What a task holds for a block grows by some bytes a word, though all words have evidence (before: 88 and 89)."""
+    import tracemalloc
+
+    monkeypatch.setattr(toxicity, "TaskContext", OneTask)
+    monkeypatch.setattr(toxicity, "PIECE", 1 << 16)
+    r, shape = random.Random(3), Shape(1 << 20, 0)
+    lines = [" ".join(f"w{r.randrange(20_000)}" for _ in range(200)) for _ in range(3000)]
+
+    def block(rows):
+        (out,) = toxicity._kept(OneTask, shape)(iter([pa.RecordBatch.from_arrays(
+            [pa.array(range(i, i + 100)), pa.array(lines[i:i + 100]), pa.nulls(100, pa.int32())], ["doc_id", "text", "tag"])
+            for i in range(0, rows, 100)]))
+        return out
+
+    def scored(b):
+        asked = list(ask(shape, 0, toxicity._unpacked(b.column("keys")[0], np.int64)))
+        replies = pa.table([[x[2] for x in asked], [x[0] for x in asked], [x[3] for x in asked]], ["block", "bucket", "numbers"])
+        return lambda: toxicity._text_values(shape, 0)(pa.Table.from_batches([b]).drop_columns(["n_keys", "keys"]), replies)
+
+    def peak(f):
+        f()                                                          # tables that stay
+        tracemalloc.start()
+        try:
+            f()
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    words_more = 2000 * 200
+    assert (peak(lambda: block(3000)) - peak(lambda: block(1000))) / words_more < 45
+    assert (peak(scored(block(3000))) - peak(scored(block(1000)))) / words_more < 45
+
+
+def test_toxicity_pairs_are_sent_in_slices(monkeypatch):
+    import zstandard
+
+    z, text = zstandard.ZstdCompressor(), " ".join(f"word{i % 700}" for i in range(3000))
+    batch = pa.RecordBatch.from_arrays([pa.array([z.compress(text.encode())], pa.binary()), pa.array([1], pa.int32())],
+                                       ["body", "toxic"])
+    monkeypatch.setattr(toxicity, "SENT_ROWS", 64)
+    sizes = [b.num_rows for b in toxicity._pairs(iter([batch]))]
+    assert max(sizes) == 64 and sum(sizes) == 701                    # the first word has a pair of its own
+
+
 def test_toxicity_ordinary_words_speak_for_a_text(spark):
     """The whole text's likelihoods enter the score: of texts with the same strongest words the one whose other words
     are common in ordinary texts only is the less toxic."""
