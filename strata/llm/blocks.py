@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from strata.llm.textops import NULL_ID, column_bytes, column_ids, ids_out
 from strata.session import scratch_path
 
 BLOCK_BYTES = 1 << 20
+ROW_BYTES = 16                              # what a document counts besides its text: id and size
 BLOCK_SCHEMA = "block long, ids binary, sizes binary, data binary"
 REPLY_SCHEMA = "block long, bucket int, kind int, bits binary"
 
@@ -82,18 +84,33 @@ def block_of(row: pa.RecordBatch | pa.Table, i: int = 0) -> Block:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks are filled across batches: their number follows the bytes, not the batch limit."""
     number = TaskContext.get().partitionId() << 33
-    for b in batches:
-        data, offs = column_bytes(b.column("text"))
-        ids = column_ids(b.column("doc_id"))
+    ids, sizes, data = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def packed(parts):
+        nonlocal number
         rows = []
-        for lo, hi in cuts(np.diff(offs), BLOCK_BYTES):
-            rows.append(pack_block(number, ids[lo:hi], data[offs[lo]:offs[hi]], np.diff(offs[lo:hi + 1])))
+        for lo, hi in parts:
+            rows.append(pack_block(number, ids[lo:hi], data[offs[lo]:offs[hi]], sizes[lo:hi]))
             number += 1
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
-                ["block", "ids", "sizes", "data"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+            ["block", "ids", "sizes", "data"])
+
+    for b in batches:
+        more, offs = column_bytes(b.column("text"))
+        ids, sizes = np.concatenate([ids, column_ids(b.column("doc_id"))]), np.concatenate([sizes, np.diff(offs)])
+        data = np.concatenate([data, more])
+        offs = np.concatenate([[0], np.cumsum(sizes)])
+        parts = cuts(sizes + ROW_BYTES, BLOCK_BYTES)
+        if len(parts) > 1:
+            yield packed(parts[:-1])
+            lo = parts[-1][0]
+            ids, sizes, data = ids[lo:], sizes[lo:], data[offs[lo]:]
+    if len(ids):
+        offs = np.concatenate([[0], np.cumsum(sizes)])
+        yield packed([(0, len(ids))])
 
 
 def write_blocks(docs: DataFrame, name: str) -> DataFrame:
@@ -140,7 +157,7 @@ class Keyed:
     def __init__(self, key: np.ndarray, n_buckets: int):
         self.key, self.inverse = np.unique(key, return_inverse=True)
         bucket = (self.key % np.uint64(n_buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket.astype(np.uint16) if n_buckets <= 1 << 16 else bucket, kind="stable")
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         self.key, self.bucket, self.inverse = self.key[order], bucket[order], back[self.inverse]
@@ -158,35 +175,37 @@ class Keyed:
         return out
 
     def slices(self):
-        for b in np.unique(self.bucket):
-            yield int(b), slice(int(self.edges[b]), int(self.edges[b + 1]))
+        edges = self.edges.tolist()
+        for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+            if hi > lo:
+                yield b, slice(lo, hi)
 
     def answers(self, replies: pa.Table, kind: int, sizes: np.ndarray | None = None) -> np.ndarray:
         """Reply bits of ``kind`` in the order of the keys (``sizes`` bits per key)."""
         at = np.arange(len(self.key) + 1) if sizes is None else np.concatenate([[0], np.cumsum(sizes)])
         out = np.zeros(int(at[-1]), bool)
-        for i in range(replies.num_rows):
-            if replies.column("kind")[i].as_py() == kind:
-                b = replies.column("bucket")[i].as_py()
-                lo, hi = int(at[self.edges[b]]), int(at[self.edges[b + 1]])
-                out[lo:hi] = np.unpackbits(np.frombuffer(replies.column("bits")[i].as_py(), np.uint8), count=hi - lo)
+        edges = at[self.edges].tolist()
+        mine = replies.filter(pc.equal(replies.column("kind"), kind))
+        for b, bits in zip(mine.column("bucket").to_pylist(), mine.column("bits").to_pylist()):
+            lo, hi = edges[b], edges[b + 1]
+            out[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo)
         return out
 
 
 def joined(col: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
     """Binary cells of packed numbers as one array, and the count of each cell."""
-    parts = [np.frombuffer(x.as_py(), dtype) for x in col]
+    parts = [np.frombuffer(x, dtype) for x in col.to_pylist()]
     return (np.concatenate(parts) if parts else np.zeros(0, dtype)), np.array([len(x) for x in parts], np.int64)
 
 
 def bit_rows(table: pa.Table, sizes: np.ndarray, bits: np.ndarray, kind: int) -> pa.Table:
     """One reply row per input row whose slice of ``bits`` has a set bit."""
     ends = np.cumsum(sizes)
-    rows = []
-    for i, (lo, hi) in enumerate(zip(ends - sizes, ends)):
-        if bits[lo:hi].any():
-            rows.append((table.column("block")[i].as_py(), table.column("bucket")[i].as_py(), kind,
-                         np.packbits(bits[lo:hi]).tobytes()))
+    count = np.concatenate([[0], np.cumsum(bits)])
+    set_ = np.flatnonzero(count[ends] > count[ends - sizes])
+    number, bucket = (table.column(c).take(pa.array(set_)).to_pylist() for c in ("block", "bucket"))
+    rows = [(x, b, kind, np.packbits(bits[lo:hi]).tobytes())
+            for x, b, lo, hi in zip(number, bucket, (ends - sizes)[set_].tolist(), ends[set_].tolist())]
     cols = list(zip(*rows)) if rows else [[], [], [], []]
     return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
                     ["block", "bucket", "kind", "bits"])
@@ -210,8 +229,8 @@ def answer_shared(kind: int) -> Callable[[pa.Table], pa.Table]:
     """Bits: the key is held by two blocks, or by two ids of one block."""
     def run(t: pa.Table) -> pa.Table:
         vals, sizes = joined(t.column("vals"), np.uint32)
-        multi = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=int(n))
-                                for x, n in zip(t.column("multi"), sizes)])
+        multi = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n)
+                                for x, n in zip(t.column("multi").to_pylist(), sizes.tolist())])
         order = np.argsort(vals)
         v = vals[order]
         first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))

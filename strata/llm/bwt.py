@@ -21,29 +21,35 @@ def suffix_order(t: np.ndarray, tail: np.ndarray, longest: int) -> np.ndarray:
     beyond a fragment's end.
     """
     n = len(t)
-    width = 7
+    place = max(n, 1).bit_length()             # bits of a position, below the key: one sort of values
+    each = max(int(t.max(initial=1)).bit_length(), 1)
+    width = max((64 - place) // each, 1)
     wide = np.zeros(n + width, np.uint64)
     wide[:n] = t
     key = np.zeros(n, np.uint64)
     alive = np.ones(n, bool)
     for j in range(width):
         part = wide[j:n + j]
-        key = (key << np.uint64(8)) | np.where(alive, part, np.uint64(0))
+        key = (key << np.uint64(each)) | np.where(alive, part, np.uint64(0))
         alive &= part > 0
-    order = np.argsort(key, kind="stable")
-    step = width
+    step, at, low = width, np.arange(n, dtype=np.uint64), np.uint64((1 << place) - 1)
     while True:
-        k = key[order]
+        if int(key.max(initial=0)) >> (64 - place):
+            order = np.argsort(key, kind="stable")
+            k = key[order]
+        else:
+            k = np.sort((key << np.uint64(place)) | at)
+            order = (k & low).astype(np.int64)
+            k >>= np.uint64(place)
+        if step > longest:
+            return order
         new = np.concatenate([[False], k[1:] != k[:-1]])
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(new).astype(np.uint64)
-        if step > longest:
-            return order
         nxt = np.zeros(n, np.uint64)
         far = np.flatnonzero(tail >= step)
         nxt[far] = rank[far + step] + np.uint64(1)
         key = rank * np.uint64(n + 1) + nxt
-        order = np.argsort(key, kind="stable")
         step *= 2
 
 
@@ -54,9 +60,9 @@ def _extend(lb: np.ndarray, rb: np.ndarray, bwt: np.ndarray, lf: np.ndarray):
     owner = np.repeat(np.arange(len(lb)), sizes)
     ch = bwt[rows]
     real = ch > 0                              # the end of a fragment extends nothing
-    to, owner, ch = lf[rows[real]], owner[real], ch[real]
-    order = np.argsort(to)
-    to, owner, ch = to[order], owner[order], ch[order]
+    rows, owner, ch = rows[real], owner[real], ch[real]
+    order = np.argsort(ch, kind="stable")      # rows ascend, so their targets do
+    to, owner, ch = lf[rows[order]], owner[order], ch[order]
     if not len(to):
         return to, to
     new = np.ones(len(to), bool)

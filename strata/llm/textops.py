@@ -129,12 +129,9 @@ class Rolling:
         raw = (self.sum[end] - self.sum[start]) * self.pow[start]
         return mix(raw ^ (end - start).astype(np.uint64) * U64(0xA24BAED4963EE407))
 
-    def grams(self, k: int) -> np.ndarray:
-        """Hash of the k bytes at every position."""
-        m = len(self.sum) - k
-        if m <= 0:
-            return np.zeros(0, np.uint64)
-        return mix((self.sum[k:] - self.sum[:-k]) * self.pow[:m])
+    def grams(self, k: int, begin: int, end: int) -> np.ndarray:
+        """Hash of the k bytes at every position from ``begin`` to before ``end``."""
+        return mix((self.sum[begin + k:end + k] - self.sum[begin:end]) * self.pow[begin:end])
 
 
 def ramp(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

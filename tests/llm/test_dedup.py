@@ -171,3 +171,152 @@ def test_exact_groups_keep_one_row_each(spark, tmp_path, from_files):
     kept = Counter((r.doc_id, r.group_size) for r in got if r.kept)
     assert kept == {(1, 4): 1, (None, 2): 1, (3, 1): 1} and len(got) == 7
     assert {(r.keep_id, r.group_size) for r in got} == {(1, 4), (None, 2), (3, 1)}
+
+
+class _Frame:
+    """Arrow rows with the few calls that ``dedup_suffixes`` makes on a DataFrame."""
+
+    def __init__(self, table, key=None):
+        self.table, self.key = table, key
+
+    def groupBy(self, key):
+        return _Frame(self.table, key)
+
+    def _group(self, value):
+        import pyarrow.compute as pc
+
+        return self.table.filter(pc.equal(self.table.column(self.key), value))
+
+    def applyInArrow(self, f, schema):
+        import pyarrow as pa
+
+        return _Frame(pa.concat_tables([f(self._group(v)) for v in self.table.column(self.key).unique()]))
+
+    def unionByName(self, other):
+        import pyarrow as pa
+
+        return _Frame(pa.concat_tables([self.table, other.table]))
+
+
+def _suffixes_here(monkeypatch, rows, length, chunk, n_buckets=3, docs_of_block=7):
+    """Rows of ``dedup_suffixes`` run in this process, and the sizes of its transforms."""
+    import numpy as np
+    import pyarrow as pa
+
+    from strata.llm import suffix_dedup as sd
+
+    made, sizes, order = [], [], sd.long_prefix_classes
+    for lo in range(0, len(rows), docs_of_block):
+        part = rows[lo:lo + docs_of_block]
+        b = sd.bl.Block.__new__(sd.bl.Block)
+        b.ids = np.array([d for d, _ in part], np.int64)
+        b.offs = np.concatenate([[0], np.cumsum([len(t) for _, t in part])])
+        b.data = np.frombuffer(b"".join(t for _, t in part), np.uint8)
+        made.append((lo, b))
+
+    def with_replies(blocks, replies, f, schema):
+        by = replies.groupBy("block")
+        return _Frame(pa.concat_tables([f(k, b, by._group(k)) for k, b in blocks]))
+
+    def counted(t, tail, longest, least):
+        sizes.append(len(t))
+        return order(t, tail, longest, least)
+
+    monkeypatch.setattr(sd.bl, "buckets", lambda spark: n_buckets)
+    monkeypatch.setattr(sd.bl, "write_blocks", lambda docs, name: made)
+    monkeypatch.setattr(sd.bl, "each_block", lambda blocks, f, schema: _Frame(
+        pa.concat_tables([t for k, b in blocks if (t := f(k, b)) is not None])))
+    monkeypatch.setattr(sd.bl, "stored", lambda frame, name: frame)
+    monkeypatch.setattr(sd.bl, "with_replies", with_replies)
+    monkeypatch.setattr(sd, "long_prefix_classes", counted)
+    monkeypatch.setattr(sd, "CHUNK_BYTES", chunk)
+    out = sd.dedup_suffixes(type("Docs", (), {"sparkSession": None})(), length).table.to_pylist()
+    return Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept"]) for r in out), sizes
+
+
+def _suffixes_by_hand(rows, length):
+    first, want = {}, Counter()
+    for d, b in sorted(rows):
+        for i in range(len(b) - length + 1):
+            first.setdefault(b[i:i + length], d)
+    for d, b in rows:
+        gone = [False] * len(b)
+        for i in range(len(b) - length + 1):
+            if first[b[i:i + length]] < d:
+                gone[i:i + length] = [True] * length
+        spans = sum(g and not p for p, g in zip([False] + gone, gone))
+        want[d, len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone) if not g)] += 1
+    return want
+
+
+def test_suffixes_common_phrase_fills_no_transform(monkeypatch):
+    """A phrase in ever new surroundings: no transform takes all fragments of its minimizers."""
+    r = random.Random(8)
+    new = lambda n: bytes(r.choice(b"abcdefgh ") for _ in range(n))
+    line = new(70)
+    rows = [(i, new(r.randint(40, 90)) + line + new(r.randint(40, 90))) for i in range(700)]
+    got, sizes = _suffixes_here(monkeypatch, rows, 50, 1 << 13)
+    assert got == _suffixes_by_hand(rows, 50)
+    assert max(sizes, default=0) <= 1.1 * (1 << 13)
+
+
+def test_suffixes_chance_fragments_stay_out_of_transforms(monkeypatch):
+    """Minimizers that texts share by chance, without 35 equal bytes, reach no transform."""
+    r = random.Random(9)
+    words = [bytes(r.choice(b"abcdefghij") for _ in range(22)) for _ in range(12)]
+    rows = [(i, b" ".join(bytes(r.choice(b"abcdefghij") for _ in range(25)) + r.choice(words) for _ in range(12)))
+            for i in range(120)]
+    rows += [(200, rows[0][1]), (201, b"x" + rows[0][1])]
+    got, sizes = _suffixes_here(monkeypatch, rows, 50, 1 << 20)
+    assert got == _suffixes_by_hand(rows, 50)
+    assert sum(sizes) < sum(len(t) for _, t in rows) / 50
+
+
+@pytest.mark.parametrize("length, chunk", [(39, 200), (50, 300), (50, 1 << 20), (120, 500), (200, 700)])
+def test_suffixes_few_letters(monkeypatch, length, chunk):
+    """Low-entropy, periodic and near-equal texts, repeated ids, transforms split to single windows."""
+    r = random.Random(length + chunk)
+    base = bytes(r.choice(b"ab") for _ in range(3 * length))
+    rows = [(5, b"a" * 900), (5, b"a" * 400), (6, b"ab" * 300), (7, b""), (8, b"b" * (length - 1)), (9, b"a" * length)]
+    for i in range(10, 90):
+        t = bytearray(base)
+        for _ in range(r.randint(0, 4)):
+            t[r.randrange(len(t))] = r.choice(b"abc")
+        rows.append((i // 2 if i % 5 == 0 else i, bytes(r.choice(b"ab") for _ in range(r.randint(0, 40))) + bytes(t)))
+    r.shuffle(rows)
+    got, _ = _suffixes_here(monkeypatch, rows, length, chunk)
+    assert got == _suffixes_by_hand(rows, length)
+
+
+def test_suffix_chance_equal_hashes(monkeypatch):
+    """Equal hashes of unlike fragments change nothing."""
+    import numpy as np
+
+    from strata.llm import suffix_dedup as sd
+
+    r = random.Random(4)
+    base = bytes(r.choice(b"abc") for _ in range(160))
+    rows = [(i, bytes(r.choice(b"abc") for _ in range(30)) + base[r.randint(0, 60):]) for i in range(60)]
+    monkeypatch.setattr(sd._Strings, "hash", lambda self, at, size: np.zeros(len(at), np.uint64))
+    got, _ = _suffixes_here(monkeypatch, rows, 50, 1 << 20)
+    assert got == _suffixes_by_hand(rows, 50)
+
+
+def test_blocks_are_filled_across_batches(spark):
+    """A small batch limit, such as an earlier operator leaves on the session, makes no small blocks."""
+    from strata.llm.blocks import block_of, write_blocks
+
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    rows = [(i, "é" * (i % 50) if i % 7 else None) for i in range(1000)]
+    rows += [(None, "x" * 700_000), (2000, "y" * 700_000)]
+    try:
+        spark.conf.set(limit, "16")
+        t = write_blocks(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "filled").toArrow()
+    finally:
+        spark.conf.set(limit, before)
+    blocks = [block_of(t, i) for i in range(t.num_rows)]
+    got = [(d, bytes(b.data[lo:hi])) for b in blocks for d, lo, hi in
+           zip(b.out_ids().to_pylist(), b.offs[:-1], b.offs[1:])]
+    assert Counter(got) == Counter((d, (x or "").encode()) for d, x in rows)
+    assert len(blocks) == len(set(t.column("block").to_pylist())) <= 3
